@@ -3,7 +3,9 @@ from profile_lake.functions.columns import (
     duration_ms,
     epoch_micros,
     fingerprint,
+    micros_to_ntz,
     partition_keys,
+    period_start,
     rfc3339_from_millis,
     rfc3339_to_timestamp,
 )
@@ -17,7 +19,9 @@ __all__ = [
     "epoch_micros",
     "fingerprint",
     "le_histogram",
+    "micros_to_ntz",
     "partition_keys",
+    "period_start",
     "prefix_by_bucket",
     "rfc3339_from_millis",
     "rfc3339_to_timestamp",

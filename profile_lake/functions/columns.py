@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RFC3339 = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# TIMESTAMP_NTZ arithmetic and text only: date_format and timestampdiff go through the
+# session time zone and move instants inside its daylight-saving gap.
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 def _col(value: Column | str) -> Column:
@@ -13,8 +15,7 @@ def _col(value: Column | str) -> Column:
 
 
 def _epoch_plus(unit: str, amount: Column) -> Column:
-    # TIMESTAMP_NTZ arithmetic: the session time zone plays no part.
-    return F.timestamp_add(unit, amount, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    return F.timestamp_add(unit, amount, F.expr(_EPOCH))
 
 
 def fingerprint(sql: Column | str) -> Column:
@@ -26,14 +27,15 @@ def fingerprint(sql: Column | str) -> Column:
 def rfc3339_from_millis(millis: Column | str) -> Column:
     """Epoch milliseconds as UTC text, cut to seconds; empty for values <= 0."""
     value = _col(millis)
-    text = F.date_format(_epoch_plus("MILLISECOND", value), RFC3339)
-    return F.when(value > 0, text).otherwise("")
+    text = _epoch_plus("MILLISECOND", value).cast("string")
+    stamp = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
+    return F.when(value > 0, stamp).otherwise("")
 
 
 def rfc3339_to_timestamp(text: Column | str) -> Column:
     """UTC text back to a TIMESTAMP_NTZ; null for empty text."""
     value = _col(text)
-    return F.when(value != "", F.to_timestamp_ntz(value, F.lit(RFC3339)))
+    return F.when(value != "", F.substring(value, 1, 19).cast("timestamp_ntz"))
 
 
 def duration_ms(latency: Column | str) -> Column:
@@ -43,20 +45,32 @@ def duration_ms(latency: Column | str) -> Column:
 
 def epoch_micros(ts_ntz: Column | str) -> Column:
     """Microseconds since the epoch of a TIMESTAMP_NTZ taken as UTC."""
-    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), _col(ts_ntz))
+    seconds = (_col(ts_ntz) - F.expr(_EPOCH)).cast("interval second").cast("decimal(24,6)")
+    return (seconds * 1_000_000).cast("long")
 
 
 def micros_to_ntz(micros: Column | str) -> Column:
     return _epoch_plus("MICROSECOND", _col(micros))
 
 
+def period_start(ts_ntz: Column | str, grain: str) -> Column:
+    """Start of the hour, day, week (Monday) or month a TIMESTAMP_NTZ falls into."""
+    ts = _col(ts_ntz)
+    if grain == "hour":
+        return F.concat(F.substring(ts.cast("string"), 1, 13), F.lit(":00:00")).cast("timestamp_ntz")
+    day = ts.cast("date")
+    if grain in ("week", "month"):
+        day = F.trunc(day, grain)
+    elif grain != "day":
+        raise ValueError(f"unknown grain {grain!r}: use hour, day, week or month")
+    return day.cast("timestamp_ntz")
+
+
 def partition_keys(flush_us: Column | str) -> list[Column]:
     """Zero-padded year, month, day and hour (UTC) of the flush time in µs."""
-    at = micros_to_ntz(flush_us)
-    return [
-        F.date_format(at, pattern).alias(name)
-        for name, pattern in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))
-    ]
+    text = micros_to_ntz(flush_us).cast("string")
+    parts = (("year", 1, 4), ("month", 6, 2), ("day", 9, 2), ("hour", 12, 2))
+    return [F.substring(text, start, width).alias(name) for name, start, width in parts]
 
 
 def cap_bytes(body: Column | str, max_bytes: int) -> Column:

@@ -37,18 +37,22 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return builder.getOrCreate()
 
 
+_local_dirs: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a folder of this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="profile-lake-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not _local_dirs:
+        _local_dirs.append(tempfile.mkdtemp(prefix="profile-lake-"))
+    return _local_dirs[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
