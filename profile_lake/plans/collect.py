@@ -89,7 +89,9 @@ def collect(
     )
     outcomes = stage(enrich.classify(done.unionByName(rest), fetches, FETCH), "outcomes")
 
-    texts = profile_texts(responses).withColumnRenamed("attempt", "fetch_attempt")
+    texts = profile_texts(responses).select(
+        *FETCH, F.col("attempt").alias("fetch_attempt"), "profile_text"
+    )
     taken = outcomes.where(F.col("outcome") == COLLECTED)
     entries = enrich.enrich(taken, texts, [*FETCH, "fetch_attempt"])
     collected_at = rfc3339_from_millis(F.lit(now_us // 1000))

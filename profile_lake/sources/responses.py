@@ -50,7 +50,8 @@ def poll_log(responses: DataFrame) -> DataFrame:
 def parse_hosts(hosts: Column | str) -> Column:
     """A comma-separated host list as an array without blanks."""
     text = F.col(hosts) if isinstance(hosts, str) else hosts
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda host: host != "")
+    names = F.transform(F.split(text, ","), lambda host: F.trim(host))
+    return F.filter(names, lambda host: host != "")
 
 
 def union_hosts(*frames: DataFrame) -> DataFrame:
@@ -100,12 +101,13 @@ def fetch_outcome() -> Column:
 
 
 def profile_texts(responses: DataFrame, max_bytes: int = PROFILE_MAX_BYTES) -> DataFrame:
-    """Successful profile responses as (poll_id, fe_host, query_id, attempt, profile_text)."""
+    """Texts of successful profile responses, with their request and arrival."""
     return responses.where((F.col("endpoint") == PROFILE) & (F.col("status") == 200)).select(
         "poll_id",
         "fe_host",
         "query_id",
         "attempt",
+        "finished_us",
         cap_bytes("body", max_bytes).alias("profile_text"),
         (F.octet_length("body") > max_bytes).alias("truncated"),
     )

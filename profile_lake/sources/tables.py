@@ -11,18 +11,24 @@ from profile_lake.schemas import LISTING, PROFILE
 LISTING_ROWS = 64
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    table = spark.read.parquet(path)
+    if not stream:
+        return table
+    # A pattern, since a stream takes a folder or a pattern but no single file.
+    files = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 100)
+    return files.parquet(f"{sf_dir}/{name}[.]parquet")
 
 
-def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_log(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One listed row per event; eight consecutive events share a query id."""
     state = (
         F.when(F.col("event_type") == "error", "FAILED")
         .when(F.col("event_type") == "signup", "RUNNING")
         .otherwise("FINISHED")
     )
-    based = _table(spark, sf_dir, "events").select(
+    based = _table(spark, sf_dir, "events", stream).select(
         "event_id",
         epoch_micros("ts").alias("event_us"),
         F.expr("concat('q-', cast(event_id div 8 as string))").alias("query_id"),
@@ -56,9 +62,9 @@ def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def poll_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def poll_attempts(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One poll of a host per event: (fe_host, poll_us, event_id, ok, duration_us)."""
-    return _table(spark, sf_dir, "events").select(
+    return _table(spark, sf_dir, "events", stream).select(
         F.expr("concat('fe-', cast(user_id % 3 as string), ':8030')").alias("fe_host"),
         epoch_micros("ts").alias("poll_us"),
         "event_id",
@@ -95,7 +101,8 @@ def listing_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("isQuery"),
         "state",
         "database",
-        F.col("sql_text").alias("sql"),
+        # An absent field reads back as ''.
+        F.nullif("sql_text", F.lit("")).alias("sql"),
         "user",
         F.col("start_time_ms").alias("startTime"),
         F.col("end_time_ms").alias("endTime"),
@@ -126,6 +133,41 @@ def listing_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing bodies with the last byte missing from every seventh poll."""
+    cut = F.expr("substring(body, 1, octet_length(body) - 1)")
+    return listing_responses(spark, sf_dir).withColumn(
+        "body", F.when(F.col("poll_id") % 7 == 0, cut).otherwise(F.col("body"))
+    )
+
+
+def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile response per document; every tenth is missing on its host."""
+    missing = F.col("doc_id") % 10 == 0
+    return _table(spark, sf_dir, "documents").select(
+        F.expr("doc_id div 64").alias("poll_id"),
+        F.expr("concat('fe-', cast(doc_id % 3 as string), ':8030')").alias("fe_host"),
+        F.lit(PROFILE).alias("endpoint"),
+        F.concat(F.lit("q-"), F.col("doc_id")).alias("query_id"),
+        F.lit(1).alias("attempt"),
+        F.when(missing, 404).otherwise(200).alias("status"),
+        F.lit(0).cast("long").alias("started_us"),
+        F.lit(0).cast("long").alias("finished_us"),
+        F.when(missing, "not found").otherwise(F.col("text")).cast("binary").alias("body"),
+    )
+
+
+def host_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A carelessly written host list per event."""
+    return _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.expr(
+            "concat(' fe-', cast(user_id % 3 as string), ':8030 , ,fe-',"
+            " cast(event_id % 5 as string), ':8030,')"
+        ).alias("hosts"),
+    )
+
+
 def flush_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flushes of the sink, one per order: (flush_us, status, entries, duration_us, bytes)."""
     return _table(spark, sf_dir, "orders").select(
