@@ -6,6 +6,7 @@ from profile_lake.functions.columns import (
     micros_to_ntz,
     partition_keys,
     period_start,
+    period_text,
     rfc3339_from_millis,
     rfc3339_to_timestamp,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "micros_to_ntz",
     "partition_keys",
     "period_start",
+    "period_text",
     "prefix_by_bucket",
     "rfc3339_from_millis",
     "rfc3339_to_timestamp",

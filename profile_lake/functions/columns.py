@@ -27,9 +27,9 @@ def fingerprint(sql: Column | str) -> Column:
 def rfc3339_from_millis(millis: Column | str) -> Column:
     """Epoch milliseconds as UTC text, cut to seconds; empty for values <= 0."""
     value = _col(millis)
-    text = _epoch_plus("MILLISECOND", value).cast("string")
-    stamp = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
-    return F.when(value > 0, stamp).otherwise("")
+    # A whole second prints as "yyyy-MM-dd HH:mm:ss".
+    second = _epoch_plus("SECOND", F.floor(value / 1000)).cast("string")
+    return F.when(value > 0, F.concat(F.translate(second, " ", "T"), F.lit("Z"))).otherwise("")
 
 
 def rfc3339_to_timestamp(text: Column | str) -> Column:
@@ -53,17 +53,23 @@ def micros_to_ntz(micros: Column | str) -> Column:
     return _epoch_plus("MICROSECOND", _col(micros))
 
 
-def period_start(ts_ntz: Column | str, grain: str) -> Column:
-    """Start of the hour, day, week (Monday) or month a TIMESTAMP_NTZ falls into."""
-    ts = _col(ts_ntz)
-    if grain == "hour":
-        return F.concat(F.substring(ts.cast("string"), 1, 13), F.lit(":00:00")).cast("timestamp_ntz")
-    day = ts.cast("date")
-    if grain in ("week", "month"):
-        day = F.trunc(day, grain)
-    elif grain != "day":
-        raise ValueError(f"unknown grain {grain!r}: use hour, day, week or month")
-    return day.cast("timestamp_ntz")
+# Leading characters of an RFC 3339 text that name its hour, day, month and minute.
+_PERIOD_WIDTH = {"month": 7, "week": 10, "day": 10, "hour": 13, "minute": 16}
+_PERIOD_REST = {"month": "-01 00:00:00", "week": " 00:00:00", "day": " 00:00:00", "hour": ":00:00"}
+
+
+def period_text(rfc3339: Column | str, grain: str) -> Column:
+    """The part of an RFC 3339 text that names its period; for weeks, the Monday."""
+    if grain not in _PERIOD_WIDTH:
+        raise ValueError(f"unknown grain {grain!r}: use {', '.join(_PERIOD_WIDTH)}")
+    head = F.substring(_col(rfc3339), 1, _PERIOD_WIDTH[grain])
+    return F.trunc(head.cast("date"), "week").cast("string") if grain == "week" else head
+
+
+def period_start(period: Column | str, grain: str) -> Column:
+    """The TIMESTAMP_NTZ a :func:`period_text` of hour, day, week or month begins at."""
+    day_and_hour = F.translate(_col(period), "T", " ")
+    return F.concat(day_and_hour, F.lit(_PERIOD_REST[grain])).cast("timestamp_ntz")
 
 
 def partition_keys(flush_us: Column | str) -> list[Column]:

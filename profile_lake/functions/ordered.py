@@ -42,17 +42,17 @@ def prefix_by_bucket(
 def running_rank(
     df: DataFrame,
     keys: Sequence[str],
-    micros: str,
+    bucket: Column,
     order: Sequence[Column | str],
-    bucket_us: int,
     name: str = "rank",
 ) -> DataFrame:
     """Add the 1-based position of each row inside its key, ordered by ``order``.
 
-    ``order`` must start with ``micros`` (or agree with it). Rows and carry are both
-    partitioned by (key, bucket), so adding the carry moves no row a second time.
+    ``bucket`` must rise with ``order``; its number of values per key bounds the carry.
+    Rows and carry are both partitioned by (key, bucket), so adding the carry moves no
+    row a second time.
     """
-    cut = df.withColumn(BUCKET, bucket_of(micros, bucket_us))
+    cut = df.withColumn(BUCKET, bucket)
     carry = prefix_by_bucket(cut, keys, BUCKET, F.count(F.lit(1)), "_before")
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     ranked = cut.withColumn("_inside", F.row_number().over(inside))

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from profile_lake.functions.columns import fingerprint, period_start
+from profile_lake.functions.columns import fingerprint, period_start, period_text
 from profile_lake.functions.ordered import bucket_of, running_rank
-from profile_lake.schemas import MICROS
+from profile_lake.session import stage
 
 DIMENSIONS = ("cluster", "database", "user", "query_hash")
 PERCENTILES = ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))
@@ -23,12 +23,12 @@ def duration_trend(
     Rows first shrink to one count per group and distinct duration, combined before the
     shuffle. Durations are whole milliseconds, so a group's task sorts its distinct
     durations, however many runs share them. Percentiles interpolate linearly.
-    Needs ``start_ts``; rows without a start are left out.
+    Rows without a start are left out.
     """
     keys = ["period", *dimensions]
     counts = (
-        profiles.where(F.col("start_ts").isNotNull())
-        .withColumn("period", period_start("start_ts", grain))
+        profiles.where(F.col("start_time") != "")
+        .withColumn("period", period_text("start_time", grain))
         .groupBy(*keys, "duration_ms")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -54,7 +54,7 @@ def duration_trend(
         place = (F.col("runs") - 1) * F.lit(p)
         lo, hi = F.col(f"lo_{name}"), F.col(f"hi_{name}")
         quantiles.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
-    return grouped.select(
+    return grouped.withColumn("period", period_start("period", grain)).select(
         *keys, "runs", (F.col("total_ms") / F.col("runs")).alias("avg_ms"), *quantiles, "max_ms"
     )
 
@@ -68,8 +68,8 @@ def duration_trend_approx(
     """As :func:`duration_trend` with sketched percentiles: one shuffle of small sketches."""
     keys = ["period", *dimensions]
     return (
-        profiles.where(F.col("start_ts").isNotNull())
-        .withColumn("period", period_start("start_ts", grain))
+        profiles.where(F.col("start_time") != "")
+        .withColumn("period", period_text("start_time", grain))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("runs"),
@@ -80,13 +80,16 @@ def duration_trend_approx(
             ],
             F.max("duration_ms").alias("max_ms"),
         )
+        .withColumn("period", period_start("period", grain))
     )
 
 
 def statement_summary(profiles: DataFrame) -> DataFrame:
-    """Per fingerprint: runs, users, first and last start, time spent and its share."""
-    total = profiles.where(F.col("query_hash").isNotNull()).agg(F.sum("duration_ms")).scalar()
-    return (
+    """Per fingerprint: runs, users, first and last start, time spent and its share.
+
+    The summary is staged, so the table is read once for both sums and total.
+    """
+    summary = stage(
         profiles.where(F.col("query_hash").isNotNull())
         .groupBy("query_hash")
         .agg(
@@ -95,9 +98,11 @@ def statement_summary(profiles: DataFrame) -> DataFrame:
             F.min("start_time").alias("first_seen"),
             F.max("start_time").alias("last_seen"),
             F.sum("duration_ms").alias("total_ms"),
-        )
-        .withColumn("share", F.col("total_ms") / total)
+        ),
+        "statements",
     )
+    total = summary.agg(F.sum("total_ms")).scalar()
+    return summary.withColumn("share", F.when(total > 0, F.col("total_ms") / total))
 
 
 def top_slow(profiles: DataFrame, k: int) -> DataFrame:
@@ -123,20 +128,22 @@ def top_slow_by(profiles: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
 def duration_regression(
     profiles: DataFrame,
     trailing: int = 10,
-    bucket_us: int = 60 * MICROS,
     block_rows: int = 100_000,
 ) -> DataFrame:
     """Each run against the mean of the ``trailing`` runs before it of the same statement.
 
-    A statement may own a large share of all runs. Runs are numbered through time buckets,
+    A statement may own a large share of all runs. Runs are numbered minute by minute,
     cut into blocks of ``block_rows``, and each block gets copies of the ``trailing`` rows
-    before it, so that a task sees at most one block. Needs ``start_us``.
+    before it, so that a task sees at most one block.
     """
-    order = ["start_us", "sr_query_id", "fe_host"]
+    # RFC 3339 texts sort by time.
+    order = ["start_time", "sr_query_id", "fe_host"]
     runs = profiles.where(F.col("query_hash").isNotNull()).select(
         "query_hash", *order, "duration_ms"
     )
-    ranked = running_rank(runs, ["query_hash"], "start_us", order, bucket_us)
+    # Two branches read the runs: a narrow copy saves the second pass over the table.
+    runs = stage(runs, "runs")
+    ranked = running_rank(runs, ["query_hash"], period_text("start_time", "minute"), order)
     block_rows = max(block_rows, trailing)
     own = bucket_of(F.col("rank") - 1, block_rows)
     at_end = F.pmod(F.col("rank") - 1, F.lit(block_rows)) >= block_rows - trailing

@@ -11,11 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profile_lake.functions.columns import (
-    epoch_micros,
-    partition_keys,
-    rfc3339_from_millis,
-)
+from profile_lake.functions.columns import partition_keys
 from profile_lake.operators import analytics, dedup, enrich, health, metrics, progress, records
 from profile_lake.plans.collect import collect_profiles
 from profile_lake.schemas import MICROS, PARTITION_COLUMNS
@@ -31,7 +27,6 @@ from profile_lake.sources import (
     split_bad,
     tables,
     union_hosts,
-    with_event_times,
 )
 from profile_lake.sources.profiles import decode_lines
 from profile_lake.streaming import dedup as stream_dedup
@@ -168,9 +163,8 @@ def _finished(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished rows as records without texts, with their start as a timestamp."""
-    rows = records.to_record(_finished(spark, sf_dir), CLUSTER, _collected_at())
-    return with_event_times(rows)
+    """Finished rows as records without texts."""
+    return records.to_record(_finished(spark, sf_dir), CLUSTER, _collected_at())
 
 
 def _full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -720,12 +714,10 @@ SELECT query_hash, sr_query_id, fe_host, start_time, duration_ms,
   coalesce(round(CASE WHEN s > 0 THEN duration_ms / (s / n) END, 6), -1) AS ratio FROM placed""")
 def duration_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each run against the ten before it of the same statement; -1 where there is none."""
-    runs = _runs(spark, sf_dir).withColumn("start_us", epoch_micros("start_ts"))
-    compared = analytics.duration_regression(runs, trailing=10)
-    start = rfc3339_from_millis(F.expr("start_us div 1000")).alias("start_time")
+    compared = analytics.duration_regression(_runs(spark, sf_dir), trailing=10)
     absent = F.lit(-1.0)
     return compared.select(
-        "query_hash", "sr_query_id", "fe_host", start, "duration_ms",
+        "query_hash", "sr_query_id", "fe_host", "start_time", "duration_ms",
         F.coalesce("previous_ms", absent).alias("previous_ms"),
         F.coalesce(F.round("trailing_avg_ms", 6), absent).alias("trailing_avg_ms"),
         F.coalesce(F.round("ratio", 6), absent).alias("ratio"),

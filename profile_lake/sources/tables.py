@@ -11,13 +11,23 @@ from profile_lake.schemas import LISTING, PROFILE
 LISTING_ROWS = 64
 
 
+# Declared, so that opening a table reads no footers.
+_SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    table = spark.read.parquet(path)
+    schema = _SCHEMAS[name]
     if not stream:
-        return table
+        return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
     # A pattern, since a stream takes a folder or a pattern but no single file.
-    files = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 100)
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100)
     return files.parquet(f"{sf_dir}/{name}[.]parquet")
 
 
