@@ -30,6 +30,7 @@ from profile_lake.schemas import MAX_DEDUP_ENTRIES
 from profile_lake.session import scratch_path, stage
 
 MAX_FOLD = 50_000
+BROADCAST_IDS = 100_000
 TIES = ("fe_host", "event_id")
 _RUN = ["query_id", "run"]
 
@@ -51,21 +52,9 @@ def drop_seen(details: DataFrame, seen: DataFrame) -> DataFrame:
     return details.join(seen, "query_id", "left_anti")
 
 
-def _after_seen(details: DataFrame, seen: DataFrame, ttl_us: int, clock: str) -> DataFrame:
-    """Rows no entry of ``seen`` suppresses: what remains of an id starts afresh."""
-    known = seen.select("query_id", F.col("first_seen_us").alias("_seen_us"))
-    return (
-        details.join(known, "query_id", "left")
-        .where(F.col("_seen_us").isNull() | (F.col(clock) - F.col("_seen_us") > ttl_us))
-        .drop("_seen_us")
-    )
-
-
-def _kept(sorted_rows: Column, ttl_us: int) -> Column:
-    """Fold an array of structs sorted by ``at`` into those accepted."""
-    nothing = F.struct(
-        F.lit(None).cast("long").alias("last"), F.slice(sorted_rows, 1, 0).alias("kept")
-    )
+def _kept(sorted_rows: Column, ttl_us: int, last: Column) -> Column:
+    """Fold an array of structs sorted by ``at`` into those accepted after ``last``."""
+    nothing = F.struct(last.alias("last"), F.slice(sorted_rows, 1, 0).alias("kept"))
 
     def step(state: Column, row: Column) -> Column:
         grown = F.struct(
@@ -77,21 +66,44 @@ def _kept(sorted_rows: Column, ttl_us: int) -> Column:
     return F.aggregate(sorted_rows, nothing, step, lambda state: state["kept"])
 
 
-def _fold(rows: DataFrame, keys: Sequence[str], ttl_us: int) -> DataFrame:
+def _fold(
+    rows: DataFrame, keys: Sequence[str], ttl_us: int, seen: DataFrame | None = None
+) -> DataFrame:
     """Accepted rows per key; all columns but the keys order the rows, ``at`` first."""
     ordered = [c for c in rows.columns if c not in keys]
     gathered = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(*ordered))).alias("sorted")
     )
+    if seen is None:
+        gathered = gathered.withColumn("last", F.lit(None).cast("long"))
+    else:
+        # One row per id on either side: a hot id weighs no more than any other.
+        gathered = gathered.join(seen.select("query_id", _last_seen()), "query_id", "left")
     return gathered.select(
-        *keys, F.explode(_kept(F.col("sorted"), ttl_us)).alias("row")
+        *keys, F.explode(_kept(F.col("sorted"), ttl_us, F.col("last"))).alias("row")
     ).select(*keys, "row.*")
 
 
-def accepted_instants(instants: DataFrame, ttl_us: int, max_fold: int = MAX_FOLD) -> DataFrame:
+def _last_seen() -> Column:
+    return F.col("first_seen_us").alias("last")
+
+
+def accepted_instants(
+    instants: DataFrame, ttl_us: int, seen: DataFrame | None = None, max_fold: int = MAX_FOLD
+) -> DataFrame:
     """Of distinct (query_id, at) pairs of hot ids, those the TTL rule accepts."""
     width = max(ttl_us, 1)
     celled = instants.select("query_id", "at", bucket_of("at", width).alias("cell"))
+    if seen is not None:
+        # What an earlier acceptance suppresses goes; the rest of an id starts afresh.
+        # The entry meets an id's cells first, and its rows cell by cell.
+        known = seen.select("query_id", _last_seen())
+        entries = celled.select("query_id", "cell").distinct().join(known, "query_id", "left")
+        celled = (
+            celled.join(entries, ["query_id", "cell"])
+            .where(F.col("last").isNull() | (F.col("at") - F.col("last") > ttl_us))
+            .select("query_id", "at", "cell")
+        )
     cells = celled.groupBy("query_id", "cell").agg(
         F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n")
     )
@@ -180,16 +192,20 @@ def _step_through_time(
     )
 
 
-def ttl_winners(rows: DataFrame, ttl_us: int, max_fold: int = MAX_FOLD) -> DataFrame:
+def ttl_winners(
+    rows: DataFrame, ttl_us: int, seen: DataFrame | None = None, max_fold: int = MAX_FOLD
+) -> DataFrame:
     """The accepted rows of (query_id, at, ties…); ties at one instant go to the least."""
     hot = rows.groupBy("query_id").count().where(F.col("count") > max_fold).select("query_id")
     if hot.isEmpty():
-        return _fold(rows, ["query_id"], ttl_us)
+        return _fold(rows, ["query_id"], ttl_us, seen)
     hot = stage(hot, "hot-ids")
-    usual = _fold(rows.join(hot, "query_id", "left_anti"), ["query_id"], ttl_us)
+    if hot.count() <= BROADCAST_IDS:
+        hot = F.broadcast(hot)
+    usual = _fold(rows.join(hot, "query_id", "left_anti"), ["query_id"], ttl_us, seen)
     crowded = rows.join(hot, "query_id", "left_semi")
     instants = stage(crowded.select("query_id", "at").distinct(), "hot-instants")
-    accepted = accepted_instants(instants, ttl_us, max_fold)
+    accepted = accepted_instants(instants, ttl_us, seen, max_fold)
     order = Window.partitionBy("query_id", "at").orderBy(*rows.columns[2:])
     hits = crowded.join(accepted, ["query_id", "at"], "left_semi")
     return usual.unionByName(_first_by(hits, order))
@@ -208,10 +224,8 @@ def ttl_dedup(
     ``seen`` (query_id, first_seen_us) carries acceptances of earlier runs. ``ties`` must
     tell rows of one id and instant apart.
     """
-    if seen is not None:
-        details = _after_seen(details, seen, ttl_us, clock)
     rows = details.select("query_id", F.col(clock).alias("at"), *ties)
-    winners = ttl_winners(rows, ttl_us, max_fold).withColumnRenamed("at", clock)
+    winners = ttl_winners(rows, ttl_us, seen, max_fold).withColumnRenamed("at", clock)
     return details.join(winners, ["query_id", clock, *ties], "left_semi")
 
 
@@ -224,9 +238,8 @@ def label_first(
     max_fold: int = MAX_FOLD,
 ) -> DataFrame:
     """All rows, with ``is_first`` true where :func:`ttl_dedup` would keep the row."""
-    open_rows = details if seen is None else _after_seen(details, seen, ttl_us, clock)
-    rows = open_rows.select("query_id", F.col(clock).alias("at"), *ties)
-    winners = ttl_winners(rows, ttl_us, max_fold).withColumnRenamed("at", clock)
+    rows = details.select("query_id", F.col(clock).alias("at"), *ties)
+    winners = ttl_winners(rows, ttl_us, seen, max_fold).withColumnRenamed("at", clock)
     return (
         details.join(
             winners.withColumn("_first", F.lit(True)), ["query_id", clock, *ties], "left"

@@ -12,12 +12,11 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
 from profile_lake.schemas import BATCH_SIZE, MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
-from profile_lake.sinks.jsonl import to_jsonl
 
 FLUSH_LOG_SCHEMA = (
     "batch_id long, flush_us long, status string, entries long, duration_us long, bytes long"
@@ -134,31 +133,43 @@ class FallbackWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         started = self.clock_us()
         records = batch.select(*PROFILE_SCHEMA.fieldNames())
-        status = "success"
         try:
-            self._write(records, started, batch_id)
+            entries, size = self._write(records, started, batch_id)
+            status = "success"
         except Exception:  # any failure of the store: the records must survive
-            status = "error"
-            records.write.mode("overwrite").json(f"{self.fallback_path}/batch_id={batch_id}")
-        self._log(records, batch_id, started, status)
-
-    def _write(self, records: DataFrame, flush_us: int, batch_id: int) -> None:
-        rows = with_partitions(records, flush_us).withColumn("batch_id", F.lit(batch_id))
+            entries, _ = self._keep(records, batch_id)
+            status, size = "error", 0
+        took = self.clock_us() - started
+        row = (batch_id, started, status, entries, took, size)
+        log = batch.sparkSession.createDataFrame([row], FLUSH_LOG_SCHEMA)
+        log.write.mode("overwrite").json(f"{self.log_path}/batch={batch_id}")
+
+    def _write(self, records: DataFrame, flush_us: int, batch_id: int) -> tuple[int, int]:
+        counted, counts = _counted(records)
+        rows = counted.select("*", *partition_keys(F.lit(flush_us)))
         (
-            rows.write.partitionBy(*PARTITION_COLUMNS, "batch_id")
+            rows.withColumn("batch_id", F.lit(batch_id))
+            .write.partitionBy(*PARTITION_COLUMNS, "batch_id")
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.batch_size)
             .json(self.location)
         )
-
-    def _log(self, records: DataFrame, batch_id: int, flush_us: int, status: str) -> None:
-        size = F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).cast("long")
-        to_jsonl(records).agg(
-            F.lit(batch_id).cast("long").alias("batch_id"),
-            F.lit(flush_us).cast("long").alias("flush_us"),
-            F.lit(status).alias("status"),
-            F.count(F.lit(1)).alias("entries"),
-            F.lit(self.clock_us() - flush_us).cast("long").alias("duration_us"),
-            (size if status == "success" else F.lit(0).cast("long")).alias("bytes"),
-        ).write.mode("overwrite").json(f"{self.log_path}/batch={batch_id}")
+        return counts()
+
+    def _keep(self, records: DataFrame, batch_id: int) -> tuple[int, int]:
+        counted, counts = _counted(records)
+        counted.write.mode("overwrite").json(f"{self.fallback_path}/batch_id={batch_id}")
+        return counts()
+
+
+def _counted(records: DataFrame) -> tuple[DataFrame, Callable[[], tuple[int, int]]]:
+    """Records that count themselves and their encoded bytes while they are written."""
+    seen = Observation()
+    line = F.to_json(F.struct(*PROFILE_SCHEMA.fieldNames()))
+    counted = records.observe(
+        seen,
+        F.count(F.lit(1)).alias("entries"),
+        F.coalesce(F.sum(F.octet_length(line) + 1), F.lit(0)).alias("bytes"),
+    )
+    return counted, lambda: (seen.get["entries"], seen.get["bytes"])
