@@ -4,9 +4,9 @@ The rule: an id is accepted, then suppressed until *more than* the TTL has passe
 the accepted row. Suppressed rows do not extend the window. The clock is any LONG column
 in microseconds: arrival (``finished_us`` of the response) or the event time.
 
-Ids are counted first (combined before the shuffle). An id with at most ``max_fold`` rows
-is folded over its sorted instants in one task; only (id, instant, ties) is shuffled, and
-wide columns join the winners afterwards. Hot ids never meet in one task:
+Ids are counted first (combined before the shuffle). The rows of an id with at most
+``max_fold`` rows are ordered in one task; only (id, instant, ties) is shuffled, and wide
+columns join the winners afterwards. Hot ids never meet in one task:
 
 * their rows shrink to distinct (id, instant) pairs;
 * time is cut into cells as wide as the TTL, and each id gets one summary row per cell.
@@ -29,7 +29,7 @@ from profile_lake.functions.ordered import bucket_of
 from profile_lake.schemas import MAX_DEDUP_ENTRIES
 from profile_lake.session import scratch_path, stage
 
-MAX_FOLD = 50_000
+MAX_FOLD = 200_000
 BROADCAST_IDS = 100_000
 TIES = ("fe_host", "event_id")
 _RUN = ["query_id", "run"]
@@ -67,25 +67,49 @@ def _kept(sorted_rows: Column, ttl_us: int, last: Column) -> Column:
 
 
 def _fold(
-    rows: DataFrame, keys: Sequence[str], ttl_us: int, seen: DataFrame | None = None
+    rows: DataFrame, keys: Sequence[str], ttl_us: int, last: Column | None = None
 ) -> DataFrame:
-    """Accepted rows per key; all columns but the keys order the rows, ``at`` first."""
+    """Accepted rows per key; all columns but the keys order the rows, ``at`` first.
+
+    ``last`` is an acceptance before all rows of the key, made from the keys.
+    """
     ordered = [c for c in rows.columns if c not in keys]
-    gathered = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(*ordered))).alias("sorted")
+    before = F.lit(None).cast("long") if last is None else last
+    return (
+        rows.groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(F.struct(*ordered))).alias("sorted"))
+        .select(*keys, F.explode(_kept(F.col("sorted"), ttl_us, before)).alias("row"))
+        .select(*keys, "row.*")
+    )
+
+
+def _open_rows(
+    rows: DataFrame, seen: DataFrame, ttl_us: int, on: Sequence[str] = ("query_id",)
+) -> DataFrame:
+    """Rows no earlier acceptance (``last``) suppresses: an id starts afresh with them."""
+    return (
+        rows.join(seen, list(on), "left")
+        .where(F.col("last").isNull() | (F.col("at") - F.col("last") > ttl_us))
+        .select(*rows.columns)
     )
-    if seen is None:
-        gathered = gathered.withColumn("last", F.lit(None).cast("long"))
-    else:
-        # One row per id on either side: a hot id weighs no more than any other.
-        gathered = gathered.join(seen.select("query_id", _last_seen()), "query_id", "left")
-    return gathered.select(
-        *keys, F.explode(_kept(F.col("sorted"), ttl_us, F.col("last"))).alias("row")
-    ).select(*keys, "row.*")
 
 
-def _last_seen() -> Column:
-    return F.col("first_seen_us").alias("last")
+def _accept(rows: DataFrame, ttl_us: int) -> DataFrame:
+    """Accepted rows of ids that fit into a task, with one shuffle.
+
+    A row more than a TTL after the row before it starts a run and is accepted, and rows
+    within a TTL of a run's start are not. Only later rows of a run need the fold.
+    """
+    by_time = Window.partitionBy("query_id").orderBy(*rows.columns[1:])
+    before = F.lag("at").over(by_time)
+    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    judged = rows.withColumn(
+        "starts", before.isNull() | (F.col("at") - before > ttl_us)
+    ).withColumn("run_start", F.max(F.when(F.col("starts"), F.col("at"))).over(so_far))
+    sure = judged.where("starts").select(*rows.columns)
+    late = judged.where(F.col("at") - F.col("run_start") > ttl_us).drop("starts")
+    folded = _fold(late, ["query_id", "run_start"], ttl_us, F.col("run_start"))
+    return sure.unionByName(folded.select(*rows.columns))
 
 
 def accepted_instants(
@@ -95,15 +119,9 @@ def accepted_instants(
     width = max(ttl_us, 1)
     celled = instants.select("query_id", "at", bucket_of("at", width).alias("cell"))
     if seen is not None:
-        # What an earlier acceptance suppresses goes; the rest of an id starts afresh.
         # The entry meets an id's cells first, and its rows cell by cell.
-        known = seen.select("query_id", _last_seen())
-        entries = celled.select("query_id", "cell").distinct().join(known, "query_id", "left")
-        celled = (
-            celled.join(entries, ["query_id", "cell"])
-            .where(F.col("last").isNull() | (F.col("at") - F.col("last") > ttl_us))
-            .select("query_id", "at", "cell")
-        )
+        entries = celled.select("query_id", "cell").distinct().join(seen, "query_id", "left")
+        celled = _open_rows(celled, entries, ttl_us, ("query_id", "cell"))
     cells = celled.groupBy("query_id", "cell").agg(
         F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n")
     )
@@ -196,16 +214,18 @@ def ttl_winners(
     rows: DataFrame, ttl_us: int, seen: DataFrame | None = None, max_fold: int = MAX_FOLD
 ) -> DataFrame:
     """The accepted rows of (query_id, at, ties…); ties at one instant go to the least."""
+    last = None if seen is None else seen.select("query_id", F.col("first_seen_us").alias("last"))
     hot = rows.groupBy("query_id").count().where(F.col("count") > max_fold).select("query_id")
     if hot.isEmpty():
-        return _fold(rows, ["query_id"], ttl_us, seen)
+        return _accept(rows if last is None else _open_rows(rows, last, ttl_us), ttl_us)
     hot = stage(hot, "hot-ids")
     if hot.count() <= BROADCAST_IDS:
         hot = F.broadcast(hot)
-    usual = _fold(rows.join(hot, "query_id", "left_anti"), ["query_id"], ttl_us, seen)
+    usual = rows.join(hot, "query_id", "left_anti")
+    usual = _accept(usual if last is None else _open_rows(usual, last, ttl_us), ttl_us)
     crowded = rows.join(hot, "query_id", "left_semi")
     instants = stage(crowded.select("query_id", "at").distinct(), "hot-instants")
-    accepted = accepted_instants(instants, ttl_us, seen, max_fold)
+    accepted = accepted_instants(instants, ttl_us, last, max_fold)
     order = Window.partitionBy("query_id", "at").orderBy(*rows.columns[2:])
     hits = crowded.join(accepted, ["query_id", "at"], "left_semi")
     return usual.unionByName(_first_by(hits, order))
