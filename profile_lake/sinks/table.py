@@ -21,7 +21,7 @@ from profile_lake.schemas import BATCH_SIZE, MICROS, PARTITION_COLUMNS, PROFILE_
 FLUSH_LOG_SCHEMA = (
     "batch_id long, flush_us long, status string, entries long, duration_us long, bytes long"
 )
-# fixed value: the prefix used when none is given
+# Ours: the prefix used when none is given.
 DEFAULT_PREFIX = "query-profiles"
 
 

@@ -33,35 +33,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) ->
 
 def query_log(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One listed row per event; eight consecutive events share a query id."""
-    state = (
-        F.when(F.col("event_type") == "error", "FAILED")
-        .when(F.col("event_type") == "signup", "RUNNING")
-        .otherwise("FINISHED")
-    )
-    based = _table(spark, sf_dir, "events", stream).select(
-        "event_id",
-        epoch_micros("ts").alias("event_us"),
-        F.expr("concat('q-', cast(event_id div 8 as string))").alias("query_id"),
-        F.expr("concat('fe-', cast(user_id % 3 as string), ':8030')").alias("fe_host"),
-        state.alias("state"),
-        F.expr("concat('db', cast(user_id % 5 as string))").alias("database"),
-        F.when(F.col("event_id") % 50 == 0, "")
-        .otherwise(F.concat(F.lit("SELECT * FROM t WHERE k = "), F.get_json_object("props", "$.k")))
-        .alias("sql_text"),
-        F.concat(F.lit("u"), F.col("user_id")).alias("user"),
-        F.expr("cast(floor(value * 100) as bigint)").alias("raw_latency"),
+    return (
+        _table(spark, sf_dir, "events", stream)
+        .select("*", epoch_micros("ts").alias("event_us"))
+        .selectExpr(
+            "event_id",
+            "event_us",
+            "event_us div 1000 AS start_time_ms",
+            "concat('q-', cast(event_id div 8 AS string)) AS query_id",
+            "concat('fe-', cast(user_id % 3 AS string), ':8030') AS fe_host",
+            "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'RUNNING'"
+            " ELSE 'FINISHED' END AS state",
+            "concat('db', cast(user_id % 5 AS string)) AS database",
+            "CASE WHEN event_id % 50 = 0 THEN ''"
+            " ELSE concat('SELECT * FROM t WHERE k = ', get_json_object(props, '$.k')) END AS sql_text",
+            "concat('u', user_id) AS user",
+            "CASE WHEN event_type = 'signup' THEN -1L"
+            " ELSE cast(floor(value * 100) AS bigint) END AS latency",
+        )
+        .selectExpr(
+            "*",
+            "event_us * 1000 AS event_time",
+            "CASE WHEN state = 'RUNNING' THEN -1L ELSE start_time_ms + latency END AS end_time_ms",
+        )
     )
-    running = F.col("state") == "RUNNING"
-    return based.withColumns(
-        {
-            "event_time": F.col("event_us") * 1000,
-            "start_time_ms": F.expr("event_us div 1000"),
-            "latency": F.when(running, F.lit(-1).cast("long")).otherwise(F.col("raw_latency")),
-            "end_time_ms": F.when(running, F.lit(-1).cast("long")).otherwise(
-                F.expr("event_us div 1000") + F.col("raw_latency")
-            ),
-        }
-    ).drop("raw_latency")
 
 
 def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,41 +100,33 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing bodies of at most 64 rows each; odd polls use the wrapped envelope."""
-    row = F.struct(
-        F.col("event_time").alias("eventTime"),
-        F.col("query_id").alias("queryId"),
-        F.lit(True).alias("isQuery"),
-        "state",
-        "database",
-        # An absent field reads back as ''.
-        F.nullif("sql_text", F.lit("")).alias("sql"),
-        "user",
-        F.col("start_time_ms").alias("startTime"),
-        F.col("end_time_ms").alias("endTime"),
-        "latency",
-        F.col("event_id").alias("connId"),
+    # An absent field reads back as ''.
+    row = (
+        "named_struct('eventTime', event_time, 'queryId', query_id, 'isQuery', true, 'state', state,"
+        " 'database', database, 'sql', nullif(sql_text, ''), 'user', user,"
+        " 'startTime', start_time_ms, 'endTime', end_time_ms, 'latency', latency, 'connId', event_id)"
     )
-    bodies = (
+    return (
         query_log(spark, sf_dir)
-        .withColumn("poll_id", F.expr(f"event_id div {LISTING_ROWS}"))
+        .selectExpr(f"event_id div {LISTING_ROWS} AS poll_id", "fe_host", "event_us", f"{row} AS row")
         .groupBy("poll_id", "fe_host")
         .agg(
-            F.to_json(F.array_sort(F.collect_list(row))).alias("rows"),
-            F.min("event_us").alias("started_us"),
-            F.max("event_us").alias("finished_us"),
+            F.expr("to_json(array_sort(collect_list(row))) AS rows"),
+            F.expr("min(event_us) AS started_us"),
+            F.expr("max(event_us) AS finished_us"),
+        )
+        .selectExpr(
+            "poll_id",
+            "fe_host",
+            f"'{LISTING}' AS endpoint",
+            "'' AS query_id",
+            "1 AS attempt",
+            "200 AS status",
+            "started_us",
+            "finished_us",
+            "cast(CASE WHEN poll_id % 2 = 1 THEN concat('{\"data\":', rows, '}') ELSE rows END"
+            " AS binary) AS body",
         )
-    )
-    wrapped = F.concat(F.lit('{"data":'), F.col("rows"), F.lit("}"))
-    return bodies.select(
-        "poll_id",
-        "fe_host",
-        F.lit(LISTING).alias("endpoint"),
-        F.lit("").alias("query_id"),
-        F.lit(1).alias("attempt"),
-        F.lit(200).alias("status"),
-        "started_us",
-        "finished_us",
-        F.when(F.col("poll_id") % 2 == 1, wrapped).otherwise(F.col("rows")).cast("binary").alias("body"),
     )
 
 
