@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
 from profile_lake.operators import analytics, dedup, enrich, health, metrics, progress, records
-from profile_lake.plans.collect import collect_profiles
+from profile_lake.plans.collect import Collected, collect, collect_profiles
 from profile_lake.schemas import MICROS, PARTITION_COLUMNS
-from profile_lake.session import scratch_path
+from profile_lake.session import scratch_path, stage
 from profile_lake.sinks import to_jsonl, write_profiles
 from profile_lake.sources import (
     classify_response,
@@ -29,6 +29,7 @@ from profile_lake.sources import (
     union_hosts,
 )
 from profile_lake.sources.profiles import decode_lines
+from profile_lake.streaming import collect as stream_collect
 from profile_lake.streaming import dedup as stream_dedup
 from profile_lake.streaming import monitor
 
@@ -497,6 +498,64 @@ def correlate_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- the whole pipeline over landed responses ---------------------------------------
+
+# 2024-01-30 00:00:00 UTC: the time of the run
+NOW_US = 1706572800 * MICROS
+
+PIPELINE_SQL = f"""{QUERY_LOG_SQL}, arrived AS (
+  SELECT *, max(event_us) OVER (PARTITION BY event_id // 64, fe_host) AS arrival FROM query_log),
+fin AS (SELECT * FROM arrived WHERE state = 'FINISHED'),
+arrivals AS (SELECT DISTINCT query_id, arrival AS event_us FROM fin), {ttl_sql('arrivals')},
+accepted AS (
+  SELECT f.* FROM fin f JOIN kept k ON k.query_id = f.query_id AND k.at = f.arrival
+  QUALIFY row_number() OVER (PARTITION BY f.query_id, f.arrival ORDER BY f.event_time) = 1),
+outcomes AS (
+  SELECT q.*, d.text, CASE WHEN q.state <> 'FINISHED' THEN 'unfinished'
+      WHEN a.event_id IS NULL THEN 'dedup'
+      WHEN d.doc_id IS NULL THEN 'fetch_error'
+      WHEN d.doc_id % 10 = 0 THEN 'not_found' ELSE 'collected' END AS outcome
+  FROM arrived q LEFT JOIN accepted a ON a.event_id = q.event_id
+    LEFT JOIN documents d ON 'q-' || CAST(d.doc_id AS VARCHAR) = q.query_id)"""
+
+_PIPELINE_RECORDS_SQL = f"""WITH RECURSIVE {PIPELINE_SQL} SELECT
+{RECORD_SQL.replace(COLLECTED_AT, '2024-01-30T00:00:00Z')}, text AS profile_text
+FROM outcomes WHERE outcome = 'collected'"""
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> Collected:
+    responses = stage(tables.landed_responses(spark, sf_dir), "responses")
+    seen = spark.createDataFrame([], "query_id string, first_seen_us long")
+    marks = spark.createDataFrame([], progress.PROGRESS_SCHEMA)
+    return collect(responses, seen, marks, CLUSTER, NOW_US, TTL_US)
+
+
+@query(_PIPELINE_RECORDS_SQL)
+def pipeline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of one run over landed responses."""
+    return _pipeline(spark, sf_dir).records
+
+
+@query(f"WITH RECURSIVE {PIPELINE_SQL} SELECT fe_host, query_id, event_time, outcome FROM outcomes")
+def pipeline_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every listed row of the run."""
+    return _pipeline(spark, sf_dir).outcomes.select("fe_host", "query_id", "event_time", "outcome")
+
+
+@query(f"""WITH RECURSIVE {PIPELINE_SQL} SELECT fe_host, max(event_time) AS last_event_time
+FROM outcomes WHERE outcome IN ('collected', 'dedup', 'unfinished') GROUP BY fe_host""")
+def pipeline_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks after the run."""
+    return _pipeline(spark, sf_dir).progress
+
+
+@query(f"""WITH RECURSIVE {PIPELINE_SQL} SELECT query_id, max(arrival) AS first_seen_us FROM accepted
+GROUP BY query_id HAVING max(arrival) >= {NOW_US - TTL_US}""")
+def pipeline_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids still inside their TTL after the run."""
+    return _pipeline(spark, sf_dir).seen
+
+
 # --- progress, counters, histograms -----------------------------------------------
 
 
@@ -733,6 +792,14 @@ def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.drain_events(spark, sf_dir, TTL_US)
 
 
+@query(_PIPELINE_RECORDS_SQL)
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records from one streaming query over the landed files."""
+    landed = scratch_path(spark, "landed")
+    tables.landed_responses(spark, sf_dir).write.parquet(landed)
+    return stream_collect.drain(spark, landed, CLUSTER, NOW_US, TTL_US)
+
+
 @query(f"""WITH {POLLS_SQL} SELECT strftime(time_bucket(INTERVAL 5 MINUTES, make_timestamp(poll_us)),
   '%Y-%m-%d %H:%M:%S') AS window_start, fe_host, count(*) AS polls,
   count(CASE WHEN NOT ok THEN 1 END) AS failed FROM polls GROUP BY ALL""")

@@ -6,6 +6,7 @@ from profile_lake.sinks.table import (
     read_flush_log,
     sink_for,
     write_profiles,
+    write_records,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "sink_for",
     "to_jsonl",
     "write_profiles",
+    "write_records",
 ]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
 from profile_lake.schemas import BATCH_SIZE, MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
+from profile_lake.sinks.jsonl import to_jsonl
 
 FLUSH_LOG_SCHEMA = (
     "batch_id long, flush_us long, status string, entries long, duration_us long, bytes long"
@@ -100,6 +101,16 @@ def write_profiles(
     )
 
 
+def write_records(records: DataFrame, sink: Sink, flush_us: int) -> None:
+    """One flush to the backend a sink names; the console shows a batch of lines."""
+    if sink.location is None:
+        lines = to_jsonl(records).write.format("console").mode("append")
+        lines.option("truncate", False).option("numRows", sink.batch_size).save()
+    else:
+        sink.configure(records.sparkSession)
+        write_profiles(records, sink.location, flush_us, sink.batch_size)
+
+
 def read_flush_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLUSH_LOG_SCHEMA).json(path)
 

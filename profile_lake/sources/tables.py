@@ -154,6 +154,36 @@ def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a poller lands: listings, and a profile response per finished id of a poll.
+
+    Ids without a document got no response; every tenth document is missing on its host.
+    """
+    listings = listing_responses(spark, sf_dir)
+    asked = (
+        query_log(spark, sf_dir)
+        .where("state = 'FINISHED'")
+        .selectExpr(f"event_id div {LISTING_ROWS} AS poll_id", "fe_host", "query_id")
+        .distinct()
+        .join(listings.select("poll_id", "fe_host", "finished_us"), ["poll_id", "fe_host"])
+    )
+    documents = _table(spark, sf_dir, "documents").selectExpr(
+        "concat('q-', doc_id) AS query_id", "doc_id % 10 = 0 AS missing", "text"
+    )
+    profiles = asked.join(documents, "query_id").selectExpr(
+        "poll_id",
+        "fe_host",
+        f"'{PROFILE}' AS endpoint",
+        "query_id",
+        "1 AS attempt",
+        "CASE WHEN missing THEN 404 ELSE 200 END AS status",
+        "finished_us AS started_us",
+        "finished_us",
+        "cast(CASE WHEN missing THEN 'not found' ELSE text END AS binary) AS body",
+    )
+    return listings.unionByName(profiles)
+
+
 def host_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A carelessly written host list per event."""
     return _table(spark, sf_dir, "events").select(
