@@ -299,25 +299,27 @@ def compact_seen(
 ) -> DataFrame:
     """Drop entries older than the TTL, then the oldest ones beyond the cap.
 
-    Entries are range-partitioned by age into slices. Whole slices are kept or dropped
-    by their counts, and only the slice the cut falls into is ranked.
+    A store beyond its cap is range-partitioned by age into slices. Whole slices are kept
+    or dropped by their counts, and only the slice the cut falls into is ranked.
     """
     alive = seen.where(F.col("first_seen_us") >= now_us - ttl_us)
     if cap <= 0:
         return alive
+    alive = stage(alive, "seen")
+    size = alive.count()
+    keep = entries_kept(size, cap)
+    if keep == size:
+        return alive
     newest_first = [F.desc("first_seen_us"), F.asc("query_id")]
     sliced = stage(
         alive.repartitionByRange(*newest_first).withColumn("slice", F.spark_partition_id()),
-        "seen",
+        "seen-slices",
     )
-    counts = sliced.groupBy("slice").count().orderBy("slice").collect()
-    keep = entries_kept(sum(row["count"] for row in counts), cap)
-    for row in counts:
+    # One row per slice.
+    for row in sliced.groupBy("slice").count().orderBy("slice").collect():
         if keep <= row["count"]:
             break
         keep -= row["count"]
-    else:
-        return sliced.drop("slice")
     edge = sliced.where(F.col("slice") == row.slice)
     rank = F.row_number().over(Window.partitionBy("slice").orderBy(*newest_first))
     edge = edge.withColumn("_nth", rank).where(F.col("_nth") <= keep).drop("_nth")

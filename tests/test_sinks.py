@@ -14,6 +14,7 @@ from profile_lake.sinks import (
     sink_for,
     to_jsonl,
     write_profiles,
+    write_records,
 )
 from profile_lake.sources import read_profiles
 from profile_lake.sources.profiles import decode_lines
@@ -94,6 +95,15 @@ def test_bad_options(options):
         sink_for(options)
 
 
+def test_records_go_where_the_sink_says(spark, tmp_path):
+    rows = frame(spark, [record(1), record(2)])
+    # The JVM prints past the capture; the lines themselves are tested above.
+    write_records(rows, sink_for({"backend": "stdout"}), FLUSH_US)
+    sink = sink_for({"backend": "file", "output_dir": str(tmp_path), "prefix": "p"})
+    write_records(rows, sink, FLUSH_US)
+    assert read_profiles(spark, str(tmp_path / "p")).count() == 2
+
+
 def test_failed_flush_goes_to_the_fallback(spark, tmp_path):
     blocked = tmp_path / "blocked"
     blocked.write_text("a file where the table should be")

@@ -1,6 +1,7 @@
 import glob
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 from profile_lake.operators import dedup
 from profile_lake.plans.collect import collect
 from profile_lake.schemas import MICROS
+from profile_lake.sinks import sink_for
 from profile_lake.sources import read_profiles, stream_responses
 from profile_lake.streaming import dedup as stream_dedup
-from profile_lake.streaming.collect import CollectBatches, continuous_records, flush_writer, start_table
+from profile_lake.streaming.collect import CollectBatches, continuous_records, flush_writer, start_sink
 from profile_lake.streaming.enrich import join_late_profiles
 from profile_lake.streaming.monitor import LiveCounters, interval_counts, observed
 
@@ -168,8 +170,9 @@ def test_stream_of_responses_equals_the_batch(spark, tmp_path):
     stream = stream_responses(spark, landing.path, max_files=1)
     now_us = START + 100 * MICROS
     records = continuous_records(stream, "main", F.lit(now_us))
-    location = str(tmp_path / "table")
-    start_table(records, location, str(tmp_path / "state"), None, 1000).awaitTermination()
+    sink = sink_for({"backend": "file", "output_dir": str(tmp_path), "prefix": "table"})
+    start_sink(records, sink, str(tmp_path / "state"), None).awaitTermination()
+    location = sink.location
     got = read_profiles(spark, location)
     seen, progress = empty_state(spark)
     everything = responses(spark, [r for rows in polls() for r in rows])
@@ -229,10 +232,17 @@ def test_live_counters(spark, tmp_path):
         for _ in range(100):
             if counters.batches == 2:
                 break
-            import time
-
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(counters)
     assert counters.totals == {"rows": 3, "without_id": 1}
     assert counters.recent
+
+
+def test_console_takes_a_stream(spark, tmp_path):
+    landing = Landing(tmp_path)
+    landing.put(responses(spark, polls()[0]))
+    records = continuous_records(stream_responses(spark, landing.path), "main", F.lit(START))
+    query = start_sink(records, sink_for({"backend": "stdout"}), str(tmp_path / "state"), None)
+    query.awaitTermination()
+    assert query.exception() is None
