@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,9 +58,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[0]
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, or below the current :func:`scratch_folder`."""
+    return f"{_run_folder.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system it is on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside the block are removed at its end.
+
+    Frames built from them must be written before that.
+    """
+    path = scratch_path(spark, "run")
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        delete_path(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from profile_lake.operators import dedup
 from profile_lake.plans.collect import collect
 from profile_lake.schemas import MICROS
+from profile_lake.session import shared_dir
 from profile_lake.sinks import sink_for
 from profile_lake.sources import read_profiles, stream_responses
 from profile_lake.streaming import dedup as stream_dedup
@@ -198,8 +199,11 @@ def test_batches_through_the_batch_pipeline(spark, tmp_path):
     marks = spark.read.parquet(f"{state}/progress/version=2").collect()
     assert {r.fe_host: r.last_event_time for r in marks} == {"a": 7, "b": 9}
     # Running a batch again changes nothing.
+    before = set(os.listdir(shared_dir(spark)))
     collector(responses(spark, polls()[2]), 2)
     assert read_profiles(spark, location).count() == 5
+    # Nothing staged is left behind.
+    assert set(os.listdir(shared_dir(spark))) == before
 
 
 def test_interval_counts(spark, tmp_path):
