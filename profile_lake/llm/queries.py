@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profile_lake.llm import bpe, language, licences, quality
+from profile_lake.llm import bpe, decontaminate, language, licences, pii, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +53,44 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+    count = lambda n: F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(n).alias(f"n_{kind.name}") for n, kind in enumerate(pii.KINDS[:4])],
+        F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), *rank_file())
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
+    n_hit = decontaminate.covered_words(F.col("spans")).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licences": op2_licences,
     "op3_language": op3_language,
+    "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
+    "op8_decontaminate": op8_decontaminate,
 }
