@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profile_lake.llm import bpe, decontaminate, language, licences, pii, quality
+from profile_lake.llm import bpe, decontaminate, language, licences, pii, quality, seeds, suffix_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(documents(spark, sf_dir))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] < 4)
@@ -86,11 +90,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seeds.removal_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licences": op2_licences,
     "op3_language": op3_language,
+    "op4_suffixes": op4_suffixes,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op9_repeats": op9_repeats,
 }
