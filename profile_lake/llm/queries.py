@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profile_lake.llm import bpe, decontaminate, language, licences, pii, quality, seeds, suffix_dedup
+from profile_lake.llm import bpe, decontaminate, jaccard, language, licences, pii, quality, seeds, suffix_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,10 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.removal_digests(documents(spark, sf_dir))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.component_ids(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licences": op2_licences,
@@ -103,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op9_repeats": op9_repeats,
+    "op10_jaccard": op10_jaccard,
 }
