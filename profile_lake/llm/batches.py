@@ -22,24 +22,26 @@ SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
 NON_ALNUM_BYTES = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows of bounded text size; null texts become empty."""
     at = batch.schema.get_field_index(column)
     batch = batch.set_column(at, column, pc.coalesce(batch.column(at), pa.scalar("", pa.string())))
     ends = np.cumsum(pc.binary_length(batch.column(at)).to_numpy(zero_copy_only=False).astype(np.int64))
     first, base = 0, 0
     while first < batch.num_rows:
-        last = max(first + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + size, "right")))
         yield batch.slice(first, last - first)
         first, base = last, int(ends[last - 1])
 
 
-def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def map_texts(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, size: int = SLICE_BYTES
+) -> DataFrame:
     """Apply ``work`` to every slice of ``df``, whose texts are in column `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=size):
                 yield work(part)
 
     return df.mapInArrow(run, schema)

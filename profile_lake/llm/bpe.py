@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 from profile_lake.llm.batches import map_texts
 
 #: Bounds what a worker holds: texts' chunks remembered, and words contracted by one query.
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 WORDS_PER_QUERY = 20_000
 LONG_WORD = 64
+#: Texts handled at once: the more, the fewer times a word is looked up.
+TEXT_BYTES = 12 << 20
 
 
 @dataclass(frozen=True)
@@ -90,14 +92,18 @@ _ENCODE = """
         ) p ON p.word = r.word
         WHERE r.open
     )
-    SELECT word, tokens FROM rounds WHERE NOT open
+    SELECT tokens FROM rounds WHERE NOT open ORDER BY word
 """
 
 _DECODE = """
-    SELECT w.word, string_agg(v.hex, '' ORDER BY w.pos) AS hex
-    FROM (SELECT word, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM encoded) w
-    JOIN vocabulary v ON v.token = w.token
-    GROUP BY w.word
+    SELECT e.word, unhex(coalesce(t.hex, '')) AS raw
+    FROM encoded e LEFT JOIN (
+        SELECT w.word, string_agg(v.hex, '' ORDER BY w.pos) AS hex
+        FROM (SELECT word, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM encoded) w
+        JOIN vocabulary v ON v.token = w.token
+        GROUP BY w.word
+    ) t ON t.word = e.word
+    ORDER BY e.word
 """
 
 
@@ -111,27 +117,38 @@ class WordCodec:
         self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         merges = vocabulary.merges()
         self._merged = {(left, right): merged for left, right, merged in merges}
-        self._table("merges", lefthand=[m[0] for m in merges], righthand=[m[1] for m in merges],
-                    merged=[m[2] for m in merges])
-        self._table("vocabulary", token=list(self._ranks.values()), hex=[t.hex() for t in self._ranks])
-        self._bytes = [self._ranks.get(bytes([b])) for b in range(256)]
+        for name, columns in (
+            ("merges", {"lefthand": [m[0] for m in merges], "righthand": [m[1] for m in merges], "merged": [m[2] for m in merges]}),
+            ("vocabulary", {"token": list(self._ranks.values()), "hex": [t.hex() for t in self._ranks]}),
+        ):
+            self._db.register("incoming", pa.table(columns))
+            self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
+            self._db.unregister("incoming")
+        self._byte_ids = np.array([self._ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         #: Ids in decimal and decoded bytes of remembered chunks: the newer half, the older.
         self._newer: dict[str, tuple[str, bytes]] = {}
         self._older: dict[str, tuple[str, bytes]] = {}
 
-    def _table(self, name: str, **columns: list) -> None:
-        self._db.register("incoming", pa.table(columns))
-        self._db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
-        self._db.unregister("incoming")
+    def _asked(self, query: str, **inputs: pa.Table) -> pa.Table:
+        for name, table in inputs.items():
+            self._db.register(name, table)
+        out = self._db.sql(query).to_arrow_table()
+        for name in inputs:
+            self._db.unregister(name)
+        return out
 
-    def _start(self, words: list[tuple[int, bytes]]) -> None:
-        tokens = [[self._bytes[b] for b in raw] for _, raw in words]
-        self._table("start", word=pa.array([i for i, _ in words], pa.int64()),
-                    tokens=pa.array(tokens, pa.list_(pa.int32())))
+    def _contracted(self, words: list[bytes]) -> pa.ListArray:
+        """Token ids of some words, by the recursive query."""
+        ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
+        tokens = self._byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        start = pa.table(
+            {"word": np.arange(len(words)), "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))}
+        )
+        return self._asked(_ENCODE, start=start)["tokens"].combine_chunks()
 
     def _by_queue(self, raw: bytes) -> list[int]:
         """A long word by the same rule, the least (rank, place) taken from a priority queue."""
-        token = [self._bytes[b] for b in raw]
+        token = [int(self._byte_ids[b]) for b in raw]
         after, before = list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
         queue = [(self._merged[p], i, *p) for i, p in enumerate(zip(token, token[1:])) if p in self._merged]
         heapify(queue)
@@ -150,33 +167,32 @@ class WordCodec:
                     heappush(queue, (self._merged[pair], k, *pair))
         return [t for t in token if t >= 0]
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+    def encode_words(self, words: list[bytes]) -> pa.ListArray:
         """Token ids of each word; a word that is a token is that token."""
-        out: list[list[int]] = [[] for _ in words]
-        short = []
+        whole, long, short = [], [], []
         for i, raw in enumerate(words):
-            rank = self._ranks.get(raw)
-            if rank is not None:
-                out[i] = [rank]
-            elif len(raw) > LONG_WORD:
-                out[i] = self._by_queue(raw)
-            elif raw:
-                short.append((i, raw))
+            if not raw or raw in self._ranks:
+                whole.append(i)
+            else:
+                (long if len(raw) > LONG_WORD else short).append(i)
+        kind = pa.list_(pa.int32())
+        parts = [
+            pa.array([[self._ranks[words[i]]] if words[i] else [] for i in whole], kind),
+            pa.array([self._by_queue(words[i]) for i in long], kind),
+        ]
         for first in range(0, len(short), WORDS_PER_QUERY):
-            self._start(short[first : first + WORDS_PER_QUERY])
-            for word, tokens in self._db.execute(_ENCODE).fetchall():
-                out[word] = tokens
-        return out
+            parts.append(self._contracted([words[i] for i in short[first : first + WORDS_PER_QUERY]]).cast(kind))
+        place = np.empty(len(words), np.int64)
+        place[np.array([*whole, *long, *short], np.int64)] = np.arange(len(words))
+        return pa.concat_arrays(parts).take(pa.array(place))
 
-    def decode(self, ids: list[list[int]]) -> list[bytes]:
+    def decode(self, ids: pa.ListArray) -> list[bytes]:
         """Bytes of each id sequence."""
-        out = [b""] * len(ids)
+        out: list[bytes] = []
         for first in range(0, len(ids), WORDS_PER_QUERY):
-            part = ids[first : first + WORDS_PER_QUERY]
-            self._table("encoded", word=pa.array(range(first, first + len(part)), pa.int64()),
-                        tokens=pa.array(part, pa.list_(pa.int64())))
-            for word, text in self._db.execute(_DECODE).fetchall():
-                out[word] = bytes.fromhex(text)
+            part = ids.slice(first, WORDS_PER_QUERY)
+            encoded = pa.table({"word": np.arange(len(part)), "tokens": part})
+            out += self._asked(_DECODE, encoded=encoded)["raw"].to_pylist()
         return out
 
     def lone_spaces(self, text: str) -> bool:
@@ -211,17 +227,22 @@ class WordCodec:
                 fresh.append(chunk)
             else:
                 known[chunk] = old
-        pieces = [self._split.findall(c) for c in fresh]
+        # A space and letters are one word; what else there is, the pattern tells.
+        pieces = [[c] if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else self._split.findall(c) for c in fresh]
         number: dict[str, int] = {}
         for piece in pieces:
             for word in piece:
                 number.setdefault(word, len(number))
         encoded = self.encode_words([w.encode() for w in number])
         decoded = self.decode(encoded)
-        ids = [" ".join(map(str, e)) for e in encoded]
+        decimal = pa.ListArray.from_arrays(encoded.offsets, encoded.values.cast(pa.string()))
+        ids = pc.binary_join(decimal, " ").to_pylist()
         for chunk, piece in zip(fresh, pieces):
-            at = [number[w] for w in piece]
-            known[chunk] = " ".join([ids[i] for i in at]), b"".join([decoded[i] for i in at])
+            if len(piece) == 1:
+                known[chunk] = ids[number[piece[0]]], decoded[number[piece[0]]]
+            else:
+                at = [number[w] for w in piece]
+                known[chunk] = " ".join([ids[i] for i in at]), b"".join([decoded[i] for i in at])
         return known
 
     def texts(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
@@ -232,7 +253,8 @@ class WordCodec:
         words = split.flatten().dictionary_encode()
         # In a list of words the first has no space before it: it is looked up apart.
         firsts = [t.split(" ", 1)[0] if p else "" for p, t in zip(plain, texts)]
-        distinct = [" " + w if w else "" for w in words.dictionary.to_pylist()]
+        spaced = pc.binary_join_element_wise("", words.dictionary, " ")
+        distinct = pc.if_else(pc.equal(words.dictionary, ""), "", spaced).to_pylist()
         known = self._remembered(set(distinct).union(firsts, *cut) - {""})
         known.setdefault("", ("", b""))
         heads = [[known[f]] if p else [known[c] for c in chunks] for p, f, chunks in zip(plain, firsts, cut)]
@@ -241,8 +263,9 @@ class WordCodec:
         inner[np.asarray(split.offsets)[:-1]] = False
         index = words.indices.filter(pa.array(inner))
         out = []
+        found = [known[w] for w in distinct]
         for part, kind, gap in ((0, pa.string(), " "), (1, pa.binary(), b"")):
-            values = pa.array([known[w][part] for w in distinct], kind).take(index)
+            values = pa.array([f[part] for f in found], kind).take(index)
             tails = pc.binary_join(pa.ListArray.from_arrays(rest.offsets, values), gap)
             begun = pa.array([gap.join([h[part] for h in head]) for head in heads], kind)
             used = pc.equal(pc.list_value_length(rest), 0)
@@ -276,7 +299,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         ids = pa.array([[int(x) for x in d.split()] for d in decimal.to_pylist()], pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>"
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), work, schema, TEXT_BYTES)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -287,7 +311,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 part = batch.slice(first, 64)
-                ids = [x or [] for x in part.column(1).to_pylist()]
+                ids = pa.array([x or [] for x in part.column(1).to_pylist()], pa.list_(pa.int32()))
                 made = codec_for(key, sent.value).decode(ids)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], ["doc_id", "bytes"])
 
@@ -316,4 +340,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         docs.select(F.col("doc_id").cast("long"), "text"),
         work,
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        TEXT_BYTES,
     )
