@@ -2,8 +2,9 @@
 
 The anchor of a window is its leftmost gram (a short stretch) of least fingerprint, so
 equal windows have equal anchors at equal places. The windows of a text that share an
-anchor follow one another and make a segment: one row for about a third of a window's
-length. Rounds of naming then settle which windows are repeats:
+anchor follow one another and make a segment; equal segments that follow one another, as
+in text that repeats itself, make one row. Rounds of naming then settle which windows are
+repeats:
 
 1. segments are sorted by (anchor name, segment name, place): an anchor seen once has
    only unique windows and leaves; a segment equal to an earlier one is a repeat whole;
@@ -83,7 +84,8 @@ class Units:
         return words.hashes(), words.first, words
 
     def segments(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
-        """Text, first and last window start within it, anchor name and segment name."""
+        """Runs of equal segments: text, first and last window start within it, windows of
+        each segment, anchor name and segment name."""
         values, first, _ = self.read(texts)
         starts = window_starts(first, self.window)
         grams = Rolling(values).windows(self.gram)
@@ -97,7 +99,14 @@ class Units:
         # Texts without units share their beginning with the next one.
         base = first[text]
         name = Rolling(values, BASES[1]).of(low, high + self.window)
-        return text, low - base, high - base, grams[anchor[begin]], name
+        key = grams[anchor[begin]]
+        run = np.ones(len(low), bool)
+        run[1:] = (
+            (text[1:] != text[:-1]) | (low[1:] != high[:-1] + 1) | (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+        )
+        one = np.flatnonzero(run)
+        last = np.append(one[1:], len(low))[: len(one)] - 1
+        return text[one], (low - base)[one], (high - base)[last], (high - low + 1)[one], key[one], name[one]
 
     def window_names(self, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Names of the first and second half of the windows at ``starts``."""
@@ -108,17 +117,18 @@ class Units:
 
 def _segment_rows(docs: DataFrame, units: Units) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        text, low, high, anchor, name = units.segments(part.column(1))
+        text, low, high, each, anchor, name = units.segments(part.column(1))
         columns = [
             part.column(0).take(pa.array(text)),
-            pa.array(low.astype(np.int32)),
-            pa.array(high.astype(np.int32)),
+            pa.array((low << 32) + high),
+            pa.array(each.astype(np.int32)),
             pa.array(anchor.view(np.int64)),
             pa.array(name.view(np.int64)),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc", "low", "high", "anchor", "name"])
+        return pa.RecordBatch.from_arrays(columns, ["doc", "place", "each", "anchor", "name"])
 
-    return map_texts(docs, work, "doc long, low int, high int, anchor long, name long")
+    # Low and high share a column: a shuffled row has eight bytes for each.
+    return map_texts(docs, work, "doc long, place long, each int, anchor long, name long")
 
 
 def _windows_of(docs: DataFrame, segments: DataFrame, units: Units) -> DataFrame:
@@ -153,27 +163,34 @@ def repeated_windows(docs: DataFrame, units: Units, across: bool) -> DataFrame:
     Earlier is a smaller doc, or also the same doc at a smaller start; only a smaller doc
     if ``across``. ``docs`` has one row per doc.
     """
-    place = ["doc"] if across else ["doc", "low"]
-    in_order = W.partitionBy("anchor", "name").orderBy("doc", "low")
-    first = F.first(F.struct(*place)).over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    in_order = W.partitionBy("anchor", "name").orderBy("doc", "place")
+    own = ["doc"] if across else ["doc", "place"]
+    first = F.first(F.struct(*own)).over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
     names = W.partitionBy("anchor")
+    low, high = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    several_in_run = F.lit(False) if across else high - low >= F.col("each")
     rows = (
         _segment_rows(docs, units)
         .repartition("anchor")
-        .withColumn("repeat", first != F.struct(*place))
+        .withColumn("repeat", first != F.struct(*own))
         .withColumn("several", F.min("name").over(names) != F.max("name").over(names))
-        .filter("repeat OR several")
-        .select("doc", "low", "high", "repeat")
+        .select("doc", low.alias("low"), high.alias("high"), "each", "repeat", "several", several_in_run.alias("more"))
+        .filter("repeat OR several OR more")
     )
     rows = settled(rows, "segments")
-    apart = _windows_of(docs, rows.filter("NOT repeat"), units)
+    fresh = rows.filter("NOT repeat")
+    # Within a document all but the first segment of a run repeat the first.
+    later = fresh.filter("more").select("doc", (F.col("low") + F.col("each")).alias("low"), "high")
+    end = F.col("high") if across else F.col("low") + F.col("each") - 1
+    apart = _windows_of(docs, fresh.filter("several").select("doc", "low", end.alias("high")), units)
+    own = ["doc"] if across else ["doc", "low"]
     pairs = W.partitionBy("one", "two").orderBy("doc", "low").rowsBetween(W.unboundedPreceding, W.currentRow)
     single = (
-        apart.withColumn("repeat", F.first(F.struct(*place)).over(pairs) != F.struct(*place))
+        apart.withColumn("repeat", F.first(F.struct(*own)).over(pairs) != F.struct(*own))
         .filter("repeat")
         .select("doc", "low", F.col("low").alias("high"))
     )
-    return rows.filter("repeat").select("doc", "low", "high").unionByName(settled(single, "windows"))
+    return rows.filter("repeat").select("doc", "low", "high").unionByName(later).unionByName(settled(single, "windows"))
 
 
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ alone with its name or the pair spans the threshold of 100 bytes. Ranks are name
 (fingerprints): equality is asked for, not order.
 
 Ranking starts from a sample of positions instead of all: the anchors of
-:mod:`profile_lake.llm.anchors`, which equal strings share. 48 bytes at the anchors; then
+:mod:`profile_lake.llm.anchors`, which equal strings share. 56 bytes at the anchors; then
 the stretch from the first to beyond the last 100-byte string of an anchor; then, only
 where strings of one anchor differ, every start, as a pair of 50 bytes and the 50 after.
 Each byte covered by a 100-byte string that also starts earlier is removed.
@@ -28,11 +28,11 @@ from profile_lake.llm import anchors
 from profile_lake.llm.batches import per_text, spans, text_bytes
 
 THRESHOLD = 100
-FIRST_RANK = 48
+FIRST_RANK = 56
 
 
 def units(threshold: int = THRESHOLD) -> anchors.Units:
-    return anchors.Units(threshold, max(1, min(FIRST_RANK, threshold // 2)))
+    return anchors.Units(threshold, max(1, FIRST_RANK * threshold // THRESHOLD))
 
 
 def _cut(threshold: int, texts: pa.Array, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
