@@ -79,6 +79,11 @@ def partition_keys(flush_us: Column | str) -> list[Column]:
     return [F.substring(text, start, width).alias(name) for name, start, width in parts]
 
 
+def body_text(body: Column | str, max_bytes: int | None = None) -> Column:
+    """A binary body as text: whole, or its first ``max_bytes`` bytes."""
+    return F.make_valid_utf8(_col(body).cast("string")) if max_bytes is None else cap_bytes(body, max_bytes)
+
+
 def cap_bytes(body: Column | str, max_bytes: int) -> Column:
     """The first ``max_bytes`` bytes of a binary body as text.
 

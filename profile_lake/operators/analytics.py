@@ -106,15 +106,16 @@ def statement_summary(profiles: DataFrame) -> DataFrame:
 
 
 def top_slow(profiles: DataFrame, k: int) -> DataFrame:
-    """The k slowest runs with their texts. Ranks narrow rows, then fetches the texts."""
-    keys = ["sr_query_id", "fe_host", "start_time"]
-    best = (
-        profiles.select(*keys, "duration_ms")
-        .orderBy(F.desc("duration_ms"), *keys)
-        .limit(k)
-        .select(*keys)
-    )
-    return profiles.join(best, keys, "left_semi")
+    """The k slowest runs: each task keeps k rows, and those are merged.
+
+    Rank narrow rows, and join texts to the winners: see :func:`with_texts`.
+    """
+    return profiles.orderBy(F.desc("duration_ms"), "sr_query_id", "fe_host", "start_time").limit(k)
+
+
+def with_texts(best: DataFrame, texts: DataFrame, key: str = "sr_query_id") -> DataFrame:
+    """Few rows with the texts of their ids; the rows are broadcast, so texts do not move."""
+    return texts.join(F.broadcast(best), key)
 
 
 def top_slow_by(profiles: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
@@ -137,10 +138,9 @@ def duration_regression(
     before it, so that a task sees at most one block.
     """
     # RFC 3339 texts sort by time.
-    order = ["start_time", "sr_query_id", "fe_host"]
-    runs = profiles.where(F.col("query_hash").isNotNull()).select(
-        "query_hash", *order, "duration_ms"
-    )
+    # Rows equal in all of these are interchangeable, so the order is total.
+    order = ["start_time", "sr_query_id", "fe_host", "duration_ms"]
+    runs = profiles.where(F.col("query_hash").isNotNull()).select("query_hash", *order)
     # Two branches read the runs: a narrow copy saves the second pass over the table.
     runs = stage(runs, "runs")
     ranked = running_rank(runs, ["query_hash"], period_text("start_time", "minute"), order)
@@ -164,7 +164,6 @@ def duration_regression(
             "query_hash",
             *order,
             "rank",
-            "duration_ms",
             "previous_ms",
             F.when(
                 F.col("trailing_runs") > 0, F.col("trailing_sum") / F.col("trailing_runs")

@@ -4,18 +4,15 @@ The rule: an id is accepted, then suppressed until *more than* the TTL has passe
 the accepted row. Suppressed rows do not extend the window. The clock is any LONG column
 in microseconds: arrival (``finished_us`` of the response) or the event time.
 
-Ids are counted first (combined before the shuffle). The rows of an id with at most
-``max_fold`` rows are ordered in one task; only (id, instant, ties) is shuffled, and wide
-columns join the winners afterwards. Hot ids never meet in one task:
-
-* their rows shrink to distinct (id, instant) pairs;
-* time is cut into cells as wide as the TTL, and each id gets one summary row per cell.
-  A cell holds at most one accepted instant. Where two neighbouring summaries lie more
-  than a TTL apart the later one starts afresh, so a cell between two such gaps is
-  settled by its earliest instant alone;
-* longer runs of cells are folded if small enough, and else stepped through time in
-  slices, carrying only the last accepted instant. A slice is either small enough to
-  fold or one cell, for which a minimum, combined before the shuffle, is enough.
+One algorithm serves every size, and no step gathers an id:
+
+* rows shrink to distinct (id, instant) pairs;
+* time is cut into cells as wide as the TTL. Inside (id, cell) each instant finds the
+  instant before it and the first one more than a TTL later, its successor; the cells
+  beside it lend their nearest instants;
+* an instant more than a TTL after the one before it starts a run and is accepted. The
+  others accepted are those that successors lead to from there. Links are doubled, so a
+  chain of n acceptances takes log2(n) rounds, each a join on (id, instant).
 """
 
 from __future__ import annotations
@@ -26,13 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profile_lake.functions.ordered import bucket_of
-from profile_lake.schemas import MAX_DEDUP_ENTRIES
-from profile_lake.session import scratch_path, stage
+from profile_lake.session import stage
 
-MAX_FOLD = 200_000
-BROADCAST_IDS = 100_000
 TIES = ("fe_host", "event_id")
-_RUN = ["query_id", "run"]
 
 
 def first_occurrence(
@@ -52,37 +45,6 @@ def drop_seen(details: DataFrame, seen: DataFrame) -> DataFrame:
     return details.join(seen, "query_id", "left_anti")
 
 
-def _kept(sorted_rows: Column, ttl_us: int, last: Column) -> Column:
-    """Fold an array of structs sorted by ``at`` into those accepted after ``last``."""
-    nothing = F.struct(last.alias("last"), F.slice(sorted_rows, 1, 0).alias("kept"))
-
-    def step(state: Column, row: Column) -> Column:
-        grown = F.struct(
-            row["at"].alias("last"), F.concat(state["kept"], F.array(row)).alias("kept")
-        )
-        accept = state["last"].isNull() | (row["at"] - state["last"] > ttl_us)
-        return F.when(accept, grown).otherwise(state)
-
-    return F.aggregate(sorted_rows, nothing, step, lambda state: state["kept"])
-
-
-def _fold(
-    rows: DataFrame, keys: Sequence[str], ttl_us: int, last: Column | None = None
-) -> DataFrame:
-    """Accepted rows per key; all columns but the keys order the rows, ``at`` first.
-
-    ``last`` is an acceptance before all rows of the key, made from the keys.
-    """
-    ordered = [c for c in rows.columns if c not in keys]
-    before = F.lit(None).cast("long") if last is None else last
-    return (
-        rows.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct(*ordered))).alias("sorted"))
-        .select(*keys, F.explode(_kept(F.col("sorted"), ttl_us, before)).alias("row"))
-        .select(*keys, "row.*")
-    )
-
-
 def _open_rows(
     rows: DataFrame, seen: DataFrame, ttl_us: int, on: Sequence[str] = ("query_id",)
 ) -> DataFrame:
@@ -94,141 +56,103 @@ def _open_rows(
     )
 
 
-def _accept(rows: DataFrame, ttl_us: int) -> DataFrame:
-    """Accepted rows of ids that fit into a task, with one shuffle.
+def linked_instants(instants: DataFrame, ttl_us: int) -> DataFrame:
+    """Of distinct (query_id, at): ``starts`` a run, and the successor ``to`` (null for none).
 
-    A row more than a TTL after the row before it starts a run and is accepted, and rows
-    within a TTL of a run's start are not. Only later rows of a run need the fold.
+    A successor that is two cells away or more and no cell's first is not needed: the
+    instant it follows is more than a TTL before it, so it starts a run.
     """
-    by_time = Window.partitionBy("query_id").orderBy(*rows.columns[1:])
-    before = F.lag("at").over(by_time)
-    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    judged = rows.withColumn(
-        "starts", before.isNull() | (F.col("at") - before > ttl_us)
-    ).withColumn("run_start", F.max(F.when(F.col("starts"), F.col("at"))).over(so_far))
-    sure = judged.where("starts").select(*rows.columns)
-    late = judged.where(F.col("at") - F.col("run_start") > ttl_us).drop("starts")
-    folded = _fold(late, ["query_id", "run_start"], ttl_us, F.col("run_start"))
-    return sure.unionByName(folded.select(*rows.columns))
-
-
-def accepted_instants(
-    instants: DataFrame, ttl_us: int, seen: DataFrame | None = None, max_fold: int = MAX_FOLD
-) -> DataFrame:
-    """Of distinct (query_id, at) pairs of hot ids, those the TTL rule accepts."""
     width = max(ttl_us, 1)
     celled = instants.select("query_id", "at", bucket_of("at", width).alias("cell"))
-    if seen is not None:
-        # The entry meets an id's cells first, and its rows cell by cell.
-        entries = celled.select("query_id", "cell").distinct().join(seen, "query_id", "left")
-        celled = _open_rows(celled, entries, ttl_us, ("query_id", "cell"))
-    cells = celled.groupBy("query_id", "cell").agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n")
-    )
-    by_time = Window.partitionBy("query_id").orderBy("cell")
-    before, after = F.lag("hi").over(by_time), F.lead("lo").over(by_time)
-    marked = cells.withColumns(
-        {
-            "starts": before.isNull() | (F.col("lo") - before > ttl_us),
-            "ends": after.isNull() | (after - F.col("hi") > ttl_us),
-        }
+    edges = celled.groupBy("query_id", "cell").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    # What a cell's window sees: its instants, the nearest ones beside it, and a question
+    # per instant of the cell one TTL earlier.
+    own, beside, asked = 0, 1, 2
+    entry = lambda cell, time, kind, of: F.struct(
+        cell.alias("cell"), time.alias("time"), F.lit(kind).alias("kind"), of.alias("at")
     )
-    marked = marked.withColumn("run", F.sum(F.col("starts").cast("long")).over(by_time))
-
-    alone = F.col("starts") & F.col("ends")
-    settled = marked.where(alone).select("query_id", F.col("lo").alias("at"))
-
-    runs = marked.where(~alone)
-    size = F.sum("n").over(Window.partitionBy(*_RUN))
-    runs = runs.select(*_RUN, "cell", "n", size.alias("run_size"))
-    small = runs.where(F.col("run_size") <= max_fold).select(*_RUN, "cell")
-    in_runs = celled.join(small, ["query_id", "cell"]).select(*_RUN, "at")
-    folded = _fold(in_runs, _RUN, ttl_us).select("query_id", "at")
-    accepted = settled.unionByName(folded)
-
-    large = runs.where(F.col("run_size") > max_fold)
-    if large.isEmpty():
-        return accepted
-    return accepted.unionByName(_step_through_time(celled, large, ttl_us, max_fold))
-
-
-def _slices(cell_sizes: Sequence[tuple[int, int]], max_fold: int) -> list[list[int]]:
-    """Group neighbouring cells while the largest run stays within ``max_fold``."""
-    slices: list[list[int]] = []
-    held = 0
-    for cell, size in cell_sizes:
-        if slices and held + size <= max_fold:
-            slices[-1].append(cell)
-            held += size
-        else:
-            slices.append([cell])
-            held = size
-    return slices
-
-
-def _step_through_time(
-    celled: DataFrame, large: DataFrame, ttl_us: int, max_fold: int
-) -> DataFrame:
-    spark = celled.sparkSession
-    # One row per cell on the time line: time span divided by TTL, not data.
-    sizes = large.groupBy("cell").agg(F.max("n").alias("n")).orderBy("cell").collect()
-    slices = _slices([(row.cell, row.n) for row in sizes], max_fold)
-    numbered = spark.createDataFrame(
-        [(cell, number) for number, cells in enumerate(slices) for cell in cells],
-        "cell long, slice int",
+    nothing = F.lit(None).cast("long")
+    cell, at = F.col("cell"), F.col("at")
+    rows = celled.select(
+        "query_id",
+        F.explode(F.array(entry(cell, at, own, at), entry(bucket_of(at + ttl_us, width), at + ttl_us, asked, at))).alias("e"),
+    ).unionByName(
+        edges.select(
+            "query_id",
+            F.explode(
+                F.array(entry(cell - 1, F.col("lo"), beside, nothing), entry(cell + 1, F.col("hi"), beside, nothing))
+            ).alias("e"),
+        )
     )
-    base = scratch_path(spark, "ttl-runs")
-    instants = (
-        celled.join(large.select(*_RUN, "cell"), ["query_id", "cell"])
-        .join(numbered, "cell")
-        .select(*_RUN, "at", "slice")
+    group = Window.partitionBy("query_id", "cell")
+    instant = F.when(F.col("kind") != asked, F.col("time"))
+    # At one time a question comes before the instants when looking down from above.
+    down = group.orderBy(F.desc("time"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    up = group.orderBy("time", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.select("query_id", "e.*").withColumns(
+        {"above": F.last(instant, ignorenulls=True).over(down), "below": F.last(instant, ignorenulls=True).over(up)}
     )
-    # The rebalance hint splits a slice that is too large for one file.
-    instants.hint("rebalance", "slice").write.partitionBy("slice").parquet(f"{base}/instants")
-
-    found = "query_id string, run long, at long"
-    for number, cells in enumerate(slices):
-        rows = spark.read.schema(found).parquet(f"{base}/instants/slice={number}")
-        if number:
-            # Anything accepted before the previous slice is more than a TTL away.
-            carry = (
-                spark.read.schema(found)
-                .parquet(f"{base}/accepted/slice={number - 1}")
-                .groupBy(*_RUN)
-                .agg(F.max("at").alias("last"))
-            )
-            rows = rows.join(carry, _RUN, "left").where(
-                F.col("last").isNull() | (F.col("at") - F.col("last") > ttl_us)
-            )
-        if len(cells) == 1:
-            taken = rows.groupBy(*_RUN).agg(F.min("at").alias("at"))
-        else:
-            taken = _fold(rows.select(*_RUN, "at"), _RUN, ttl_us)
-        taken.write.parquet(f"{base}/accepted/slice={number}")
-    return (
-        spark.read.schema(f"{found}, slice int").parquet(f"{base}/accepted").select("query_id", "at")
+    # Each instant's own entry knows the one before it, its question the one after.
+    answered = seen.where(F.col("kind") != beside).groupBy("query_id", "at").agg(
+        F.max(F.when(F.col("kind") == own, F.col("below"))).alias("before"),
+        F.max(F.when(F.col("kind") == asked, F.when(F.col("above") > F.col("at") + ttl_us, F.col("above")))).alias("to"),
     )
+    starts = F.col("before").isNull() | (F.col("at") - F.col("before") > ttl_us)
+    return answered.select("query_id", "at", starts.alias("starts"), "to")
 
 
-def ttl_winners(
-    rows: DataFrame, ttl_us: int, seen: DataFrame | None = None, max_fold: int = MAX_FOLD
+def accepted_instants(
+    instants: DataFrame, ttl_us: int, seen: DataFrame | None = None
 ) -> DataFrame:
+    """Of distinct (query_id, at) pairs those the TTL rule accepts."""
+    if seen is not None:
+        instants = _open_rows(instants, seen, ttl_us)
+    linked = stage(linked_instants(instants, ttl_us), "ttl-links")
+    taken = linked.where("starts").select("query_id", "at")
+    # Links into a run's start add nothing.
+    links = linked.join(
+        taken.withColumnRenamed("at", "to"), ["query_id", "to"], "left_anti"
+    ).where("to IS NOT NULL").select("query_id", "at", "to")
+    reached = _followed(taken, links)
+    if reached.isEmpty():
+        return taken
+    links, parts = stage(links, "ttl-links"), [taken]
+    while True:
+        reached = stage(reached, "ttl-reached")
+        if reached.isEmpty():
+            break
+        parts.append(reached)
+        links = stage(_doubled(links), "ttl-links")
+        reached = _followed(_all(parts), links)
+    return _all(parts)
+
+
+def _all(parts: Sequence[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _followed(taken: DataFrame, links: DataFrame) -> DataFrame:
+    """Where the links of accepted instants lead: a run is one chain, so each place once."""
+    return taken.join(links, ["query_id", "at"]).select("query_id", F.col("to").alias("at"))
+
+
+def _doubled(links: DataFrame) -> DataFrame:
+    """Two links in a row as one."""
+    later = links.select("query_id", F.col("at").alias("to"), F.col("to").alias("_further"))
+    return links.join(later, ["query_id", "to"]).select("query_id", "at", F.col("_further").alias("to"))
+
+
+def ttl_winners(rows: DataFrame, ttl_us: int, seen: DataFrame | None = None) -> DataFrame:
     """The accepted rows of (query_id, at, ties…); ties at one instant go to the least."""
     last = None if seen is None else seen.select("query_id", F.col("first_seen_us").alias("last"))
-    hot = rows.groupBy("query_id").count().where(F.col("count") > max_fold).select("query_id")
-    if hot.isEmpty():
-        return _accept(rows if last is None else _open_rows(rows, last, ttl_us), ttl_us)
-    hot = stage(hot, "hot-ids")
-    if hot.count() <= BROADCAST_IDS:
-        hot = F.broadcast(hot)
-    usual = rows.join(hot, "query_id", "left_anti")
-    usual = _accept(usual if last is None else _open_rows(usual, last, ttl_us), ttl_us)
-    crowded = rows.join(hot, "query_id", "left_semi")
-    instants = stage(crowded.select("query_id", "at").distinct(), "hot-instants")
-    accepted = accepted_instants(instants, ttl_us, last, max_fold)
+    # The least row of an instant: one row per instant and task before the shuffle.
     order = Window.partitionBy("query_id", "at").orderBy(*rows.columns[2:])
-    hits = crowded.join(accepted, ["query_id", "at"], "left_semi")
-    return usual.unionByName(_first_by(hits, order))
+    least = stage(_first_by(rows, order), "ttl-instants")
+    accepted = accepted_instants(least.select("query_id", "at"), ttl_us, last)
+    return least.join(accepted, ["query_id", "at"], "left_semi")
 
 
 def ttl_dedup(
@@ -237,7 +161,6 @@ def ttl_dedup(
     seen: DataFrame | None = None,
     clock: str = "event_us",
     ties: Sequence[str] = TIES,
-    max_fold: int = MAX_FOLD,
 ) -> DataFrame:
     """The accepted rows of ``details``.
 
@@ -245,7 +168,7 @@ def ttl_dedup(
     tell rows of one id and instant apart.
     """
     rows = details.select("query_id", F.col(clock).alias("at"), *ties)
-    winners = ttl_winners(rows, ttl_us, seen, max_fold).withColumnRenamed("at", clock)
+    winners = ttl_winners(rows, ttl_us, seen).withColumnRenamed("at", clock)
     return details.join(winners, ["query_id", clock, *ties], "left_semi")
 
 
@@ -255,11 +178,10 @@ def label_first(
     seen: DataFrame | None = None,
     clock: str = "event_us",
     ties: Sequence[str] = TIES,
-    max_fold: int = MAX_FOLD,
 ) -> DataFrame:
     """All rows, with ``is_first`` true where :func:`ttl_dedup` would keep the row."""
     rows = details.select("query_id", F.col(clock).alias("at"), *ties)
-    winners = ttl_winners(rows, ttl_us, seen, max_fold).withColumnRenamed("at", clock)
+    winners = ttl_winners(rows, ttl_us, seen).withColumnRenamed("at", clock)
     return (
         details.join(
             winners.withColumn("_first", F.lit(True)), ["query_id", clock, *ties], "left"
@@ -283,44 +205,7 @@ def merge_seen(seen: DataFrame, accepted: DataFrame, clock: str = "event_us") ->
     )
 
 
-def entries_kept(n: int, cap: int) -> int:
-    """How many of ``n`` inserted entries a store of ``cap`` holds.
-
-    The store drops a tenth of its cap (at least one entry) each time it overflows.
-    """
-    if cap <= 0 or n <= cap:
-        return n
-    batch = max(1, cap // 10)
-    return n - batch * (1 + (n - cap - 1) // batch)
-
-
-def compact_seen(
-    seen: DataFrame, now_us: int, ttl_us: int, cap: int = MAX_DEDUP_ENTRIES
-) -> DataFrame:
-    """Drop entries older than the TTL, then the oldest ones beyond the cap.
-
-    A store beyond its cap is range-partitioned by age into slices. Whole slices are kept
-    or dropped by their counts, and only the slice the cut falls into is ranked.
-    """
-    alive = seen.where(F.col("first_seen_us") >= now_us - ttl_us)
-    if cap <= 0:
-        return alive
-    alive = stage(alive, "seen")
-    size = alive.count()
-    keep = entries_kept(size, cap)
-    if keep == size:
-        return alive
-    newest_first = [F.desc("first_seen_us"), F.asc("query_id")]
-    sliced = stage(
-        alive.repartitionByRange(*newest_first).withColumn("slice", F.spark_partition_id()),
-        "seen-slices",
-    )
-    # One row per slice.
-    for row in sliced.groupBy("slice").count().orderBy("slice").collect():
-        if keep <= row["count"]:
-            break
-        keep -= row["count"]
-    edge = sliced.where(F.col("slice") == row.slice)
-    rank = F.row_number().over(Window.partitionBy("slice").orderBy(*newest_first))
-    edge = edge.withColumn("_nth", rank).where(F.col("_nth") <= keep).drop("_nth")
-    return sliced.where(F.col("slice") < row.slice).unionByName(edge).drop("slice")
+def compact_seen(seen: DataFrame, now_us: int, ttl_us: int) -> DataFrame:
+    """Entries still inside their TTL. Only expiry bounds the set: dropping live entries
+    would let their ids in again."""
+    return seen.where(F.col("first_seen_us") >= now_us - ttl_us)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +33,14 @@ def outcome(fetch_reason: Column, fetched: Column) -> Column:
 def classify(labelled: DataFrame, fetches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``outcome``. ``fetches`` has one row per key with a nullable ``skip_reason``.
 
-    Only first rows can match, so a hot id does not crowd one join task.
+    Only first rows carry a join key, so a hot id does not crowd one join task and the
+    labels are made once.
     """
-    made = fetches.withColumn("_fetched", F.lit(True))
-    first = labelled.where(F.col("is_first")).join(made, list(keys), "left")
-    rest = labelled.where(~F.col("is_first")).withColumns(
-        {c: F.lit(None).cast(made.schema[c].dataType) for c in made.columns if c not in keys}
+    made = fetches.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in fetches.columns if c not in keys])
+    made = made.withColumn("_fetched", F.lit(True))
+    same = reduce(Column.__and__, [F.when(F.col("is_first"), F.col(k)) == F.col(f"_{k}") for k in keys])
+    return (
+        labelled.join(made, same, "left")
+        .withColumn("outcome", outcome(F.col("skip_reason"), F.coalesce("_fetched", F.lit(False))))
+        .drop("skip_reason", "_fetched", *[f"_{k}" for k in keys])
     )
-    both = first.unionByName(rest)
-    return both.withColumn(
-        "outcome", outcome(F.col("skip_reason"), F.coalesce("_fetched", F.lit(False)))
-    ).drop("skip_reason", "_fetched")

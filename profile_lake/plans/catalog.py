@@ -16,22 +16,27 @@ from profile_lake.operators import analytics, dedup, enrich, health, metrics, pr
 from profile_lake.plans.collect import Collected, collect, collect_profiles
 from profile_lake.schemas import MICROS, PARTITION_COLUMNS
 from profile_lake.session import scratch_path, stage
-from profile_lake.sinks import to_jsonl, write_profiles
+from profile_lake.sinks import FallbackWriter, read_fallback, to_jsonl, write_profiles
 from profile_lake.sources import (
     classify_response,
+    decode_listings,
     parse_hosts,
     parse_query_detail,
+    polls,
     profile_texts,
     read_profiles,
+    read_responses,
     resolve_attempts,
     split_bad,
     tables,
     union_hosts,
 )
 from profile_lake.sources.profiles import decode_lines
+from profile_lake.sources.responses import listings
 from profile_lake.streaming import collect as stream_collect
 from profile_lake.streaming import dedup as stream_dedup
 from profile_lake.streaming import monitor
+from profile_lake.streaming.landing import land_in_turns, turns_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -275,9 +280,7 @@ def last_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 max(event_time) AS last_event FROM query_log GROUP BY fe_host""")
 def host_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All hosts' rows as one dataset."""
-    log = tables.query_log(spark, sf_dir)
-    frames = [log.where(F.col("fe_host") == f"fe-{n}:8030") for n in range(3)]
-    return union_hosts(*frames).groupBy("fe_host").agg(
+    return union_hosts(tables.query_log(spark, sf_dir)).groupBy("fe_host").agg(
         F.count(F.lit(1)).alias("listed"),
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
@@ -422,21 +425,15 @@ def merge_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.merge_seen(_earlier_seen(spark, sf_dir), accepted)
 
 
-SEEN_CAP = 500
 _WEEK_US = 7 * 86400 * MICROS
 
 
 @query(f"""WITH {FINISHED_SQL}, every AS (
-  SELECT query_id, min(event_us) AS first_seen_us FROM fin GROUP BY query_id),
-alive AS (SELECT * FROM every WHERE first_seen_us >= {EARLIER_US - _WEEK_US}),
-size AS (SELECT count(*) AS n FROM alive),
-room AS (SELECT CASE WHEN n <= {SEEN_CAP} THEN n
-  ELSE n - {SEEN_CAP // 10} * (1 + (n - {SEEN_CAP} - 1) // {SEEN_CAP // 10}) END AS k FROM size)
-SELECT query_id, first_seen_us FROM alive
-QUALIFY row_number() OVER (ORDER BY first_seen_us DESC, query_id) <= (SELECT k FROM room)""")
+  SELECT query_id, min(event_us) AS first_seen_us FROM fin GROUP BY query_id)
+SELECT * FROM every WHERE first_seen_us >= {EARLIER_US - _WEEK_US}""")
 def compact_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known ids after dropping expired entries and the oldest beyond the cap."""
-    return dedup.compact_seen(_all_seen(spark, sf_dir), EARLIER_US, _WEEK_US, SEEN_CAP)
+    """Known ids that are still inside their TTL."""
+    return dedup.compact_seen(_all_seen(spark, sf_dir), EARLIER_US, _WEEK_US)
 
 
 # --- joins and outcomes ------------------------------------------------------------
@@ -524,10 +521,16 @@ FROM outcomes WHERE outcome = 'collected'"""
 
 
 def _pipeline(spark: SparkSession, sf_dir: str) -> Collected:
-    responses = stage(tables.landed_responses(spark, sf_dir), "responses")
     seen = spark.createDataFrame([], "query_id string, first_seen_us long")
     marks = spark.createDataFrame([], progress.PROGRESS_SCHEMA)
-    return collect(responses, seen, marks, CLUSTER, NOW_US, TTL_US)
+    return collect(_landed(spark, sf_dir), seen, marks, CLUSTER, NOW_US, TTL_US)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses as files, scanned back."""
+    path = scratch_path(spark, "landed")
+    tables.landed_responses(spark, sf_dir).write.parquet(path)
+    return read_responses(spark, path)
 
 
 @query(_PIPELINE_RECORDS_SQL)
@@ -556,6 +559,19 @@ def pipeline_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pipeline(spark, sf_dir).seen
 
 
+@query(f"WITH RECURSIVE {PIPELINE_SQL} SELECT fe_host, query_id, event_time, outcome FROM outcomes")
+def two_runs_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two collections in turn, the second from the first's seen set: no id twice in its TTL."""
+    seen = spark.createDataFrame([], "query_id string, first_seen_us long")
+    marks = spark.createDataFrame([], progress.PROGRESS_SCHEMA)
+    outcomes = []
+    for part, high in turns_of(tables.landed_responses(spark, sf_dir), "finished_us", 2):
+        done = collect(part, seen, marks, CLUSTER, high, TTL_US)
+        seen = stage(done.seen, "seen")
+        outcomes.append(done.outcomes)
+    return union_hosts(*outcomes).select("fe_host", "query_id", "event_time", "outcome")
+
+
 # --- progress, counters, histograms -----------------------------------------------
 
 
@@ -651,16 +667,25 @@ def flush_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- host health -------------------------------------------------------------------
 
-_BACKOFF_SQL = f"""{POLLS_SQL}, streaks AS (
-  SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY fe_host ORDER BY poll_us, event_id
+def _backoff_sql(polls: str, tie: str) -> str:
+    return f"""{polls}, streaks AS (
+  SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY fe_host ORDER BY poll_us, {tie}
     ROWS UNBOUNDED PRECEDING) AS streak FROM polls),
 counted AS (
   SELECT *, CASE WHEN ok THEN 0 ELSE CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (
-    PARTITION BY fe_host, streak ORDER BY poll_us, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) END
+    PARTITION BY fe_host, streak ORDER BY poll_us, {tie} ROWS UNBOUNDED PRECEDING) AS BIGINT) END
     AS failures FROM streaks),
 schedule AS (
   SELECT *, CAST(least(300, 10 * power(2, least(failures, 30) - 1)) AS BIGINT) AS delay_s
-  FROM counted)"""
+  FROM counted),
+latest AS (SELECT * FROM schedule
+  QUALIFY row_number() OVER (PARTITION BY fe_host ORDER BY poll_us DESC, {tie} DESC) = 1),
+clock AS (SELECT max(poll_us) AS now_us FROM polls)"""
+
+
+_BACKOFF_SQL = _backoff_sql(POLLS_SQL, "event_id")
+_POLLABLE_SQL = """SELECT fe_host FROM latest, clock
+WHERE NOT (failures > 0 AND poll_us + delay_s * 1000000 > now_us)"""
 
 
 @query(f"""WITH {_BACKOFF_SQL} SELECT fe_host, event_id, failures, delay_s,
@@ -673,17 +698,59 @@ def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_BACKOFF_SQL}, latest AS (SELECT * FROM schedule
-QUALIFY row_number() OVER (PARTITION BY fe_host ORDER BY poll_us DESC, event_id DESC) = 1),
-clock AS (SELECT max(poll_us) AS now_us FROM polls)
-SELECT fe_host FROM latest, clock
-WHERE NOT (failures > 0 AND poll_us + delay_s * 1000000 > now_us)""")
+@query(f"WITH {_BACKOFF_SQL} {_POLLABLE_SQL}")
 def pollable_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts outside their back-off window at the time of the last poll."""
-    polls = tables.poll_attempts(spark, sf_dir)
-    now_us = polls.agg(F.max("poll_us")).first()[0]
-    state = health.host_state(health.backoff_schedule(polls))
-    return health.pollable_hosts(polls.select("fe_host").distinct(), state, now_us)
+    made = tables.poll_attempts(spark, sf_dir)
+    now_us = made.agg(F.max("poll_us")).first()[0]
+    state = health.host_state(health.backoff_schedule(made))
+    return health.pollable_hosts(made.select("fe_host").distinct(), state, now_us)
+
+
+# The same from landed responses: refused, retried and unreadable listings among them.
+LANDED_POLLS_SQL = f"""{QUERY_LOG_SQL}, polls AS (
+  SELECT fe_host, event_id // 64 AS poll_id, min(event_us) AS poll_us,
+    event_id // 64 % 11 <> 0 AND event_id // 64 % 7 <> 0 AS ok,
+    max(event_us) - min(event_us) + CASE WHEN event_id // 64 % 11 = 1 THEN 1000 ELSE 0 END AS duration_us
+  FROM query_log GROUP BY fe_host, event_id // 64)"""
+_LANDED_BACKOFF_SQL = _backoff_sql(LANDED_POLLS_SQL, "poll_id")
+
+
+def _landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = stage(tables.polled_listings(spark, sf_dir), "polled")
+    return polls(responses, decode_listings(listings(responses)))
+
+
+@query(f"WITH {LANDED_POLLS_SQL} SELECT fe_host, poll_id, poll_us, ok, duration_us FROM polls")
+def landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls, their success and duration, from raw responses."""
+    return _landed_polls(spark, sf_dir)
+
+
+@query(f"WITH {LANDED_POLLS_SQL} SELECT fe_host, count(*) AS polls_total FROM polls GROUP BY fe_host")
+def landed_polls_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.polls_by_host(_landed_polls(spark, sf_dir))
+
+
+@query(f"WITH {LANDED_POLLS_SQL}, {_histogram_sql('polls', 'fe_host', 'duration_us', _POLL_BOUNDS, MICROS)}")
+def landed_poll_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.poll_durations(_landed_polls(spark, sf_dir))
+
+
+@query(f"""WITH {_LANDED_BACKOFF_SQL} SELECT fe_host, poll_id, failures, delay_s,
+poll_us + delay_s * 1000000 AS next_retry_us FROM schedule WHERE failures > 0""")
+def landed_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delay after every failed poll; an unreadable body is a failure."""
+    schedule = health.backoff_schedule(_landed_polls(spark, sf_dir), ties=("poll_id",))
+    return schedule.where(F.col("failures") > 0).select("fe_host", "poll_id", "failures", "delay_s", "next_retry_us")
+
+
+@query(f"WITH {_LANDED_BACKOFF_SQL} {_POLLABLE_SQL}")
+def landed_pollable_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = stage(_landed_polls(spark, sf_dir), "polls")
+    now_us = made.agg(F.max("poll_us")).first()[0]
+    state = health.host_state(health.backoff_schedule(made, ties=("poll_id",)), ties=("poll_id",))
+    return health.pollable_hosts(made.select("fe_host").distinct(), state, now_us)
 
 
 # --- analyses ----------------------------------------------------------------------
@@ -725,10 +792,11 @@ def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trend(spark, sf_dir, "month", ["cluster"])
 
 
-@query()
+@query(_trend_sql("hour", 'cluster, "database"').replace("round(quantile_cont", "(quantile_disc").replace("), 6) AS p", ")) AS p"))
 def hourly_trend_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sketched percentiles: no exact equal in SQL."""
-    return analytics.duration_trend_approx(_runs(spark, sf_dir), "hour", ["cluster", "database"])
+    """Sketched percentiles; at this accuracy the sketch holds every value of a group."""
+    trend = analytics.duration_trend_approx(_runs(spark, sf_dir), "hour", ["cluster", "database"])
+    return trend.withColumns({"period": F.col("period").cast("string"), "avg_ms": F.round("avg_ms", 6)})
 
 
 @query(f"""WITH {RUNS_SQL}, total AS (SELECT sum(duration_ms) AS t FROM runs WHERE query_hash IS NOT NULL)
@@ -744,8 +812,11 @@ def statement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FULL_SQL} SELECT sr_query_id, fe_host, start_time, duration_ms, profile_text
 FROM full_records ORDER BY duration_ms DESC, sr_query_id, fe_host, start_time LIMIT 20""")
 def slowest_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 20 slowest runs with their texts."""
-    return analytics.top_slow(_full_records(spark, sf_dir), 20).select(
+    """The 20 slowest runs that have a text, with their texts, which only the winners fetch."""
+    texts = tables.profile_lookup(spark, sf_dir).withColumnRenamed("query_id", "sr_query_id")
+    known = _runs(spark, sf_dir).drop("profile_text").join(texts.select("sr_query_id"), "sr_query_id", "left_semi")
+    best = stage(analytics.top_slow(known, 20), "slowest")
+    return analytics.with_texts(best, texts).select(
         "sr_query_id", "fe_host", "start_time", "duration_ms", "profile_text"
     )
 
@@ -767,7 +838,7 @@ def slowest_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     sum(duration_ms) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS s,
     count(*) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS n
   FROM runs WHERE query_hash IS NOT NULL
-  WINDOW w AS (PARTITION BY query_hash ORDER BY start_time, sr_query_id, fe_host))
+  WINDOW w AS (PARTITION BY query_hash ORDER BY start_time, sr_query_id, fe_host, duration_ms))
 SELECT query_hash, sr_query_id, fe_host, start_time, duration_ms,
   coalesce(previous_ms, -1) AS previous_ms, coalesce(round(s / n, 6), -1) AS trailing_avg_ms,
   coalesce(round(CASE WHEN s > 0 THEN duration_ms / (s / n) END, 6), -1) AS ratio FROM placed""")
@@ -796,10 +867,67 @@ def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records from one streaming query over the landed files."""
     landed = scratch_path(spark, "landed")
-    tables.landed_responses(spark, sf_dir).write.parquet(landed)
+    land_in_turns(tables.landed_responses(spark, sf_dir), "finished_us", landed)
     return stream_collect.drain(spark, landed, CLUSTER, NOW_US, TTL_US)
 
 
+@query(_PIPELINE_RECORDS_SQL.replace("2024-01-30T00:00:00Z", "collected"))
+def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the batch pipeline inside a stream that restarts after every micro-batch."""
+    base = stream_collect.replay(tables.landed_responses(spark, sf_dir), CLUSTER, TTL_US)
+    written = read_profiles(spark, f"{base}/table").drop(*PARTITION_COLUMNS)
+    return written.withColumn("ts", F.lit("collected"))
+
+
+@query(f"""WITH RECURSIVE {PIPELINE_SQL} SELECT fe_host, max(event_time) AS last_event_time
+FROM outcomes WHERE outcome IN ('collected', 'dedup', 'unfinished') GROUP BY fe_host""")
+def replayed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks after the last of those micro-batches."""
+    base = stream_collect.replay(tables.landed_responses(spark, sf_dir), CLUSTER, TTL_US)
+    return progress.load_progress(spark, f"{base}/state/progress")[0]
+
+
+@query(f"WITH {FINISHED_SQL} SELECT DISTINCT query_id FROM fin")
+def stream_builtin_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built-in rule under a TTL longer than the log: every id once."""
+    return stream_dedup.drain_builtin(spark, sf_dir, "3650 days")
+
+
+@query(f"""WITH RECURSIVE {OUTCOME_SQL} SELECT
+  strftime(time_bucket(INTERVAL 5 MINUTES, make_timestamp(event_time // 1000)), '%Y-%m-%d %H:%M:%S') AS window_start,
+  fe_host, count(CASE WHEN outcome = 'collected' THEN 1 END) AS collected,
+  count(CASE WHEN outcome <> 'collected' THEN 1 END) AS skipped FROM outcomes GROUP BY ALL""")
+def stream_interval_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes per host and five minutes, counted by a stream."""
+    outcomes = _outcomes(spark, sf_dir).select("fe_host", "event_us", "outcome")
+    return monitor.drain_interval_counts(outcomes)
+
+
+@query(f"""WITH {FINISHED_SQL} SELECT f.event_id, f.query_id, f.fe_host,
+  CASE WHEN d.doc_id % 3 = 0 THEN md5(d.text) END AS text_md5
+FROM fin f LEFT JOIN documents d ON 'q-' || CAST(d.doc_id AS VARCHAR) = f.query_id""")
+def stream_late_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed rows with texts that come a minute later, for a third of the documents; the
+    others are returned without once their time is over."""
+    return stream_collect.drain_late_profiles(spark, sf_dir)
+
+
+@query(f"WITH {FULL_SQL} SELECT * FROM full_records")
+def fallback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records flushed in four batches, one of them twice and one to a store that fails:
+    what the table and the fallback hold together."""
+    base = scratch_path(spark, "fallback")
+    records_ = stage(_full_records(spark, sf_dir), "records")
+    part = F.pmod(F.xxhash64("sr_query_id"), F.lit(4))
+    for number in range(4):
+        store = "unreachable://store/table" if number == 2 else f"{base}/table"
+        writer = FallbackWriter(store, f"{base}/fallback", f"{base}/log", lambda: FLUSH_US)
+        for _ in range(2 if number == 1 else 1):
+            writer(records_.where(part == number), number)
+    written = read_profiles(spark, f"{base}/table").drop(*PARTITION_COLUMNS)
+    return written.unionByName(read_fallback(spark, f"{base}/fallback").drop("batch_id"))
+
+
 @query(f"""WITH {POLLS_SQL} SELECT strftime(time_bucket(INTERVAL 5 MINUTES, make_timestamp(poll_us)),
   '%Y-%m-%d %H:%M:%S') AS window_start, fe_host, count(*) AS polls,
   count(CASE WHEN NOT ok THEN 1 END) AS failed FROM polls GROUP BY ALL""")

@@ -12,18 +12,17 @@ from profile_lake.operators import dedup, enrich, progress as marks, records
 from profile_lake.schemas import (
     COLLECTED,
     DEDUP_TTL_SECONDS,
-    HTTP_RETRIES,
     LISTING,
-    MAX_DEDUP_ENTRIES,
     MICROS,
     PROFILE,
 )
 from profile_lake.session import stage
-from profile_lake.sources.listing import parse_query_detail, split_bad
+from profile_lake.sources.listing import decode_listings, readable_rows, unreadable_responses
 from profile_lake.sources.responses import (
     fetch_outcome,
     listings,
     poll_log,
+    polls,
     profile_texts,
     resolve_attempts,
 )
@@ -43,6 +42,7 @@ class Collected:
     progress: DataFrame
     seen: DataFrame
     bad: DataFrame
+    polls: DataFrame
 
 
 def collect_profiles(
@@ -65,22 +65,19 @@ def collect(
     cluster: str,
     now_us: int,
     ttl_us: int = DEDUP_TTL_SECONDS * MICROS,
-    cap: int = MAX_DEDUP_ENTRIES,
-    retries: int = HTTP_RETRIES,
 ) -> Collected:
     """One run over a set of landed responses.
 
-    Parsed rows and their outcomes are staged in the shared folder: each is made once
+    Bodies are decoded once, the deciding answers' and no others. Parsed rows and their outcomes are staged in the shared folder: each is made once
     and read by several results. Profile texts are read and joined only for records.
     """
-    resolved = resolve_attempts(poll_log(responses), retries)
+    resolved = resolve_attempts(poll_log(responses))
     answered = resolved.where((F.col("endpoint") == LISTING) & (F.col("status") == 200))
-    listing = listings(responses).drop("query_id")
-    parsed = parse_query_detail(listing).join(
-        answered.select(*REQUEST, "attempt"), [*REQUEST, "attempt"], "left_semi"
-    )
-    details = parsed.drop("endpoint", "status", "started_us", "attempt")
-    details = stage(marks.newer_than_progress(details, progress), "details")
+    deciding = answered.select(*REQUEST, "attempt")
+    listing = listings(responses).drop("query_id").join(deciding, [*REQUEST, "attempt"], "left_semi")
+    decoded = stage(decode_listings(listing), "decoded")
+    parsed = readable_rows(decoded).drop("endpoint", "status", "started_us", "attempt")
+    details = stage(marks.newer_than_progress(parsed, progress), "details")
 
     done = dedup.label_first(records.finished(details), ttl_us, seen, "finished_us", TIES)
     rest = details.where(~records.is_finished()).withColumn("is_first", F.lit(False))
@@ -102,6 +99,7 @@ def collect(
         records=records.to_record(entries, cluster, collected_at),
         outcomes=outcomes,
         progress=marks.advance(progress, outcomes),
-        seen=dedup.compact_seen(known, now_us, ttl_us, cap),
-        bad=split_bad(listing)[1],
+        seen=dedup.compact_seen(known, now_us, ttl_us),
+        bad=unreadable_responses(decoded, listing.columns),
+        polls=polls(responses, decoded),
     )

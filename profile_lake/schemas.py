@@ -63,11 +63,7 @@ LISTING = "query_detail"
 PROFILE = "profile"
 
 # --- fixed values: limits, defaults and histogram bounds -------------------------
-LISTING_MAX_BYTES = 50 * 1024 * 1024
-PROFILE_MAX_BYTES = 10 * 1024 * 1024
-HTTP_RETRIES = 1
 DEDUP_TTL_SECONDS = 1800
-MAX_DEDUP_ENTRIES = 100_000
 BACKOFF_FIRST_SECONDS = 10
 BACKOFF_MAX_SECONDS = 300
 BACKOFF_FACTOR = 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -55,6 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if not _local_dirs:
         _local_dirs.append(tempfile.mkdtemp(prefix="profile-lake-"))
+        atexit.register(shutil.rmtree, _local_dirs[0], ignore_errors=True)
     return _local_dirs[0]
 
 
@@ -66,6 +69,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_run_folder.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the part files of folder ``source`` into ``target``, named ``prefix`` and a number.
+
+    Files of that prefix that are already there go first, so a repeat replaces them.
+    """
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder, into = paths(source), paths(target)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(into)
+    for status in files.listStatus(into):
+        if status.getPath().getName().startswith(prefix):
+            files.delete(status.getPath(), False)
+    number = 0
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            files.rename(status.getPath(), paths(into, f"{prefix}{number:05}.{name.rsplit('.', 1)[-1]}"))
+            number += 1
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def fixed_value(spark: SparkSession, path: str, value: int) -> int:
+    """``value`` the first time; what was written then whenever it is asked again."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).selectExpr(f"cast({int(value)} as long) AS value").coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema("value long").json(path).first()[0]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder from whatever file system it is on."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

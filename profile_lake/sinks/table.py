@@ -8,6 +8,7 @@ the cloud connector, ``s3a://`` with its options, a shared or local folder.
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -16,7 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
-from profile_lake.schemas import BATCH_SIZE, MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
+from profile_lake.schemas import MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
+from profile_lake.session import delete_path, fixed_value, move_files, scratch_folder, stage
 from profile_lake.sinks.jsonl import to_jsonl
 
 FLUSH_LOG_SCHEMA = (
@@ -33,7 +35,8 @@ class Sink:
     backend: str
     location: str | None = None
     hadoop_options: Mapping[str, str] = field(default_factory=dict)
-    batch_size: int = BATCH_SIZE
+    #: Records per file; None leaves files to the size of the tasks' output.
+    batch_size: int | None = None
 
     def configure(self, spark: SparkSession) -> None:
         """Set the connector's options on the session."""
@@ -46,10 +49,12 @@ def sink_for(options: Mapping[str, str | int]) -> Sink:
     """Sink for ``backend`` gcs, s3, file or stdout with its options.
 
     gcs, s3: bucket (required), prefix; s3 also region and endpoint, where an endpoint
-    switches to path-style addressing. file: output_dir, prefix. All: batch_size.
+    switches to path-style addressing. file: output_dir, prefix. All: batch_size, the most
+    records per file (no limit by default; collectors that need small files use
+    ``schemas.BATCH_SIZE``).
     """
     backend = str(options.get("backend", "gcs"))
-    batch_size = int(options.get("batch_size", BATCH_SIZE))
+    batch_size = int(options["batch_size"]) if options.get("batch_size") else None
     prefix = str(options.get("prefix", DEFAULT_PREFIX)).strip("/")
     if backend in ("gcs", "s3"):
         bucket = options.get("bucket")
@@ -81,36 +86,58 @@ def write_profiles(
     records: DataFrame,
     path: str,
     flush_us: int,
-    batch_size: int = BATCH_SIZE,
-    even_files: bool = False,
+    batch_size: int | None = None,
+    even_files: bool = True,
 ) -> None:
-    """Append records under the folder of ``flush_us``, at most ``batch_size`` per file.
+    """Append records under the folder of ``flush_us``.
 
-    One flush goes to one folder, so each task writes its own files and nothing is
-    shuffled. ``even_files`` spends a shuffle to merge the output of many small tasks;
-    raise ``batch_size`` with it for large tables.
+    ``even_files`` spends a shuffle so that files have the size Spark aims at, however
+    many small tasks made the records. Without it each task writes its own file.
+    ``batch_size`` limits the records of a file.
     """
     rows = with_partitions(records, flush_us)
     if even_files:
         rows = rows.hint("rebalance")
-    (
-        rows.write.partitionBy(*PARTITION_COLUMNS)
-        .mode("append")
-        .option("maxRecordsPerFile", batch_size)
-        .json(path)
-    )
+    rows.write.partitionBy(*PARTITION_COLUMNS).mode("append").option("maxRecordsPerFile", batch_size or 0).json(path)
+
+
+def print_lines(records: DataFrame) -> None:
+    """Every record as one JSON line on the driver's output, a partition at a time."""
+    for row in to_jsonl(records).toLocalIterator():
+        sys.stdout.write(row.value + "\n")
+    sys.stdout.flush()
 
 
 def write_records(records: DataFrame, sink: Sink, flush_us: int) -> None:
-    """One flush to the backend a sink names; the console shows a batch of lines."""
+    """One flush to the backend a sink names; the console gets JSON lines."""
     if sink.location is None:
-        lines = to_jsonl(records).write.format("console").mode("append")
-        lines.option("truncate", False).option("numRows", sink.batch_size).save()
+        print_lines(records)
     else:
         sink.configure(records.sparkSession)
         write_profiles(records, sink.location, flush_us, sink.batch_size)
 
 
+def folder_of(spark: SparkSession, flush_us: int) -> str:
+    """year=YYYY/month=MM/day=DD/hour=HH of a flush time."""
+    keys = spark.range(1).select(*partition_keys(F.lit(flush_us))).first()
+    return "/".join(f"{name}={keys[name]}" for name in PARTITION_COLUMNS)
+
+
+def publish_batch(records: DataFrame, location: str, flush_us: int, batch: str, batch_size: int | None = None) -> None:
+    """Put a batch's records into the folder of its flush time, once however often it runs.
+
+    The files are written aside and then moved under names that begin with the batch's;
+    earlier files of the batch are replaced. With a fixed flush time per batch, a repeat
+    over the hour lands where the first try did.
+    """
+    spark = records.sparkSession
+    aside = f"{location}/_aside-{batch}"
+    rows = records.select(*PROFILE_SCHEMA.fieldNames()).hint("rebalance")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", batch_size or 0).json(aside)
+    move_files(spark, aside, f"{location}/{folder_of(spark, flush_us)}", f"batch-{batch}-")
+    delete_path(spark, aside)
+
+
 def read_flush_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLUSH_LOG_SCHEMA).json(path)
 
@@ -123,8 +150,10 @@ def read_fallback(spark: SparkSession, path: str) -> DataFrame:
 class FallbackWriter:
     """``foreachBatch`` function: write a batch, and on failure keep it elsewhere.
 
-    Every batch has its own folder that a repeated run overwrites, so retries after a
-    crash leave no duplicates. Each flush adds one row to the flush log.
+    A batch's flush time is written down at its first try and used again by repeats, its
+    files are replaced, and a success removes what the fallback kept of it: every record
+    is in one place once. The batch is staged first, so only the store's failures count
+    as such. Each flush has one row in the flush log.
     """
 
     def __init__(
@@ -133,7 +162,7 @@ class FallbackWriter:
         fallback_path: str,
         log_path: str,
         clock_us: Callable[[], int] = lambda: int(time.time() * MICROS),
-        batch_size: int = BATCH_SIZE,
+        batch_size: int | None = None,
     ) -> None:
         self.location = location
         self.fallback_path = fallback_path
@@ -142,37 +171,27 @@ class FallbackWriter:
         self.batch_size = batch_size
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         started = self.clock_us()
-        records = batch.select(*PROFILE_SCHEMA.fieldNames())
-        try:
-            entries, size = self._write(records, started, batch_id)
-            status = "success"
-        except Exception:  # any failure of the store: the records must survive
-            entries, _ = self._keep(records, batch_id)
-            status, size = "error", 0
+        flush_us = fixed_value(spark, f"{self.log_path}/_begun/batch={batch_id}", started)
+        kept = f"{self.fallback_path}/batch_id={batch_id}"
+        with scratch_folder(spark):
+            counted, counts = _counted(batch.select(*PROFILE_SCHEMA.fieldNames()))
+            records = stage(counted, "flush")
+            entries, size = counts()
+            try:
+                publish_batch(records, self.location, flush_us, str(batch_id), self.batch_size)
+                status = "success"
+            except Exception:  # any failure of the store: the records must survive
+                records.write.mode("overwrite").json(kept)
+                status, size = "error", 0
+            else:
+                delete_path(spark, kept)
         took = self.clock_us() - started
-        row = (batch_id, started, status, entries, took, size)
-        log = batch.sparkSession.createDataFrame([row], FLUSH_LOG_SCHEMA)
+        row = (batch_id, flush_us, status, entries, took, size)
+        log = spark.createDataFrame([row], FLUSH_LOG_SCHEMA)
         log.write.mode("overwrite").json(f"{self.log_path}/batch={batch_id}")
 
-    def _write(self, records: DataFrame, flush_us: int, batch_id: int) -> tuple[int, int]:
-        counted, counts = _counted(records)
-        rows = counted.select("*", *partition_keys(F.lit(flush_us)))
-        (
-            rows.withColumn("batch_id", F.lit(batch_id))
-            .write.partitionBy(*PARTITION_COLUMNS, "batch_id")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", self.batch_size)
-            .json(self.location)
-        )
-        return counts()
-
-    def _keep(self, records: DataFrame, batch_id: int) -> tuple[int, int]:
-        counted, counts = _counted(records)
-        counted.write.mode("overwrite").json(f"{self.fallback_path}/batch_id={batch_id}")
-        return counts()
-
 
 def _counted(records: DataFrame) -> tuple[DataFrame, Callable[[], tuple[int, int]]]:
     """Records that count themselves and their encoded bytes while they are written."""

@@ -2,8 +2,10 @@
 
 A body is a JSON array of rows, or an object holding the array under ``data``. Both are
 read in one strict pass: the body becomes a field of a small envelope object, so that a
-wrong type, a cut-off body or text after the end marks the whole response as bad. The
-one leniency left is a number where text is expected, which Spark reads as text.
+wrong type or a cut-off body marks the whole response as bad. So does anything after the
+body's value: text that would pass as more fields of the envelope does not pass as part
+of an array's only element, and the other way round. The one leniency left is a number
+where text is expected, which Spark reads as text.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profile_lake.functions.columns import cap_bytes
-from profile_lake.schemas import DETAIL_SCHEMA, LISTING_MAX_BYTES
+from profile_lake.functions.columns import body_text
+from profile_lake.schemas import DETAIL_SCHEMA
+from profile_lake.session import stage
 
 _ROWS = T.ArrayType(DETAIL_SCHEMA)
 _ENVELOPE = T.StructType(
@@ -42,47 +45,62 @@ DETAIL_COLUMNS = [
 ]
 
 
+_BLANKS = " \t\r\n"
+
+
 def _decoded(body: Column) -> Column:
-    shape = F.when(F.substring(F.ltrim(body), 1, 1) == "[", "bare").otherwise("wrapped")
+    bare = F.substring(F.ltrim(body, F.lit(_BLANKS)), 1, 1) == "["
+    shape = F.when(bare, "bare").otherwise("wrapped")
     return F.from_json(F.concat(F.lit('{"'), shape, F.lit('":'), body, F.lit("}")), _ENVELOPE, _STRICT)
 
 
-def _with_decoded(responses: DataFrame, body: str, max_bytes: int) -> DataFrame:
-    kind = responses.schema[body].dataType
-    text = cap_bytes(body, max_bytes) if isinstance(kind, T.BinaryType) else F.col(body)
-    return responses.withColumn("_listing", _decoded(text))
-
+def _is_one_value(body: Column) -> Column:
+    """An array around the body has one element; null where it is no array at all."""
+    return F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
 
-def _is_bad(body: str) -> Column:
-    return F.col(body).isNull() | F.col("_listing.bad").isNotNull()
 
+def decode_listings(responses: DataFrame, body: str = "body", max_bytes: int | None = None) -> DataFrame:
+    """Rows of every body, decoded once, and one row with ``unreadable`` per bad response.
 
-def _explode_rows(decoded: DataFrame, body: str) -> DataFrame:
-    kept = [c for c in decoded.columns if c not in (body, "_listing")]
+    Missing fields are '' or 0; ``position`` is null where a response has no rows. Only
+    unreadable rows keep their body. Stage the result to use both kinds.
+    """
+    kind = responses.schema[body].dataType
+    text = body_text(body, max_bytes) if isinstance(kind, T.BinaryType) else F.col(body)
+    decoded = responses.withColumn("_text", text).withColumn(
+        "_listing", F.when(_is_one_value(F.col("_text")), _decoded(F.col("_text")))
+    )
+    unreadable = F.col("_listing").isNull() | F.col("_listing.bad").isNotNull()
     # The condition sits inside the generator: as a filter Spark would push it
     # below the projection and decode every body twice.
-    rows = F.when(
-        ~_is_bad(body), F.coalesce(F.col("_listing.bare"), F.col("_listing.wrapped.data"))
-    )
+    rows = F.when(~unreadable, F.coalesce(F.col("_listing.bare"), F.col("_listing.wrapped.data")))
+    kept = [c for c in responses.columns if c != body]
     fields = []
     for name, source in DETAIL_COLUMNS:
         zero = "" if isinstance(DETAIL_SCHEMA[source].dataType, T.StringType) else 0
         fields.append(F.coalesce(F.col(f"_row.{source}"), F.lit(zero)).alias(name))
-    return decoded.select(*kept, F.posexplode(rows).alias("position", "_row")).select(
-        *kept, "position", *fields
-    )
+    flagged = decoded.select(*kept, body, unreadable.alias("unreadable"), F.posexplode_outer(rows).alias("position", "_row"))
+    return flagged.select(*kept, F.when(F.col("unreadable"), F.col(body)).alias(body), "unreadable", "position", *fields)
+
+
+def readable_rows(decoded: DataFrame, body: str = "body") -> DataFrame:
+    """The rows of good bodies."""
+    return decoded.where(F.col("position").isNotNull()).drop(body, "unreadable")
+
+
+def unreadable_responses(decoded: DataFrame, responses_columns: list[str]) -> DataFrame:
+    """The responses whose body could not be read, as they came."""
+    return decoded.where("unreadable").select(*responses_columns)
 
 
-def parse_query_detail(
-    responses: DataFrame, body: str = "body", max_bytes: int = LISTING_MAX_BYTES
-) -> DataFrame:
+def parse_query_detail(responses: DataFrame, body: str = "body", max_bytes: int | None = None) -> DataFrame:
     """Rows of every good body, with missing fields as '' or 0 and their position."""
-    return _explode_rows(_with_decoded(responses, body, max_bytes), body)
+    return readable_rows(decode_listings(responses, body, max_bytes), body)
 
 
 def split_bad(
-    responses: DataFrame, body: str = "body", max_bytes: int = LISTING_MAX_BYTES
+    responses: DataFrame, body: str = "body", max_bytes: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows of good bodies, whole responses whose body could not be read)."""
-    decoded = _with_decoded(responses, body, max_bytes)
-    return _explode_rows(decoded, body), decoded.where(_is_bad(body)).drop("_listing")
+    """(rows of good bodies, whole responses whose body could not be read), decoded once."""
+    decoded = stage(decode_listings(responses, body, max_bytes), "decoded")
+    return readable_rows(decoded, body), unreadable_responses(decoded, responses.columns)

@@ -20,7 +20,23 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     Folders are named after the flush time: when filtering on ``ts``, widen the folder
     range by one flush interval.
     """
-    return spark.read.schema(TABLE_SCHEMA).json(path)
+    return lines_read(spark, path).where(F.col("_unread").isNull()).drop("_unread")
+
+
+def read_damaged(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the table that are no records: (value, partition columns)."""
+    damaged = lines_read(spark, path).where(F.col("_unread").isNotNull())
+    return damaged.select(F.col("_unread").alias("value"), *PARTITION_COLUMNS)
+
+
+def lines_read(spark: SparkSession, path: str) -> DataFrame:
+    """Records, and ``_unread`` with the text of a line that could not be read."""
+    lines = T.StructType([T.StructField("value", T.StringType())] + TABLE_SCHEMA.fields[-len(PARTITION_COLUMNS) :])
+    schema = T.StructType(PROFILE_SCHEMA.fields + [T.StructField("_unread", T.StringType())])
+    record = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_unread"})
+    # The JSON reader refuses queries that need nothing but the unread line.
+    rows = spark.read.schema(lines).text(path).where("value <> ''")
+    return rows.select(record.alias("_r"), *PARTITION_COLUMNS).select("_r.*", *PARTITION_COLUMNS)
 
 
 def with_event_times(profiles: DataFrame) -> DataFrame:

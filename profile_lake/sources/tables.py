@@ -131,11 +131,37 @@ def listing_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listing bodies with the last byte missing from every seventh poll."""
-    cut = F.expr("substring(body, 1, octet_length(body) - 1)")
+    """The listing bodies; those of every seventh poll are unreadable, in one of four ways.
+
+    The last byte is missing, or text follows the value: a word, what would be more fields
+    of an object, or more elements of an array. Every fifth poll has white space around.
+    """
+    text = F.col("body").cast("string")
+    damaged = (
+        F.when(F.col("poll_id") % 28 == 0, F.expr("substring(cast(body as string), 1, length(cast(body as string)) - 1)"))
+        .when(F.col("poll_id") % 28 == 7, F.concat(text, F.lit(" x")))
+        .when(F.col("poll_id") % 28 == 14, F.concat(text, F.lit(',"wrapped":{"data":[]}')))
+        .otherwise(F.concat(text, F.lit(",[]")))
+    )
+    spaced = F.when(F.col("poll_id") % 5 == 0, F.concat(F.lit("\r\n\t "), text, F.lit("\n"))).otherwise(text)
     return listing_responses(spark, sf_dir).withColumn(
-        "body", F.when(F.col("poll_id") % 7 == 0, cut).otherwise(F.col("body"))
+        "body", F.when(F.col("poll_id") % 7 == 0, damaged).otherwise(spaced).cast("binary")
+    )
+
+
+def polled_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged listings as polled: every eleventh poll is refused, the ones after it
+    get their answer at the second attempt, a millisecond after the first."""
+    answers = damaged_listings(spark, sf_dir)
+    refused, retried = F.col("poll_id") % 11 == 0, F.col("poll_id") % 11 == 1
+    failed = answers.where(refused | retried).withColumns({"status": F.lit(500), "body": F.lit("busy").cast("binary")})
+    later = answers.where(~refused).withColumns(
+        {
+            "attempt": F.when(retried, 2).otherwise(1),
+            "finished_us": F.col("finished_us") + F.when(retried, 1000).otherwise(0),
+        }
     )
+    return failed.unionByName(later)
 
 
 def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

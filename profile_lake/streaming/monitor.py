@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from profile_lake.functions.columns import micros_to_ntz
 from profile_lake.schemas import COLLECTED
 from profile_lake.session import scratch_path
 from profile_lake.sources import tables
+from profile_lake.streaming.landing import land_in_turns
 
 
 def interval_counts(
@@ -76,21 +78,53 @@ class LiveCounters(StreamingQueryListener):
         pass
 
 
-def drain_poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the sample poll log through :func:`poll_counts` to the end."""
-    counts = poll_counts(tables.poll_attempts(spark, sf_dir, stream=True)).select(
-        micros_to_ntz(F.unix_micros("interval.start")).cast("string").alias("window_start"),
-        "fe_host",
-        "polls",
-        "failed",
-    )
+def latest_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Run windowed counts in update mode to the end; per key the last micro-batch's row.
+
+    The state forgets windows the watermark has passed. Each micro-batch adds the windows
+    it changed to the table, under its number; a repeated one replaces its own.
+    """
+    spark = counts.sparkSession
     out = scratch_path(spark, "stream-out")
     (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .option("checkpointLocation", scratch_path(spark, "stream-state"))
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+        .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/batch={number}"))
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    return spark.read.schema(counts.schema).parquet(out)
+    written = spark.read.schema(f"{counts.schema.toDDL()}, batch long").parquet(out)
+    rest = [c for c in counts.columns if c not in keys]
+    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_newest"))
+    return newest.select(*keys, "_newest.*")
+
+
+def drain_poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the sample poll log through :func:`poll_counts`, a file per micro-batch."""
+    polls = tables.poll_attempts(spark, sf_dir)
+    landed = scratch_path(spark, "landed")
+    land_in_turns(polls, "poll_us", landed)
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    counts = poll_counts(stream).select(
+        micros_to_ntz(F.unix_micros("interval.start")).cast("string").alias("window_start"),
+        "fe_host",
+        "polls",
+        "failed",
+    )
+    return latest_counts(counts, ["window_start", "fe_host"])
+
+
+def drain_interval_counts(outcomes: DataFrame) -> DataFrame:
+    """Run (fe_host, event_us, outcome) through :func:`interval_counts`, a file per micro-batch."""
+    spark = outcomes.sparkSession
+    landed = scratch_path(spark, "landed")
+    land_in_turns(outcomes, "event_us", landed)
+    stream = spark.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    counts = interval_counts(stream.withColumn("event_ts", F.timestamp_micros("event_us"))).select(
+        micros_to_ntz(F.unix_micros("interval.start")).cast("string").alias("window_start"),
+        "fe_host",
+        "collected",
+        "skipped",
+    )
+    return latest_counts(counts, ["window_start", "fe_host"])

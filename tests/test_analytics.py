@@ -118,6 +118,12 @@ def test_top_slow(spark):
     df = spark.createDataFrame([run(i, ms=i % 7) for i in range(30)], SCHEMA)
     got = sorted(r.sr_query_id for r in analytics.top_slow(df, 3).collect())
     assert got == ["q00006", "q00013", "q00020"]
+    # Runs that share id, host and second are rows of their own.
+    same = spark.createDataFrame([run(1, ms=100), run(1, ms=5), run(2, ms=50)], SCHEMA)
+    for k, durations in ((1, [100]), (2, [50, 100])):
+        assert sorted(r.duration_ms for r in analytics.top_slow(same, k).collect()) == durations
+    texts = spark.createDataFrame([("q00001", "t")], "sr_query_id string, profile_text string")
+    assert [r.profile_text for r in analytics.with_texts(analytics.top_slow(same, 1), texts).collect()] == ["t"]
     per = analytics.top_slow_by(df, ["cluster"], 2)
     assert [(r.sr_query_id, r.place) for r in per.orderBy("place").collect()] == [("q00006", 1), ("q00013", 2)]
     assert records.slow(df, 6).count() == 4

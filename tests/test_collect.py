@@ -1,4 +1,4 @@
-"""The two-poll end-to-end case and the outcomes around it."""
+"""Whole runs: two polls in turn, and the outcomes around them."""
 
 import hashlib
 import json
@@ -7,42 +7,42 @@ from profile_lake.operators.metrics import collected_by_host, skipped_by_reason
 from profile_lake.plans.collect import collect
 from profile_lake.schemas import MICROS, PROFILE_SCHEMA
 
-from tests.helpers import E2E_ROWS, empty_state, listing, profile, responses
+from tests.helpers import ARRIVAL, empty_state, listed, listing, profile, responses
 
-NOW = 1770806200 * MICROS
-MARK = 1770806107436000000
+NOW = ARRIVAL + 30 * MICROS
 
 
-def run(spark, rows, seen, progress, **more):
-    return collect(responses(spark, rows), seen, progress, "test-cluster", NOW, **more)
+def run(spark, rows, seen, progress):
+    return collect(responses(spark, rows), seen, progress, "lab", NOW)
 
 
-def test_end_to_end(spark):
+def test_two_runs(spark):
     seen, progress = empty_state(spark)
-    rows = [listing(1, "fe-0:8030", E2E_ROWS, at=NOW - MICROS)]
-    rows += [profile(1, "fe-0:8030", q, f"Profile for {q}") for q in ("e2e-q1", "e2e-q2")]
+    listed_rows = [
+        listed("alpha", 70, sql="SELECT price FROM goods"),
+        listed("beta", 80, start_ms=1_735_689_061_500, latency=4000, user="bob", sql=""),
+        listed("gamma", 90, state="RUNNING", latency=-1),
+    ]
+    rows = [listing(1, "n1:8030", listed_rows, at=ARRIVAL)]
+    rows += [profile(1, "n1:8030", q, f"plan of {q}") for q in ("alpha", "beta")]
     first = run(spark, rows, seen, progress)
     got = [r.asDict() for r in first.records.orderBy("sr_query_id").collect()]
     assert first.records.columns == PROFILE_SCHEMA.fieldNames()
+    same = {"ts": "2025-01-01T00:00:30Z", "fe_host": "n1:8030", "cluster": "lab", "state": "FINISHED", "database": "shop"}
     assert got == [
         {
-            "ts": "2026-02-11T10:36:40Z", "fe_host": "fe-0:8030", "cluster": "test-cluster",
-            "sr_query_id": "e2e-q1", "state": "FINISHED", "database": "testdb", "user": "root",
-            "start_time": "2026-02-11T10:35:07Z", "end_time": "2026-02-11T10:35:08Z",
-            "duration_ms": 1000.0, "sql_text": "SELECT 1",
-            "query_hash": "b1698e52a0f16203489454196a0c6307", "profile_text": "Profile for e2e-q1",
+            **same, "sr_query_id": "alpha", "user": "ann", "start_time": "2024-12-31T23:50:00Z",
+            "end_time": "2024-12-31T23:50:00Z", "duration_ms": 250.0, "sql_text": "SELECT price FROM goods",
+            "query_hash": hashlib.md5(b"SELECT price FROM goods").hexdigest(), "profile_text": "plan of alpha",
         },
         {
-            "ts": "2026-02-11T10:36:40Z", "fe_host": "fe-0:8030", "cluster": "test-cluster",
-            "sr_query_id": "e2e-q2", "state": "FINISHED", "database": "testdb", "user": "analyst",
-            "start_time": "2026-02-11T10:36:00Z", "end_time": "2026-02-11T10:36:02Z",
-            "duration_ms": 2000.0, "sql_text": "SELECT 2",
-            "query_hash": hashlib.md5(b"SELECT 2").hexdigest(),
-            "profile_text": "Profile for e2e-q2",
+            **same, "sr_query_id": "beta", "user": "bob", "start_time": "2024-12-31T23:51:01Z",
+            "end_time": "2024-12-31T23:51:05Z", "duration_ms": 4000.0, "sql_text": "", "query_hash": None,
+            "profile_text": "plan of beta",
         },
     ]
-    assert [tuple(r) for r in first.progress.collect()] == [("fe-0:8030", MARK)]
-    assert sorted(r.query_id for r in first.seen.collect()) == ["e2e-q1", "e2e-q2"]
+    assert [tuple(r) for r in first.progress.collect()] == [("n1:8030", 90)]
+    assert sorted(r.query_id for r in first.seen.collect()) == ["alpha", "beta"]
 
     # Without the mark the same listing comes again, and both ids are known.
     again = run(spark, rows, first.seen, progress)
@@ -51,7 +51,15 @@ def test_end_to_end(spark):
     # With the mark there is nothing new to look at.
     later = run(spark, rows, first.seen, first.progress)
     assert later.outcomes.count() == 0
-    assert [tuple(r) for r in later.progress.collect()] == [("fe-0:8030", MARK)]
+    assert [tuple(r) for r in later.progress.collect()] == [("n1:8030", 90)]
+
+
+def test_no_id_twice_within_its_ttl_however_many(spark):
+    seen, progress = empty_state(spark)
+    ids = [f"q{i}" for i in range(30)]
+    first = run(spark, [listing(1, "a", [listed(q, 1) for q in ids])], seen, progress)
+    again = run(spark, [listing(2, "b", [listed(q, 2) for q in ids], at=ARRIVAL + MICROS)], first.seen, progress)
+    assert {r.outcome for r in again.outcomes.collect()} == {"dedup"}
 
 
 def entry(query_id, event_time, state="FINISHED"):
@@ -89,6 +97,8 @@ def test_outcomes_marks_and_dead_letters(spark):
     # Ids whose fetch failed stay marked.
     assert sorted(r.query_id for r in got.seen.collect()) == ["q1", "q2", "q3", "q4", "q5"]
     assert [bytes(r.body) for r in got.bad.collect()] == [b"not json"]
+    polled = {r.fe_host: r.ok for r in got.polls.collect()}
+    assert polled == {"a": True, "b": True, "c": False, "d": False, "e": True}
     assert {r.reason: r.profiles_skipped_total for r in skipped_by_reason(got.outcomes).collect()} == {
         "dedup": 2, "not_found": 2, "fetch_error": 2,
     }

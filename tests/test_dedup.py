@@ -43,21 +43,33 @@ def test_suppressed_rows_do_not_extend_the_window(spark):
     assert numbers(kept) == [0, 1801, 3700]
 
 
-@pytest.mark.parametrize("ttl, max_fold", [(500, 50_000), (500, 400), (1000, 800), (0, 300)])
-def test_hot_ids_follow_the_same_rule(spark, ttl, max_fold):
+@pytest.mark.parametrize("ttl", [500, 37, 0])
+def test_hot_ids_follow_the_same_rule(spark, ttl):
     rows = crowded_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    assert numbers(dedup.ttl_dedup(df, ttl, max_fold=max_fold)) == model(rows, ttl)
+    assert numbers(dedup.ttl_dedup(df, ttl)) == model(rows, ttl)
 
 
-def test_a_cell_larger_than_a_fold_is_stepped_through(spark):
-    rows = [("hot", at, "h", at) for at in range(0, 1600, 2)] + [("b", 3, "h", 10_000)]
+def test_a_long_chain_of_one_id(spark):
+    # Each instant is 0.6 TTL after the one before: every second one is accepted.
+    rows = [("hot", 600 * i, "h", i) for i in range(1500)] + [("b", 3, "h", 10_000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert numbers(dedup.ttl_dedup(df, 400, max_fold=100)) == model(rows, 400)
+    assert numbers(dedup.ttl_dedup(df, 1000)) == model(rows, 1000)
 
 
-def test_slices_hold_a_fold_or_one_cell():
-    assert dedup._slices([(0, 4), (1, 5), (2, 2), (3, 30), (4, 1)], 9) == [[0, 1], [2], [3], [4]]
+def test_links_lead_to_the_first_instant_beyond_the_ttl(spark):
+    instants = [0, 1, 99, 100, 101, 102, 201, 350, 460, 461]
+    df = spark.createDataFrame([("q", at) for at in instants], "query_id string, at long")
+    got = {r.at: (r.starts, r.to) for r in dedup.linked_instants(df, 100).collect()}
+    for i, at in enumerate(instants):
+        after = [x for x in instants if x > at + 100]
+        starts = i == 0 or at - instants[i - 1] > 100
+        assert got[at][0] == starts
+        # A missing link is one into a run's start.
+        if got[at][1] is None:
+            assert not after or after[0] - instants[instants.index(after[0]) - 1] > 100
+        else:
+            assert got[at][1] == after[0]
 
 
 def test_earlier_state_is_continued(spark):
@@ -65,9 +77,7 @@ def test_earlier_state_is_continued(spark):
     seen = {"hot": 150, "b": -4000, "c1": 25_000}
     df = spark.createDataFrame(rows, SCHEMA)
     known = spark.createDataFrame(list(seen.items()), "query_id string, first_seen_us long")
-    for max_fold in (50_000, 100):
-        kept = dedup.ttl_dedup(df, 700, known, max_fold=max_fold)
-        assert numbers(kept) == model(rows, 700, seen.items())
+    assert numbers(dedup.ttl_dedup(df, 700, known)) == model(rows, 700, seen.items())
 
 
 def test_labels_agree_with_the_dropping_form(spark):
@@ -101,37 +111,13 @@ def seen_table(spark, ages):
 def test_ttl_eviction_keeps_the_edge(spark):
     seen = seen_table(spark, [("old", 0), ("new", 100)])
     for now, left in ((150, 2), (200, 2), (250, 1), (301, 0)):
-        assert dedup.compact_seen(seen, now, 200, 0).count() == left
+        assert dedup.compact_seen(seen, now, 200).count() == left
 
 
-def store_model(n, cap):
-    size = 0
-    for _ in range(n):
-        size += 1
-        if cap > 0 and size > cap:
-            size -= max(1, cap // 10)
-    return size
-
-
-def test_cap_model():
-    for cap in range(0, 45):
-        for n in range(0, 150):
-            assert dedup.entries_kept(n, cap) == store_model(n, cap)
-
-
-@pytest.mark.parametrize("cap, left", [(20, 19), (25, 25), (0, 25), (3, 3)])
-def test_cap_drops_the_oldest(spark, cap, left):
-    seen = seen_table(spark, [(f"q{i:02}", i // 2) for i in range(25)]).repartition(4)
-    got = dedup.compact_seen(seen, 30, 1000, cap).collect()
-    order = sorted(((-(i // 2), f"q{i:02}") for i in range(25)))
-    assert sorted(r.query_id for r in got) == sorted(q for _, q in order[:left])
-
-
-def test_cap_over_several_slices(spark):
-    n, cap = 20_000, 7_000
+def test_live_entries_stay_however_many(spark):
+    n = 150_000
     seen = spark.range(n).select(
-        F.format_string("q%05d", "id").alias("query_id"), (F.col("id") % 50).alias("first_seen_us")
+        F.format_string("q%06d", "id").alias("query_id"), (F.col("id") % 50).alias("first_seen_us")
     )
-    got = {r.query_id for r in dedup.compact_seen(seen, 60, 1000, cap).collect()}
-    order = sorted((-(i % 50), f"q{i:05}") for i in range(n))
-    assert got == {q for _, q in order[: dedup.entries_kept(n, cap)]}
+    assert dedup.compact_seen(seen, 60, 1000).count() == n
+    assert dedup.compact_seen(seen, 1020, 1000).count() == n * 3 // 5

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from profile_lake.schemas import RESPONSE_SCHEMA
-from profile_lake.sources import parse_query_detail, split_bad
+from profile_lake.sources import decode_listings, parse_query_detail, split_bad
 
 from tests.helpers import listing, responses
 
@@ -26,6 +26,8 @@ def bodies(spark, *texts):
         ('{"data":null}', []),
         ('{"queryId":"solo"}', []),
         ("[null]", [""]),
+        ('\n[{"queryId":"q"}]', ["q"]),
+        ('\t\r\n [{"queryId":"q"}]\n', ["q"]),
         ('[{"queryId":"q","latency":null}]', ["q"]),
     ],
 )
@@ -39,7 +41,9 @@ def test_good_bodies(spark, body, ids):
     "body",
     [
         "not json", "", '[{"queryId":"cut', '{"data":5}', '{"data":{"queryId":"x"}}', "5", '"x"',
-        "[5]", "[] trailing", '{"data":[]} x', "[{'queryId':'q'}]",
+        "[5]", "[] trailing", '[],"z":1', '[],"wrapped":{}', '[],"bad":null', '[]],"wrapped":[{}', "[],[]", '{},{"data":[]}',
+        '{}}', "[]]", '{"data":[]},"bare":[{}]',
+        '{"data":[]} x', "[{'queryId':'q'}]",
         '[{"queryId":"ok"},{"queryId":"d","latency":"12"}]',
         '[{"queryId":"d","latency":1.5}]', '[{"queryId":"d","latency":1e3}]',
         '[{"queryId":"d","latency":99999999999999999999}]', '[{"queryId":"d","isQuery":1}]',
@@ -63,7 +67,7 @@ def test_cap_cuts_a_listing_into_a_bad_one(spark):
 
 
 def test_body_is_decoded_once(spark):
-    plan = parse_query_detail(bodies(spark, "[]")).where("query_id = 'x'")
+    plan = decode_listings(bodies(spark, "[]")).where("unreadable OR query_id = 'x'")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("from_json(") == 1
 

@@ -3,13 +3,16 @@ from pyspark.sql import functions as F
 from profile_lake.functions import cap_bytes
 from profile_lake.sources import (
     classify_response,
+    decode_listings,
     parse_hosts,
     poll_log,
+    polls,
     profile_texts,
     read_responses,
     resolve_attempts,
     union_hosts,
 )
+from profile_lake.sources.responses import listings
 
 from tests.helpers import listing, profile, responses
 
@@ -35,8 +38,8 @@ def test_retry_succeeds_on_second_attempt(spark):
     ]
     log = poll_log(responses(spark, rows))
     got = {r.poll_id: (r.attempt, r.status) for r in resolve_attempts(log).collect()}
-    assert got == {1: (2, 200), 2: (2, None), 3: (1, 200), 4: (2, 503)}
-    assert resolve_attempts(log, retries=2).where("poll_id = 4").first().attempt == 3
+    assert got == {1: (2, 200), 2: (2, None), 3: (1, 200), 4: (3, 200)}
+    assert resolve_attempts(log, retries=1).where("poll_id = 4").first().status == 503
 
 
 def test_attempts_are_limited_before_the_shuffle(spark):
@@ -55,6 +58,21 @@ def test_profile_texts_mark_truncation(spark):
     rows = [profile(1, "h", "a", "x" * 10), profile(1, "h", "b", "y" * 11), profile(1, "h", "c", status=404)]
     got = {r.query_id: (len(r.profile_text), r.truncated) for r in profile_texts(responses(spark, rows), 10).collect()}
     assert got == {"a": (10, False), "b": (10, True)}
+    whole = profile_texts(responses(spark, rows)).collect()
+    assert {r.query_id: len(r.profile_text) for r in whole} == {"a": 10, "b": 11}
+
+
+def test_polls_of_landed_responses(spark):
+    rows = [
+        listing(1, "a", "[]", at=1000), profile(1, "a", "q", "t", at=5000),
+        listing(2, "a", "x", status=500, at=9000), listing(2, "a", "[]", attempt=2, at=9700),
+        listing(3, "a", "not json", at=20_000), listing(4, "a", "no", status=403, at=30_000),
+    ]
+    landed = responses(spark, rows)
+    got = polls(landed, decode_listings(listings(landed))).collect()
+    assert {r.poll_id: (r.poll_us, r.ok, r.duration_us) for r in got} == {
+        1: (1000, True, 4500), 2: (9000, True, 1200), 3: (20_000, False, 500), 4: (30_000, False, 500),
+    }
 
 
 def test_hosts(spark):

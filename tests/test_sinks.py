@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from profile_lake.functions import partition_keys, rfc3339_from_millis
 from profile_lake.operators import metrics, progress
-from profile_lake.schemas import BATCH_SIZE, PARTITION_COLUMNS, PROFILE_SCHEMA
+from profile_lake.schemas import PARTITION_COLUMNS, PROFILE_SCHEMA
 from profile_lake.sinks import (
     FallbackWriter,
     read_fallback,
@@ -16,7 +16,7 @@ from profile_lake.sinks import (
     write_profiles,
     write_records,
 )
-from profile_lake.sources import read_profiles
+from profile_lake.sources import read_damaged, read_profiles
 from profile_lake.sources.profiles import decode_lines
 
 FLUSH_US = 1736951422 * 1_000_000  # 2025-01-15T14:30:22Z
@@ -65,8 +65,8 @@ def test_flush_goes_to_one_folder_in_order(spark, tmp_path):
 def test_files_are_limited_and_folders_pruned(spark, tmp_path):
     path = str(tmp_path / "out")
     rows = frame(spark, [record(i) for i in range(25)]).coalesce(1)
-    write_profiles(rows, path, FLUSH_US, batch_size=10)
-    write_profiles(rows, path, FLUSH_US + 3_600_000_000, batch_size=100, even_files=True)
+    write_profiles(rows, path, FLUSH_US, batch_size=10, even_files=False)
+    write_profiles(rows, path, FLUSH_US + 3_600_000_000)
     folder = os.path.join(path, "year=2025", "month=01", "day=15", "hour=14")
     assert len([f for f in os.listdir(folder) if f.endswith(".json")]) == 3
     one = read_profiles(spark, path).where("month = '01' and hour = '15'")
@@ -86,7 +86,7 @@ def test_backends():
     assert sink_for({"backend": "file", "output_dir": "/data/", "prefix": "p"}).location == "/data/p"
     console = sink_for({"backend": "stdout", "batch_size": 50})
     assert (console.location, console.batch_size) == (None, 50)
-    assert sink_for({"backend": "file"}).batch_size == BATCH_SIZE
+    assert sink_for({"backend": "file"}).batch_size is None
 
 
 @pytest.mark.parametrize("options", [{}, {"backend": "s3"}, {"backend": "gcs", "bucket": ""}, {"backend": "ftp"}])
@@ -95,35 +95,69 @@ def test_bad_options(options):
         sink_for(options)
 
 
-def test_records_go_where_the_sink_says(spark, tmp_path):
-    rows = frame(spark, [record(1), record(2)])
-    # The JVM prints past the capture; the lines themselves are tested above.
-    write_records(rows, sink_for({"backend": "stdout"}), FLUSH_US)
+def test_records_go_where_the_sink_says(spark, tmp_path, capsys):
+    rows = frame(spark, [record(i) for i in range(60)])
+    write_records(rows, sink_for({"backend": "stdout", "batch_size": 50}), FLUSH_US)
+    printed = [json.loads(line)["sr_query_id"] for line in capsys.readouterr().out.splitlines()]
+    assert sorted(printed) == sorted(f"q{i}" for i in range(60))
     sink = sink_for({"backend": "file", "output_dir": str(tmp_path), "prefix": "p"})
     write_records(rows, sink, FLUSH_US)
-    assert read_profiles(spark, str(tmp_path / "p")).count() == 2
+    assert read_profiles(spark, str(tmp_path / "p")).count() == 60
+
+
+def flushed(spark, place, fallback):
+    """Ids in the table and in the fallback, and the table's folders."""
+    table = read_profiles(spark, place)
+    kept = read_fallback(spark, fallback)
+    return (
+        sorted(r.sr_query_id for r in table.collect()),
+        sorted((r.sr_query_id, r.batch_id) for r in kept.collect()),
+        {tuple(r) for r in table.select(*PARTITION_COLUMNS).distinct().collect()},
+    )
 
 
-def test_failed_flush_goes_to_the_fallback(spark, tmp_path):
+def test_repeats_over_the_hour_replace_and_success_clears_the_fallback(spark, tmp_path):
     blocked = tmp_path / "blocked"
     blocked.write_text("a file where the table should be")
-    fallback, log = str(tmp_path / "fallback"), str(tmp_path / "log")
-    times = iter(range(FLUSH_US, FLUSH_US + 100))
-    clock = lambda: next(times)
+    fallback, log, table = str(tmp_path / "fallback"), str(tmp_path / "log"), str(tmp_path / "table")
+    late = FLUSH_US - FLUSH_US % 3_600_000_000 + 3_599_000_000  # 14:59:59
+    now = [late]
     rows = frame(spark, [record(1), record(2)])
-    FallbackWriter(str(blocked / "t"), fallback, log, clock)(rows, 7)
-    good = FallbackWriter(str(tmp_path / "table"), fallback, log, clock)
+    failing = FallbackWriter(str(blocked / "t"), fallback, log, lambda: now[0])
+    good = FallbackWriter(table, fallback, log, lambda: now[0])
+    failing(rows, 6)
+    failing(rows, 7)
     good(rows, 8)
-    good(rows, 8)  # a repeated batch replaces itself
-    kept = read_fallback(spark, fallback)
-    assert sorted((r.sr_query_id, r.batch_id) for r in kept.collect()) == [("q1", 7), ("q2", 7)]
-    assert read_profiles(spark, str(tmp_path / "table")).count() == 2
+    now[0] += 5_000_000  # 15:00:04
+    good(rows, 8)
+    good(frame(spark, [record(9)]), 7)
+    ids, kept, folders = flushed(spark, table, fallback)
+    assert ids == ["q1", "q2", "q9"]
+    assert kept == [("q1", 6), ("q2", 6)]
+    assert folders == {("2025", "01", "15", "14")}
     flushes = read_flush_log(spark, log)
-    size = metrics.encoded_bytes(to_jsonl(rows)).first().bytes
+    size = metrics.encoded_bytes(to_jsonl(frame(spark, [record(1), record(2), record(9)]))).first().bytes
     totals = metrics.flush_totals(flushes).first()
     assert (totals.bytes_written_total, totals.fallback_writes_total) == (size, 2)
     counts = {r.status: r.flushes_total for r in metrics.flushes_by_status(flushes).collect()}
-    assert counts == {"success": 1, "error": 1}
+    assert counts == {"success": 2, "error": 1}
+
+
+def test_a_failing_batch_is_no_failure_of_the_store(spark, tmp_path):
+    broken = frame(spark, [record(1)]).withColumn("state", F.raise_error(F.lit("no state")).cast("string"))
+    writer = FallbackWriter(str(tmp_path / "t"), str(tmp_path / "f"), str(tmp_path / "l"), lambda: FLUSH_US)
+    with pytest.raises(Exception, match="no state"):
+        writer(broken, 1)
+    assert not (tmp_path / "f").exists()
+
+
+def test_damaged_lines_are_told_apart(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write_profiles(frame(spark, [record(1)]), path, FLUSH_US)
+    folder = tmp_path / "table" / "year=2025" / "month=01" / "day=15" / "hour=14"
+    (folder / "part-x.json").write_text('{"ts": "2025"\n')
+    assert [r.sr_query_id for r in read_profiles(spark, path).collect()] == ["q1"]
+    assert [(r.value, r.hour) for r in read_damaged(spark, path).collect()] == [('{"ts": "2025"', "14")]
 
 
 def test_progress_versions(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from profile_lake.operators import dedup
+from profile_lake.operators.progress import load_progress
 from profile_lake.plans.collect import collect
 from profile_lake.schemas import MICROS
 from profile_lake.session import shared_dir
@@ -196,14 +197,50 @@ def test_batches_through_the_batch_pipeline(spark, tmp_path):
         query.awaitTermination()
     got = sorted(r.sr_query_id for r in read_profiles(spark, location).collect())
     assert got == ["q1", "q2", "q4", "q5", "run"]
-    marks = spark.read.parquet(f"{state}/progress/version=2").collect()
-    assert {r.fe_host: r.last_event_time for r in marks} == {"a": 7, "b": 9}
+    marks, version = load_progress(spark, f"{state}/progress")
+    assert version == 2
+    assert {r.fe_host: r.last_event_time for r in marks.collect()} == {"a": 7, "b": 9}
     # Running a batch again changes nothing.
     before = set(os.listdir(shared_dir(spark)))
     collector(responses(spark, polls()[2]), 2)
     assert read_profiles(spark, location).count() == 5
     # Nothing staged is left behind.
     assert set(os.listdir(shared_dir(spark))) == before
+    # A stream with a new checkpoint goes on after the last version.
+    more = CollectBatches(location, state, "main", lambda: START + 200 * MICROS, run="second")
+    more(responses(spark, polls()[0] + [listing(9, "a", [{"queryId": "q9", "eventTime": 50, "state": "FINISHED"}]),
+                                        profile(9, "a", "q9", "late")]), 0)
+    assert sorted(r.sr_query_id for r in read_profiles(spark, location).collect()) == ["q1", "q2", "q4", "q5", "q9", "run"]
+    assert load_progress(spark, f"{state}/progress")[1] == 3
+
+
+def test_a_repeat_over_the_hour_replaces_its_records(spark, tmp_path):
+    now = [START + 3_599 * MICROS]
+    collector = CollectBatches(str(tmp_path / "t"), str(tmp_path / "s"), "main", lambda: now[0])
+    collector(responses(spark, polls()[0]), 0)
+    now[0] += 5 * MICROS
+    collector(responses(spark, polls()[0]), 0)
+    table = read_profiles(spark, str(tmp_path / "t"))
+    assert sorted(r.sr_query_id for r in table.collect()) == ["q1", "q2", "q4"]
+    assert table.select("hour").distinct().count() == 1
+    # What became of each row, and the polls, are kept too.
+    outcomes = spark.read.parquet(str(tmp_path / "s" / "outcomes"))
+    assert sorted(r.outcome for r in outcomes.collect()) == ["collected"] * 3 + ["unfinished"]
+    assert spark.read.parquet(str(tmp_path / "s" / "polls")).count() == 2
+
+
+def test_answers_of_two_attempts_count_once(spark, tmp_path):
+    landing = Landing(tmp_path)
+    row = {"queryId": "q1", "eventTime": 1, "state": "FINISHED"}
+    landing.put(responses(spark, [
+        listing(1, "a", [], status=500, attempt=3, at=START), listing(1, "a", [row], attempt=4, at=START + 1000),
+        profile(1, "a", "q1", "text", attempt=1, at=START + 2000),
+    ]))
+    landing.put(responses(spark, [profile(1, "a", "q1", "text", attempt=2, at=START + 3000)]))
+    stream = stream_responses(spark, landing.path, max_files=1)
+    out = str(tmp_path / "out")
+    run(continuous_records(stream, "main", F.lit(START)), out, str(tmp_path / "state"))
+    assert [r.profile_text for r in spark.read.parquet(out).collect()] == ["text"]
 
 
 def test_interval_counts(spark, tmp_path):
