@@ -17,9 +17,13 @@ lines AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '{_SPACED}') GROUP BY doc_id),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS pos FROM w),
+five AS (
+  SELECT doc_id, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+    lead(word, 4) OVER o) AS gram, lead(word, 4) OVER o AS last
+  FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
 grams AS (
-  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, array_to_string(words[pos:pos + 4], ' ')) AS often
-  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS pos FROM w)),
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, gram) AS often FROM five WHERE last IS NOT NULL),
 repeated AS (
   SELECT doc_id, count(DISTINCT word) AS n_repeat_words
   FROM (SELECT doc_id, unnest(generate_series(pos, pos + 4)) AS word FROM grams WHERE often > 1) GROUP BY doc_id),
