@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from profile_lake.llm.batches import map_texts
 
 #: Bounds what a worker holds: texts' chunks remembered, and words contracted by one query.
-REMEMBERED = 900_000
+REMEMBERED = 300_000
 WORDS_PER_QUERY = 20_000
 LONG_WORD = 64
 #: Texts handled at once: the more, the fewer times a word is looked up.
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -114,7 +114,7 @@ class WordCodec:
         self._ranks = vocabulary.ranks
         self._split = regex.compile(vocabulary.pattern)
         self._other_space = re.compile(r"[^\S \n]")
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         merges = vocabulary.merges()
         self._merged = {(left, right): merged for left, right, merged in merges}
         for name, columns in (
