@@ -20,6 +20,7 @@ holds a group in memory: groups are sorted, and only neighbours are compared.
 from __future__ import annotations
 
 import gc
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,11 +36,18 @@ from profile_lake.session import stage
 NO_ID = -(1 << 63)
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """Write a round's result and let Spark drop the shuffle files that led to it."""
+def settled(df: DataFrame, label: str, large: bool = False) -> DataFrame:
+    """Write a round's result and let Spark drop the shuffle files that led to it.
+
+    Spark drops them once its driver has collected the plan as garbage. After a ``large``
+    round that is asked for twice: what the first collection finds is released after it.
+    """
     out = stage(df, label)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2 if large else 1):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        if large:
+            time.sleep(0.5)
     return out
 
 
@@ -177,7 +185,7 @@ def repeated_windows(docs: DataFrame, units: Units, across: bool) -> DataFrame:
         .select("doc", low.alias("low"), high.alias("high"), "each", "repeat", "several", several_in_run.alias("more"))
         .filter("repeat OR several OR more")
     )
-    rows = settled(rows, "segments")
+    rows = settled(rows, "segments", large=True)
     fresh = rows.filter("NOT repeat")
     # Within a document all but the first segment of a run repeat the first.
     later = fresh.filter("more").select("doc", (F.col("low") + F.col("each")).alias("low"), "high")
@@ -190,7 +198,7 @@ def repeated_windows(docs: DataFrame, units: Units, across: bool) -> DataFrame:
         .filter("repeat")
         .select("doc", "low", F.col("low").alias("high"))
     )
-    return rows.filter("repeat").select("doc", "low", "high").unionByName(later).unionByName(settled(single, "windows"))
+    return rows.filter("repeat").select("doc", "low", "high").unionByName(later).unionByName(settled(single, "windows", large=True))
 
 
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:

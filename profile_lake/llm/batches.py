@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Separators `[\x20\x09-\x0D]` of plain words.
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
