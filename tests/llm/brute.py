@@ -72,20 +72,46 @@ def luhn(digits):
     return total % 10 == 0
 
 
-def personal(text):
-    text, spans, counts = text or "", [], []
+def account(plain):
+    number = "".join(str(int(c, 36)) for c in plain[4:] + plain[:4])
+    return 15 <= len(plain) <= 34 and int(number) % 97 == 1
+
+
+def personal_spans(text):
+    """(start, kind, end) of all kinds, and the kinds' names."""
+    spans = []
     digits = lambda m: re.sub("[^0-9]", "", m)
     kinds = [
         ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
         ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
         ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))),
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+        (
+            "iban",
+            r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+            lambda m: account(m.replace(" ", "")),
+        ),
     ]
-    for k, (name, pattern, good) in enumerate(kinds):
-        own = [(m.start(), k, m.end()) for m in re.finditer(pattern, text) if good(m.group())]
-        counts.append((f"n_{name}", len(own)))
-        spans += own
-    return {**dict(counts), "base_sha256": sha(",".join(f"{kinds[k][0]}:{a}:{b}" for a, k, b in sorted(spans)))}
+    for k, (_, pattern, good) in enumerate(kinds):
+        spans += [(m.start(), k, m.end()) for m in re.finditer(pattern, text) if good(m.group())]
+    return sorted(spans), [name for name, _, _ in kinds]
+
+
+def personal(text):
+    spans, names = personal_spans(text or "")
+    base = [s for s in spans if s[1] < 4]
+    counts = {f"n_{name}": sum(k == i for _, k, _ in base) for i, name in enumerate(names[:4])}
+    return {**counts, "base_sha256": sha(",".join(f"{names[k]}:{a}:{b}" for a, k, b in base))}
+
+
+def redacted(text):
+    spans, names = personal_spans(text)
+    out, reach = [], 0
+    for a, k, b in spans:
+        if a >= reach:
+            out += [text[reach:a], f"[{names[k].upper()}]"]
+        reach = max(reach, b)
+    return "".join([*out, text[reach:]])
 
 
 def contamination(docs, items, size=10):
