@@ -6,6 +6,7 @@ documents of about :data:`SLICE_BYTES`; one longer text is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -15,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2000
 
 #: Separators `[\x20\x09-\x0D]` of plain words.
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
@@ -43,10 +45,35 @@ def map_texts(
         for batch in batches:
             for part in slices(batch, size=size):
                 yield work(part)
+        give_back()
 
+    bound_batches(df)
     return df.mapInArrow(run, schema)
 
 
+def bound_batches(df: DataFrame) -> None:
+    """Have the session send at most :data:`BATCH_ROWS` rows at once to Python.
+
+    Rows are whole texts: the usual ten thousand would be held several times over, in the
+    executor's native memory and in Python.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Return freed memory to the system at a task's end.
+
+    Python workers outlive their tasks, and what they keep adds to the executor's share
+    while later stages run.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts, and where each text begins (with the end as last entry)."""
     if not len(texts):

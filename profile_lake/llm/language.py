@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profile_lake.llm.batches import map_texts, slices
+from profile_lake.llm.batches import bound_batches, give_back, map_texts, slices
 
 UNDETERMINED = "und"
 _BITS = 20
@@ -217,5 +217,7 @@ def rejects_unknown(docs: DataFrame, model: LanguageModel, min_score: float = 0.
                 named = pc.coalesce(part.column(lang), pa.array(labels, pa.string()))
                 keep = pc.and_(pc.not_equal(pa.array(labels), UNDETERMINED), pc.greater_equal(pa.array(scores), min_score))
                 yield part.set_column(lang, "lang", named).filter(keep)
+        give_back()
 
+    bound_batches(docs)
     return docs.mapInArrow(run, docs.schema)
