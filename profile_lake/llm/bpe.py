@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
