@@ -8,8 +8,8 @@ the weights. Texts are scored whole, a slice at a time, by matrix products: pres
 landmarks, then landmark map x weights.
 
 The sample: at most ``per_language`` texts of each language, of each at most
-``train_chars`` characters. Which texts are in it depends on a hash of doc_id, at a rate
-found by counting, so no group of rows is gathered or ranked.
+``train_chars`` characters. Which texts are in it depends on a hash of doc_id and text;
+equal rows count once, and no group of rows is gathered or ranked whole.
 
 Null text or text without a letter: `und`, score 0. No labelled rows at all: every text
 is `und`. Ties go to the first language in alphabetical order. Repeated rows: each gets
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from profile_lake.llm.batches import bound_batches, give_back, map_texts, slices
@@ -164,23 +165,22 @@ def fit(texts: list[str], languages: list[str], settings: Settings = Settings())
 def labelled_sample(docs: DataFrame, usable: Column, settings: Settings = Settings()) -> list[tuple[str, str]]:
     """At most ``per_language`` (text, lang) of each language, the same in every run.
 
-    The counts by language give each a hash limit; the rows below it are all there is to
-    bring to the driver, a number and size that the settings bound.
+    Of each language the rows of least hash. An estimate of its distinct rows gives a limit
+    that about twice as many are below; equal rows of these are one, and the least stay. So
+    ``per_language`` texts of each language, cut to ``train_chars``, come to the driver.
     """
-    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    inside = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        limit = int((1 << 30) * min(1.0, settings.per_language / n))
-        inside = inside | ((F.col("lang") == lang) & (place < limit))
-    taken: dict[str, list[tuple[int, str]]] = {}
+    labelled = usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 4)
     cut = F.substring("text", 1, settings.train_chars)
-    for r in rows.filter(inside & F.col("text").rlike(r"\p{L}")).select(place.alias("place"), cut.alias("text"), "lang").collect():
-        taken.setdefault(r["lang"], []).append((r["place"], r["text"]))
-    return [
-        (text, lang) for lang in sorted(taken) for _, text in sorted(taken[lang])[: settings.per_language]
-    ]
+    rows = docs.filter(labelled).select("lang", place.alias("place"), cut.alias("text"))
+    inside = F.lit(False)
+    for lang, n in sorted(rows.groupBy("lang").agg(F.approx_count_distinct("place")).collect()):
+        limit = int((1 << 60) * min(1.0, 2 * settings.per_language / max(1, n)))
+        inside = inside | ((F.col("lang") == lang) & (F.col("place") < limit))
+    distinct = rows.filter(inside).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("place"))
+    taken = distinct.withColumn("nth", nth).filter(F.col("nth") <= settings.per_language)
+    return [(r["text"], r["lang"]) for r in sorted(taken.collect(), key=lambda r: (r["lang"], r["place"]))]
 
 
 def trained(docs: DataFrame, usable: Column, settings: Settings = Settings()) -> LanguageModel:
