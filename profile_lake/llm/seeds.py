@@ -1,11 +1,10 @@
-"""Substring removal across documents by seed and extend.
-
-Seeds are winnowed: of every 50 words in a row, the leftmost 16-word gram of least
-fingerprint. Documents meet at equal seeds. A seed is extended both ways as far as its
-windows of 50 words reach; where the stretches of one seed are equal whole, they are
-repeats whole, and where they differ, every split of the 50 words into some before and
-some after the seed's place is compared. Runs of repeated windows are the maximal repeats
-over the threshold. :mod:`profile_lake.llm.anchors` has the rounds.
+"""Substring removal across documents by fingerprinted 50-word windows.
+
+Not seed and extend: no places are paired and no match is extended (see the README).
+Windows are grouped by winnowed seeds, of every 50 words in a row the leftmost 16-word gram
+of least fingerprint. Where the stretches of one seed are equal whole, they are repeats
+whole, and where they differ, each of their windows is compared. Runs of repeated windows
+are the maximal repeats over the threshold. :mod:`profile_lake.llm.anchors` has the rounds.
 
 Each word covered by a window that also starts in a document of smaller doc_id is
 removed. Null or empty text: no words. Of rows with one doc_id the least text stands for

@@ -1,15 +1,10 @@
-"""Substring removal by distributed prefix doubling.
-
-Positions are ranked by the bytes that follow them, first few, then more: Spark sorts
-(rank, rank at a growing offset, place) and names equal pairs alike, until a position is
-alone with its name or the pair spans the threshold of 100 bytes. Ranks are names
-(fingerprints): equality is asked for, not order.
-
-Ranking starts from a sample of positions instead of all: the anchors of
-:mod:`profile_lake.llm.anchors`, which equal strings share. 56 bytes at the anchors; then
-the stretch from the first to beyond the last 100-byte string of an anchor; then, only
-where strings of one anchor differ, every start, as a pair of 50 bytes and the 50 after.
-Each byte covered by a 100-byte string that also starts earlier is removed.
+"""Substring removal by fingerprinted 100-byte windows.
+
+Not prefix doubling: there is no loop of ranks at growing offsets (see the README). Windows
+are grouped by the anchors of :mod:`profile_lake.llm.anchors`, 56-byte grams that equal
+strings share; then by the stretch from the first to beyond the last 100-byte string of an
+anchor; then, only where strings of one anchor differ, every start by its first 50 bytes and
+the 50 after. Each byte covered by a 100-byte string that also starts earlier is removed.
 
 Null or empty text: no bytes. Texts shorter than the threshold stay. Of rows with one
 doc_id the least text stands for all; a null doc_id is one id, before all others. Empty
