@@ -201,6 +201,94 @@ reached(doc_id, other) AS (
 SELECT doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(other) AS component_id
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 
+# CRC-32 of a list of byte values: the table follows from its polynomial.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+    ORDER BY i) AS steps FROM range(256) t(i))"""
+
+
+def _crc32(binary: str) -> str:
+    """Unsigned CRC-32 of a BLOB expression, in the presence of `crc_table`."""
+    values = f"list_transform(regexp_extract_all(hex({binary}), '..'), lambda x: ('0x' || x)::BIGINT)"
+    step = "lambda c, x: xor(c >> 8, steps[xor(c & 255, x) + 1])"
+    return f"xor(list_reduce({values}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+_SHARDING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+  SELECT doc_id, octet_length(t) + 8 AS size, {_crc32("t")} AS text_crc32, sha256(t) AS digest
+  FROM (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents), crc_table),
+placed AS (
+  SELECT *, sum(size) OVER o - size AS spot, row_number() OVER o - 1 AS number, lag(digest) OVER o AS before
+  FROM d WINDOW o AS (ORDER BY digest, doc_id ROWS UNBOUNDED PRECEDING)),
+starts AS MATERIALIZED (SELECT spot::BIGINT AS spot FROM placed WHERE before IS DISTINCT FROM digest),
+borders AS MATERIALIZED (
+  SELECT list_append((SELECT list(spot ORDER BY spot) FROM starts), total) AS b, total
+  FROM (SELECT sum(size)::BIGINT AS total FROM d)),
+search(low, high) AS (
+  SELECT (total + 23) // 24, total FROM borders
+  UNION ALL
+  SELECT CASE WHEN fits THEN low ELSE middle + 1 END, CASE WHEN fits THEN middle ELSE high END
+  FROM (
+    SELECT low, high, middle, list_reduce(range(24), lambda here, step:
+      list_max(list_filter(b, lambda s: s <= here + middle)), 0::BIGINT) = total AS fits
+    FROM (SELECT low, high, (low + high) // 2 AS middle FROM search WHERE low < high), borders)),
+capacity AS MATERIALIZED (SELECT low AS c FROM search WHERE low = high),
+latest(k, spot) AS (
+  SELECT 24, total FROM borders
+  UNION ALL
+  SELECT k - 1, list_min(list_filter(b, lambda s: s >= spot - c)) FROM latest, borders, capacity WHERE k > 1),
+needed AS MATERIALIZED (SELECT * FROM latest),
+cuts(k, spot) AS (
+  SELECT 0, 0::BIGINT
+  UNION ALL
+  SELECT k + 1, least(total, greatest(needed_at, CASE WHEN share > spot THEN share ELSE
+    coalesce(list_min(list_filter(b, lambda s: s > spot)), total) END))
+  FROM (
+    SELECT c.k, c.spot, n.spot AS needed_at, b, total,
+      list_max(list_filter(b, lambda s: s <= c.spot + (total - c.spot + 23 - c.k) // (24 - c.k))) AS share
+    FROM cuts c JOIN needed n ON n.k = c.k + 1, borders WHERE c.k < 23)),
+cut_list AS MATERIALIZED (SELECT list(spot) AS cut FROM cuts WHERE k > 0),
+named AS (SELECT p.*, len(list_filter(cut, lambda x: x <= p.spot)) AS shard FROM placed p, cut_list)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY number) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM named"""
+
+_RUN = r"[A-Za-z\x{C0}-\x{FF}]+"
+_SPELLING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{_RUN}')) AS run FROM documents)
+  GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32("encode(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc_table),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS MATERIALIZED (
+  SELECT DISTINCT word, n, pos, word[:pos - 1] || word[pos + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS pos FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (rest, pos) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON b.word = a.rest
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON b.word = a.rest),
+best AS (
+  SELECT word, n, count(*) AS n_near, max(other_n) AS top, min(other) FILTER (other_n = top_n) AS form
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS top_n FROM near) GROUP BY word, n),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN form END AS form,
+    CASE WHEN top >= 2 * w.n THEN top END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+up(word, root, next) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT up.word, f.word, f.form FROM up JOIN formed f ON f.word = up.next)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN up ON up.word = f.word AND up.next IS NULL"""
+
 ORACLES: dict[str, str] = {
     "op1_quality": _QUALITY,
     "op4_suffixes": _SUFFIXES,
@@ -209,4 +297,6 @@ ORACLES: dict[str, str] = {
     "op8_decontaminate": _DECONTAMINATE,
     "op9_repeats": _REPEATS,
     "op10_jaccard": _JACCARD,
+    "op11_spelling": _SPELLING,
+    "op13_sharding": _SHARDING,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profile_lake.llm import bpe, decontaminate, fixity, jaccard, language, licences, pii, quality, seeds, suffix_dedup
+from profile_lake.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    fixity,
+    jaccard,
+    language,
+    licences,
+    pii,
+    quality,
+    seeds,
+    sharding,
+    spelling,
+    suffix_dedup,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +132,36 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.component_ids(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.forms(spelling.counted_words(documents(spark, sf_dir)))
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """Paths of the two vocabularies that are aligned."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(documents(spark, sf_dir), *tokenizer_files())
+    total = F.aggregate("links", F.lit(0).cast("long"), lambda sum, link: sum + link["n"])
+    return found.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        F.size("links").cast("long").alias("n_links"),
+        F.size(F.filter("links", lambda link: link["best"])).cast("long").alias("n_best"),
+        total.alias("count_sum"),
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licences": op2_licences,
@@ -129,4 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_repeats": op9_repeats,
     "op10_jaccard": op10_jaccard,
+    "op11_spelling": op11_spelling,
+    "op12_alignment": op12_alignment,
+    "op13_sharding": op13_sharding,
 }
