@@ -14,8 +14,11 @@ two aligns the texts again and looks the counts up, each key verified. It gets a
 are staged and filled in by one round for each such part of the table.
 
 Both tokenizers work on pieces of text: no token of either goes from a printable character
-to a following space, so a text is cut there and equal pieces are encoded once. A
-vocabulary of B with a token across such a border is recognised, and texts stay whole.
+to a following space, so a text is cut there and equal pieces of a slice are encoded once.
+A vocabulary of B with a token across such a border is recognised, and texts stay whole.
+Pieces of Latin-1 letters and printable ASCII are encoded in one call, those of A by
+tiktoken if the file's merges are in the order of its ids; all others by the two libraries
+of the files, piece by piece.
 
 Null and empty texts have no tokens, nor have texts whose tokens do not spell a space and
 the text (B's vocabulary writes a space as U+2581, so a text with that character is one).
@@ -30,6 +33,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +48,13 @@ from profile_lake.session import stage
 SEGMENT_PAIRS = 1 << 15
 TABLE_PAIRS = 1 << 21
 BRANCHES, FAN_IN = 16, 4
-#: Pieces a worker remembers, and the longest of them.
-KEPT_PIECES, KEPT_LENGTH = 60_000, 48
+#: Plain pieces B encodes at once: its time grows faster than a text's length.
+JOINED_PIECES = 64
 #: Pairs a task adds up before it sends them.
 HELD_PAIRS = 1 << 19
 
 _BORDER = re.compile("(?<=[!-~À-ÿ])(?= +[^ ])")
+_PLAIN = re.compile("[ -~À-ÿ]*[!-~À-ÿ]")
 LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("best", pa.bool_())])
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, groups string, links array<struct<a:int,b:int,n:bigint,best:boolean>>"
@@ -67,19 +72,46 @@ def _bytes_of_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class Piece:
-    """An encoded piece of text."""
+class Encoded:
+    """Distinct pieces of a slice, aligned: flat arrays, and where each piece's part begins.
 
-    __slots__ = ("groups", "n_a", "n_b", "pairs", "right")
+    ``right`` says of which pieces the tokens spell the piece; the others have none.
+    """
+
+    def __init__(self, a_ids: np.ndarray, b_ids: np.ndarray, sizes: np.ndarray, right: np.ndarray, aligner: Aligner):
+        ends = np.cumsum(np.where(right, sizes, 0))
+        a_end = np.cumsum(aligner.a_size[a_ids])
+        b_end = np.cumsum(aligner.b_size[b_ids])
+        at = np.searchsorted(b_end, a_end)
+        together = np.flatnonzero(b_end[at] == a_end) if len(a_end) else at
+        self.right, self.ids = right, (a_ids, b_ids)
+        self.last_a, self.last_b = together, at[together]
+        self.pairs = a_ids[self.last_a] * aligner.n_b + b_ids[self.last_b]
+        self.first_a, self.first_b, self.first = (
+            np.concatenate([[0], np.searchsorted(e, ends, "right")]) for e in (a_end, b_end, a_end[together])
+        )
 
-    def __init__(self, right: bool, n_a: int, n_b: int, pairs: np.ndarray, groups: str):
-        self.right, self.n_a, self.n_b, self.pairs, self.groups = right, n_a, n_b, pairs, groups
+    def groups(self, aligner: Aligner) -> list[str]:
+        """Every piece's groups as text."""
+        a_ids, b_ids = self.ids
+        n_a, n_b = len(a_ids), len(b_ids)
+        ends_a, ends_b, ends_piece = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64), self.first[1:][self.right] - 1
+        ends_a[self.last_a] = 1
+        ends_b[self.last_b] = 1
+        ends_b[self.last_b[ends_piece]] = 2
+        # A group's tokens of A, then those of B.
+        of_a, of_b = np.searchsorted(self.last_a, np.arange(n_a)), np.searchsorted(self.last_b, np.arange(n_b))
+        codes = np.empty(n_a + n_b, np.int64)
+        codes[np.arange(n_a) + np.concatenate([[0], self.last_b + 1])[of_a]] = 2 * a_ids + ends_a
+        codes[np.arange(n_b) + (self.last_a + 1)[of_b]] = 2 * len(aligner.a_bytes) + 3 * b_ids + ends_b
+        found = iter("".join(map(aligner.printed.__getitem__, codes.tolist())).split("\n"))
+        return [next(found) if ok else "" for ok in self.right.tolist()]
 
 
 class Aligner:
     """Both tokenizers, made from the contents of their files."""
 
-    def __init__(self, a_file: bytes, b_file: bytes):
+    def __init__(self, a_file: bytes, b_file: bytes, a_pattern: str | None = None):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -88,57 +120,75 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         symbol = _bytes_of_symbols()
-        vocabulary = json.loads(a_file)["model"]["vocab"]
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, number in vocabulary.items():
+        model = json.loads(a_file)["model"]
+        self.a_bytes = [b""] * (max(model["vocab"].values()) + 1)
+        for token, number in model["vocab"].items():
             # Special tokens are not spelled in symbols; no text is encoded to one.
             self.a_bytes[number] = bytes(symbol[c] for c in token) if all(c in symbol for c in token) else b""
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)
         ]
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.cuts = not any(re.search("[^▁]▁", n) for n in names)
         self.n_b = len(names)
-        self._kept: dict[str, Piece] = {}
+        self.printed = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"]
+        self.printed += [f"{i}{end}" for i in range(self.n_b) for end in ",;\n"]
+        self.quick = self._ranked(model, a_pattern)
+
+    def _ranked(self, model: dict, pattern: str | None):
+        """A as an encoding of tiktoken, if its ids are the ranks of its merges."""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [model["vocab"].get("".join(m), -1) for m in merges]
+        ranks = {token: number for number, token in enumerate(self.a_bytes) if token}
+        single = [ranks.get(bytes([i]), len(ranks)) for i in range(256)]
+        if pattern is None or order != sorted(set(order)) or not order or max(single) >= order[0]:
+            return None
+        import tiktoken
+
+        return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def pieces(self, text: str) -> list[str]:
         whole = " " + text
         return _BORDER.split(whole) if self.cuts else [whole]
 
-    def encoded(self, pieces: list[str]) -> list[Piece]:
-        """Of distinct pieces, each beginning with a space."""
-        fresh = [p for p in pieces if p not in self._kept]
-        made = dict(zip(fresh, self._encode(fresh)))
-        out = [made[p] if p in made else self._kept[p] for p in pieces]
-        if len(self._kept) + len(made) > KEPT_PIECES:
-            self._kept.clear()
-        self._kept.update((p, e) for p, e in made.items() if len(p) <= KEPT_LENGTH)
-        return out
-
-    def _encode(self, pieces: list[str]) -> Iterator[Piece]:
-        if not pieces:
-            return
-        a_ids = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        b_ids = self.b.encode([p[1:] for p in pieces], num_threads=1)
-        for piece, a, b in zip(pieces, a_ids, b_ids):
-            raw = piece.encode()
-            a_own, b_own = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_own) != raw or b"".join(b_own) != raw:
-                yield Piece(False, 0, 0, np.zeros(0, np.int64), "")
-                continue
-            a_end = np.cumsum([len(x) for x in a_own])
-            b_end = np.cumsum([len(x) for x in b_own])
-            _, last_a, last_b = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-            last_a, last_b = last_a.tolist(), last_b.tolist()
-            groups, i, j = [], 0, 0
-            for x, y in zip(last_a, last_b):
-                groups.append(",".join(map(str, a[i : x + 1])) + "|" + ",".join(map(str, b[j : y + 1])))
-                i, j = x + 1, y + 1
-            pairs = np.array([a[x] * self.n_b + b[y] for x, y in zip(last_a, last_b)], np.int64)
-            yield Piece(True, len(a), len(b), pairs, ";".join(groups))
-
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[Piece]]:
-        """Of a slice: the piece numbers in order, where each text's begin, and the pieces.
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Tokens of plain pieces, joined to longer texts; None if they do not spell them."""
+        runs = ["".join(pieces[i : i + JOINED_PIECES]) for i in range(0, len(pieces), JOINED_PIECES)]
+        whole = "".join(runs)
+        a_ids = self.quick.encode_ordinary(whole) if self.quick else self.a.encode(whole, add_special_tokens=False).ids
+        b_ids = list(chain.from_iterable(self.b.encode([r[1:] for r in runs], num_threads=1)))
+        raw = whole.encode()
+        if any(b"".join(map(table.__getitem__, ids)) != raw for table, ids in ((self.a_bytes, a_ids), (self.b_bytes, b_ids))):
+            return None
+        return np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+
+    def encoded(self, pieces: list[str]) -> tuple[np.ndarray, Encoded]:
+        """Distinct pieces, each beginning with a space, aligned; and each piece's place there."""
+        plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)] if self.cuts else []
+        ids = self._together([pieces[i] for i in plain]) if plain else None
+        if ids is None:
+            plain, ids = [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        other = sorted(set(range(len(pieces))).difference(plain))
+        texts = [pieces[i] for i in other]
+        a_other = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        b_other = self.b.encode([t[1:] for t in texts], num_threads=1)
+        right = np.ones(len(pieces), bool)
+        for n, (text, a, b) in enumerate(zip(texts, a_other, b_other)):
+            raw = text.encode()
+            if any(b"".join(map(table.__getitem__, x)) != raw for table, x in ((self.a_bytes, a), (self.b_bytes, b))):
+                a_other[n], b_other[n] = [], []
+                right[len(plain) + n] = False
+        a_ids, b_ids = (
+            np.concatenate([own, *[np.array(x, np.int64) for x in more]]) for own, more in zip(ids, (a_other, b_other))
+        )
+        place = np.empty(len(pieces), np.int64)
+        place[plain + other] = np.arange(len(pieces))
+        sizes = np.array([len(pieces[i].encode()) for i in plain + other], np.int64)
+        return place, Encoded(a_ids, b_ids, sizes, right, self)
+
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, Encoded]:
+        """Of a slice: its pieces' places in the encoded ones, where each text's begin, and these.
 
         Texts whose tokens do not spell them have no pieces.
         """
@@ -148,9 +198,9 @@ class Aligner:
             if text:
                 order += [number.setdefault(p, len(number)) for p in self.pieces(text)]
             first.append(len(order))
-        pieces = self.encoded(list(number))
-        order, first = np.array(order, np.int64), np.array(first, np.int64)
-        wrong = ~np.array([p.right for p in pieces], bool)[order]
+        place, pieces = self.encoded(list(number))
+        order, first = place[np.array(order, np.int64)], np.array(first, np.int64)
+        wrong = ~pieces.right[order]
         if wrong.any():
             text_of = np.repeat(np.arange(len(texts)), np.diff(first))
             good = np.bincount(text_of[wrong], minlength=len(texts)) == 0
@@ -160,14 +210,8 @@ class Aligner:
 
 
 @lru_cache(maxsize=1)
-def _aligner(a_file: bytes, b_file: bytes) -> Aligner:
-    return Aligner(a_file, b_file)
-
-
-def _flat(pieces: list[Piece]) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of the pieces, and where each piece's begin."""
-    first = np.concatenate([[0], np.cumsum([len(p.pairs) for p in pieces])]).astype(np.int64)
-    return np.concatenate([np.zeros(0, np.int64), *[p.pairs for p in pieces]]), first
+def _aligner(a_file: bytes, b_file: bytes, a_pattern: str | None) -> Aligner:
+    return Aligner(a_file, b_file, a_pattern)
 
 
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -193,10 +237,9 @@ def _link_counts(docs: DataFrame, files) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 order, _, pieces = aligner.read(part.column(0).to_pylist())
-                flat, first = _flat(pieces)
-                pairs.append(flat)
-                counts.append(np.repeat(np.bincount(order, minlength=len(pieces)), np.diff(first)))
-                held += len(flat)
+                pairs.append(pieces.pairs)
+                counts.append(np.repeat(np.bincount(order, minlength=len(pieces.right)), np.diff(pieces.first)))
+                held += len(pieces.pairs)
                 if held > HELD_PAIRS:
                     distinct, total = _summed(pairs, counts)
                     pairs, counts, held = [distinct], [total], len(distinct)
@@ -339,25 +382,22 @@ def _aligned(docs: DataFrame, files, sent) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         aligner = _aligner(*files.value)
         order, first, pieces = aligner.read(part.column(1).to_pylist())
-        flat, begin = _flat(pieces)
+        flat, begin = pieces.pairs, pieces.first
         _, n, best = sent.value.of(flat)
-        size = np.diff(begin)
-        sum_of = lambda values: np.diff(np.concatenate([[0], np.cumsum(values[order])])[first])
+        sum_of = lambda begins: np.diff(np.concatenate([[0], np.cumsum(np.diff(begins)[order])])[first])
         # Places in ``flat`` of every link of the slice.
-        many = size[order]
+        many = np.diff(begin)[order]
         at = np.arange(int(many.sum())) + np.repeat(begin[order] - (np.cumsum(many) - many), many)
-        n_links = sum_of(size)
-        strings = [p.groups for p in pieces]
-        order = order.tolist()
-        groups = [";".join(map(strings.__getitem__, order[i:j])) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
+        n_links = sum_of(begin)
+        strings, places = pieces.groups(aligner), order.tolist()
+        groups = [";".join(map(strings.__getitem__, places[i:j])) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
         links = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(n_links)]).astype(np.int32)), _links(flat[at], aligner.n_b, n[at], best[at])
         )
-        order = np.array(order, np.int64)
         columns = [
             part.column(0),
-            pa.array(sum_of(np.array([p.n_a for p in pieces], np.int64))),
-            pa.array(sum_of(np.array([p.n_b for p in pieces], np.int64))),
+            pa.array(sum_of(pieces.first_a)),
+            pa.array(sum_of(pieces.first_b)),
             pa.array(n_links),
             pa.array(groups, pa.string()),
             links,
@@ -387,17 +427,23 @@ def _filled(rows: DataFrame, n_b: int, sent) -> DataFrame:
 
 
 def align(
-    docs: DataFrame, a_path: str, b_path: str, table_pairs: int = TABLE_PAIRS, segment_pairs: int = SEGMENT_PAIRS
+    docs: DataFrame,
+    a_path: str,
+    b_path: str,
+    a_pattern: str | None = None,
+    table_pairs: int = TABLE_PAIRS,
+    segment_pairs: int = SEGMENT_PAIRS,
 ) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, groups and links of every document.
 
     ``groups`` writes each group as A's ids, a bar and B's ids, groups parted by
     semicolons. ``links`` has each link's ids, its pair's count and whether no other pair
-    of its B id has a higher one. The files are read here and sent to the tasks whole.
+    of its B id has a higher one. The files are read here and sent to the tasks whole;
+    ``a_pattern`` is the pattern by which A's library splits words, for tiktoken.
     """
     context = docs.sparkSession.sparkContext
     with open(a_path, "rb") as a, open(b_path, "rb") as b:
-        contents = (a.read(), b.read())
+        contents = (a.read(), b.read(), a_pattern)
     files = context.broadcast(contents)  # two vocabularies
     n_b = _aligner(*contents).n_b
     table, width, _ = pair_counts(docs, files, segment_pairs)

@@ -136,11 +136,12 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.forms(spelling.counted_words(documents(spark, sf_dir)))
 
 
-def tokenizer_files() -> tuple[str, str]:
-    """Paths of the two vocabularies that are aligned."""
+def tokenizer_files() -> tuple[str, str, str]:
+    """Paths of the two vocabularies that are aligned, and the pattern that goes with the first."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    path = public_tokenizers.path
+    return path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), public_tokenizers.PATTERN
 
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ STRANGE = [
 
 
 def brute(texts):
-    a_path, b_path = tokenizer_files()
+    a_path, b_path, _ = tokenizer_files()
     a, b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
     a.encode_special_tokens = True
     symbol = alignment._bytes_of_symbols()
@@ -80,10 +80,12 @@ def test_query_equals_whole_text_encodings(spark, tmp_path):
     assert want[10_002] == (0, 0, 0, 0, 0, 0, "")
 
 
-@pytest.mark.parametrize("table_pairs", [64, 1 << 21])
-def test_parts_of_the_table_give_the_same(spark, table_pairs):
+@pytest.mark.parametrize("table_pairs, quick", [(64, True), (1 << 21, False)])
+def test_parts_of_the_table_give_the_same(spark, table_pairs, quick):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(STRANGE * 2)], "doc_id long, text string")
-    got = alignment.align(docs, *tokenizer_files(), table_pairs=table_pairs, segment_pairs=16).orderBy("doc_id").collect()
+    a, b, pattern = tokenizer_files()
+    found = alignment.align(docs, a, b, pattern if quick else None, table_pairs=table_pairs, segment_pairs=16)
+    got = found.orderBy("doc_id").collect()
     want = brute(STRANGE * 2)
     assert [(r.n_a, r.n_b, r.n_groups, len(r.links)) for r in got] == [w[:4] for w in want]
     assert [(sum(x.best for x in r.links), sum(x.n for x in r.links)) for r in got] == [w[4:6] for w in want]
