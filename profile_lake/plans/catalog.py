@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from profile_lake.functions.columns import partition_keys
 from profile_lake.operators import analytics, dedup, enrich, health, metrics, progress, records
 from profile_lake.plans.collect import Collected, collect, collect_profiles
-from profile_lake.schemas import MICROS, PARTITION_COLUMNS
+from profile_lake.schemas import DEDUP, LISTING, MICROS, PARTITION_COLUMNS, RESPONSE_SCHEMA, UNFINISHED
 from profile_lake.session import scratch_path, stage
 from profile_lake.sinks import FallbackWriter, read_fallback, to_jsonl, write_profiles
 from profile_lake.sources import (
@@ -28,6 +28,7 @@ from profile_lake.sources import (
     read_responses,
     resolve_attempts,
     split_bad,
+    stream_responses,
     tables,
     union_hosts,
 )
@@ -36,7 +37,9 @@ from profile_lake.sources.responses import listings
 from profile_lake.streaming import collect as stream_collect
 from profile_lake.streaming import dedup as stream_dedup
 from profile_lake.streaming import monitor
-from profile_lake.streaming.landing import land_in_turns, turns_of
+from profile_lake.streaming.landing import land_in_turns, land_out_of_order, turns_of
+from profile_lake.streaming.marks import read_marks, read_seen, start_marks
+from profile_lake.streaming.outcomes import read_outcomes, run_outcomes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,13 +267,13 @@ def classify_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {REQUESTS_SQL} SELECT poll_id, fe_host, endpoint, attempt, response_class
-FROM classed WHERE attempt <= 3 QUALIFY row_number() OVER (
+FROM classed QUALIFY row_number() OVER (
   PARTITION BY poll_id, fe_host, endpoint
   ORDER BY CASE WHEN response_class = 'retryable' THEN 1 ELSE 0 END,
     CASE WHEN response_class = 'retryable' THEN -attempt ELSE attempt END) = 1""")
 def last_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The attempt that decides each request, with two retries allowed."""
-    resolved = resolve_attempts(tables.request_log(spark, sf_dir), retries=2)
+    """The attempt that decides each request, of all that landed."""
+    resolved = resolve_attempts(tables.request_log(spark, sf_dir))
     return classify_response(resolved).select(
         "poll_id", "fe_host", "endpoint", "attempt", "response_class"
     )
@@ -863,14 +866,123 @@ def stream_ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.drain_events(spark, sf_dir, TTL_US)
 
 
-@query(_PIPELINE_RECORDS_SQL)
+# The landed responses with attempts around them: refused polls list nothing, the first
+# final answer of a fetch counts.
+RETRIED_SQL = PIPELINE_SQL.replace(
+    "FROM query_log),", "FROM query_log WHERE event_id // 64 % 13 <> 5),"
+).replace(
+    "WHEN d.doc_id IS NULL THEN 'fetch_error'", "WHEN d.doc_id IS NULL OR d.doc_id % 7 = 6 THEN 'fetch_error'"
+).replace("WHEN d.doc_id % 10 = 0 THEN", "WHEN d.doc_id % 10 = 0 OR d.doc_id % 7 = 2 THEN")
+
+# Responses come up to four days late; the watermark follows five days behind.
+LATE_DAYS = 5
+
+
+def _closing(spark: SparkSession) -> DataFrame:
+    """An answer without rows."""
+    empty = (-1, "none", LISTING, "", 1, 200, 0, 0, b"[]")
+    return spark.createDataFrame([empty], RESPONSE_SCHEMA)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """The retried responses, out of order, through the tagged stream; the folder of its tables."""
+    base = scratch_path(spark, "tagged")
+    rows = tables.retried_responses(spark, sf_dir)
+    key = F.xxhash64("poll_id", "fe_host", "query_id", "attempt")
+    land_out_of_order(rows, key, "finished_us", f"{base}/landed", LATE_DAYS, _closing(spark))
+    run_outcomes(
+        stream_responses(spark, f"{base}/landed", max_files=1), base, CLUSTER, lambda: NOW_US,
+        ttl_us=TTL_US, lateness=f"{LATE_DAYS} days", in_order=False,
+    )
+    return base
+
+
+@query(f"WITH RECURSIVE {RETRIED_SQL} SELECT fe_host, query_id, event_time, outcome FROM outcomes")
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every listed row, from one streaming query over responses with retries,
+    whose attempts, listings and fetches come out of order in four micro-batches."""
+    return read_outcomes(spark, _streamed(spark, sf_dir)).select("fe_host", "query_id", "event_time", "outcome")
+
+
+@query(f"""WITH RECURSIVE {RETRIED_SQL} SELECT
+{RECORD_SQL.replace(COLLECTED_AT, '2024-01-30T00:00:00Z')}, text AS profile_text
+FROM outcomes WHERE outcome = 'collected'""")
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records from one streaming query over the landed files."""
+    """The records from one streaming query over responses with retries, landed in order."""
     landed = scratch_path(spark, "landed")
-    land_in_turns(tables.landed_responses(spark, sf_dir), "finished_us", landed)
+    land_in_turns(tables.retried_responses(spark, sf_dir), "finished_us", landed)
     return stream_collect.drain(spark, landed, CLUSTER, NOW_US, TTL_US)
 
 
+# Two streams in turn: the second gets every tenth poll, and all from two thirds of them on.
+_TURN_SQL = "CASE WHEN event_id // 64 % 10 = 0 OR event_id // 64 * 3 >= 2 * (max(event_id // 64) OVER ()) THEN 2 ELSE 1 END"
+
+
+@query(f"""WITH RECURSIVE {QUERY_LOG_SQL}, turned AS (SELECT *, {_TURN_SQL} AS turn FROM query_log),
+arrived AS (SELECT *, max(event_us) OVER (PARTITION BY event_id // 64, fe_host) AS arrival FROM turned
+  WHERE event_id // 64 % 13 <> 5),
+one AS (SELECT query_id, arrival AS event_us FROM arrived WHERE turn = 1 AND state = 'FINISHED'), {ttl_sql('one')},
+kept_one AS (SELECT * FROM kept),
+first_of AS (
+  SELECT f.event_id FROM arrived f JOIN kept_one k ON k.query_id = f.query_id AND k.at = f.arrival
+  WHERE turn = 1 AND state = 'FINISHED'
+  QUALIFY row_number() OVER (PARTITION BY f.query_id, f.arrival ORDER BY f.event_time) = 1),
+reached_one AS (
+  SELECT a.fe_host, a.event_time FROM arrived a LEFT JOIN first_of f ON f.event_id = a.event_id
+    LEFT JOIN documents d ON 'q-' || CAST(d.doc_id AS VARCHAR) = a.query_id
+  WHERE turn = 1 AND (state <> 'FINISHED' OR f.event_id IS NULL
+    OR (d.doc_id IS NOT NULL AND d.doc_id % 7 NOT IN (2, 6) AND d.doc_id % 10 <> 0))),
+mark AS (SELECT fe_host, max(event_time) AS t FROM reached_one GROUP BY fe_host),
+fresh AS (SELECT a.* FROM arrived a LEFT JOIN mark m ON m.fe_host = a.fe_host
+  WHERE turn = 2 AND a.event_time > coalesce(m.t, 0)),
+two AS (SELECT query_id, arrival AS event_us FROM fresh WHERE state = 'FINISHED'),
+last_one AS (SELECT k.query_id, max(k.at) AS at FROM kept_one k GROUP BY k.query_id),
+kept_two AS (
+  SELECT s.query_id, min(s.event_us) AS at FROM two s LEFT JOIN last_one l ON l.query_id = s.query_id
+  WHERE l.at IS NULL OR s.event_us > l.at + {TTL_US} GROUP BY s.query_id
+  UNION ALL
+  SELECT k.query_id, min(s.event_us) AS at FROM kept_two k JOIN two s
+    ON s.query_id = k.query_id AND s.event_us > k.at + {TTL_US} GROUP BY k.query_id),
+second_of AS (
+  SELECT f.event_id FROM fresh f JOIN kept_two k ON k.query_id = f.query_id AND k.at = f.arrival WHERE state = 'FINISHED'
+  QUALIFY row_number() OVER (PARTITION BY f.query_id, f.arrival ORDER BY f.event_time) = 1),
+reached AS (
+  SELECT fe_host, t AS event_time FROM mark UNION ALL
+  SELECT a.fe_host, a.event_time FROM fresh a LEFT JOIN second_of f ON f.event_id = a.event_id
+    LEFT JOIN documents d ON 'q-' || CAST(d.doc_id AS VARCHAR) = a.query_id
+  WHERE state <> 'FINISHED' OR f.event_id IS NULL
+    OR (d.doc_id IS NOT NULL AND d.doc_id % 7 NOT IN (2, 6) AND d.doc_id % 10 <> 0)),
+counted AS (
+  SELECT a.fe_host, count(*) FILTER (state <> 'FINISHED') AS unfinished_after,
+    count(*) FILTER (state = 'FINISHED' AND f.event_id IS NULL) AS dedup_after
+  FROM fresh a LEFT JOIN second_of f ON f.event_id = a.event_id GROUP BY a.fe_host)
+SELECT r.fe_host, max(r.event_time) AS last_event_time, any_value(coalesce(unfinished_after, 0)) AS unfinished_after,
+  any_value(coalesce(dedup_after, 0)) AS dedup_after
+FROM reached r LEFT JOIN counted c ON c.fe_host = r.fe_host GROUP BY r.fe_host""")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks of a stream, and of a second one with a new checkpoint that goes on from the first
+    one's marks and accepted ids, both read back from its state; and what the second one saw."""
+    base = scratch_path(spark, "marks")
+    rows = stage(tables.retried_responses(spark, sf_dir), "responses")
+    last = tables.query_log(spark, sf_dir).agg(F.max(F.expr(f"event_id div {tables.LISTING_ROWS}"))).first()[0] or 0
+    later = (F.col("poll_id") % 10 == 0) | (F.col("poll_id") * 3 >= 2 * last)
+    found, seen = spark.createDataFrame([], progress.PROGRESS_SCHEMA), None
+    for run, part in (("first", rows.where(~later)), ("second", rows.where(later))):
+        part.write.parquet(f"{base}/landed-{run}")
+        run_outcomes(
+            stream_responses(spark, f"{base}/landed-{run}"), f"{base}/{run}", CLUSTER, lambda: NOW_US, run,
+            ttl_us=TTL_US, progress=found, seen=seen,
+        )
+        start_marks(spark, f"{base}/{run}/outcomes", f"{base}/marks-{run}").awaitTermination()
+        found = stage(read_marks(spark, f"{base}/marks-{run}", found), "marks")
+        seen = stage(read_seen(spark, f"{base}/{run}/checkpoint-{run}"), "seen")
+    count = lambda kind: F.count(F.when(F.col("outcome") == kind, 1))
+    after = read_outcomes(spark, f"{base}/second").groupBy("fe_host").agg(
+        count(UNFINISHED).alias("unfinished_after"), count(DEDUP).alias("dedup_after")
+    )
+    return found.join(after, "fe_host", "left").na.fill(0, ["unfinished_after", "dedup_after"])
+
+
 @query(_PIPELINE_RECORDS_SQL.replace("2024-01-30T00:00:00Z", "collected"))
 def replayed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the batch pipeline inside a stream that restarts after every micro-batch."""

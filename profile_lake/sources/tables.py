@@ -210,6 +210,51 @@ def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.unionByName(profiles)
 
 
+def retried_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed responses with attempts around them.
+
+    Polls: those of rest 3 by 11 are answered at the second attempt, those of rest 5 by 13 are
+    refused first and then answered, which no longer counts. Fetches, by the id's number:
+    rest 2 by 7 finds nothing before it finds the text, rest 4 fails before it is answered,
+    rest 6 fails three times. The answer that counts keeps its time.
+    """
+    landed = landed_responses(spark, sf_dir)
+    listed, poll = F.col("endpoint") == LISTING, F.col("poll_id")
+    rest = F.substring("query_id", 3, 18).cast("long") % 7
+    second = F.when(listed, poll % 11 == 3).otherwise(rest == 4)
+    refused = F.when(listed, poll % 13 == 5).otherwise(rest == 2)
+    kept = F.when(listed, poll % 11 * 0).otherwise(rest) != 6
+
+    def attempt(rows: DataFrame, number: int, status: int, body: str, after_us: int) -> DataFrame:
+        return rows.withColumns(
+            {
+                "attempt": F.lit(number),
+                "status": F.lit(status),
+                "started_us": F.col("started_us") + after_us,
+                "finished_us": F.col("finished_us") + after_us,
+                "body": F.lit(body).cast("binary"),
+            }
+        )
+
+    answers = landed.where(kept).withColumns(
+        {
+            "attempt": F.when(refused | second, 2).otherwise(1),
+            "finished_us": F.col("finished_us") + F.when(refused, 1000).otherwise(0),
+        }
+    )
+    parts = [
+        answers,
+        attempt(landed.where(kept & second & ~refused), 1, 500, "busy", -1000),
+        attempt(landed.where(kept & refused & listed), 1, 403, "no", 0),
+        attempt(landed.where(kept & refused & ~listed), 1, 404, "not found", 0),
+        *[attempt(landed.where(~kept), n, 503, "busy", 1000 * n) for n in (1, 2, 3)],
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def host_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A carelessly written host list per event."""
     return _table(spark, sf_dir, "events").select(

@@ -40,6 +40,7 @@ from profile_lake.sinks.table import publish_batch
 from profile_lake.sources.listing import decode_listings
 from profile_lake.sources.responses import fetch_outcome
 from profile_lake.streaming.attempts import WAIT_SECONDS, resolved_answers
+from profile_lake.streaming.dedup import use_rocksdb
 
 #: Rows of an answer that came after the watermark, and dead letters.
 LATE = "late"
@@ -324,6 +325,25 @@ class WriteTables:
             publish_batch(collected_records(tagged, self.cluster, F.lit(now_us)), self.location, now_us, name)
 
 
+def run_outcomes(
+    responses: DataFrame, base: str, cluster: str, clock_us: Callable[[], int], run: str = "first", **options
+) -> None:
+    """Run :func:`tagged_outcomes` over all landed responses into the tables below ``base``.
+
+    The records' table is ``base``/table, the checkpoint ``base``/checkpoint-``run``.
+    """
+    use_rocksdb(responses.sparkSession)
+    writer = WriteTables(f"{base}/table", base, cluster, clock_us, run)
+    (
+        tagged_outcomes(responses, **options)
+        .writeStream.option("checkpointLocation", f"{base}/checkpoint-{run}")
+        .trigger(availableNow=True)
+        .foreachBatch(writer)
+        .start()
+        .awaitTermination()
+    )
+
+
 def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
     """All outcomes written so far."""
     schema = T.StructType([f for f in TAGGED_SCHEMA if f.name not in ("profile_text", "endpoint", "body")])
