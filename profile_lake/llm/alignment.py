@@ -50,6 +50,8 @@ TABLE_PAIRS = 1 << 21
 BRANCHES, FAN_IN = 16, 4
 #: Plain pieces B encodes at once: its time grows faster than a text's length.
 JOINED_PIECES = 64
+#: Bytes of texts whose pieces are encoded together.
+SLICE_BYTES = 1 << 21
 #: Pairs a task adds up before it sends them.
 HELD_PAIRS = 1 << 19
 
@@ -72,6 +74,12 @@ def _bytes_of_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def _is_plain(piece: str) -> bool:
+    if piece.isascii() and piece.isprintable():
+        return piece[-1] != " "
+    return _PLAIN.fullmatch(piece) is not None
+
+
 class Encoded:
     """Distinct pieces of a slice, aligned: flat arrays, and where each piece's part begins.
 
@@ -165,12 +173,16 @@ class Aligner:
 
     def encoded(self, pieces: list[str]) -> tuple[np.ndarray, Encoded]:
         """Distinct pieces, each beginning with a space, aligned; and each piece's place there."""
-        plain = [i for i, p in enumerate(pieces) if _PLAIN.fullmatch(p)] if self.cuts else []
+        plain = [i for i, p in enumerate(pieces) if _is_plain(p)] if self.cuts else []
         ids = self._together([pieces[i] for i in plain]) if plain else None
         if ids is None:
             plain, ids = [], (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        other = sorted(set(range(len(pieces))).difference(plain))
-        texts = [pieces[i] for i in other]
+        place = np.empty(len(pieces), np.int64)
+        apart = np.ones(len(pieces), bool)
+        apart[plain] = False
+        other = np.flatnonzero(apart)
+        place[plain], place[other] = np.arange(len(plain)), np.arange(len(plain), len(pieces))
+        texts = [pieces[i] for i in other.tolist()]
         a_other = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b_other = self.b.encode([t[1:] for t in texts], num_threads=1)
         right = np.ones(len(pieces), bool)
@@ -182,9 +194,8 @@ class Aligner:
         a_ids, b_ids = (
             np.concatenate([own, *[np.array(x, np.int64) for x in more]]) for own, more in zip(ids, (a_other, b_other))
         )
-        place = np.empty(len(pieces), np.int64)
-        place[plain + other] = np.arange(len(pieces))
-        sizes = np.array([len(pieces[i].encode()) for i in plain + other], np.int64)
+        sizes = np.empty(len(pieces), np.int64)
+        sizes[place] = pc.binary_length(pa.array(pieces, pa.string())).to_numpy()
         return place, Encoded(a_ids, b_ids, sizes, right, self)
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, Encoded]:
@@ -192,14 +203,15 @@ class Aligner:
 
         Texts whose tokens do not spell them have no pieces.
         """
-        number: dict[str, int] = {}
-        order, first = [], [0]
+        read, first = [], [0]
         for text in texts:
             if text:
-                order += [number.setdefault(p, len(number)) for p in self.pieces(text)]
-            first.append(len(order))
-        place, pieces = self.encoded(list(number))
-        order, first = place[np.array(order, np.int64)], np.array(first, np.int64)
+                read += self.pieces(text)
+            first.append(len(read))
+        distinct = list(dict.fromkeys(read))
+        place, pieces = self.encoded(distinct)
+        number = dict(zip(distinct, place.tolist()))
+        order, first = np.fromiter(map(number.__getitem__, read), np.int64, len(read)), np.array(first, np.int64)
         wrong = ~pieces.right[order]
         if wrong.any():
             text_of = np.repeat(np.arange(len(texts)), np.diff(first))
@@ -235,7 +247,7 @@ def _link_counts(docs: DataFrame, files) -> DataFrame:
             )
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SLICE_BYTES):
                 order, _, pieces = aligner.read(part.column(0).to_pylist())
                 pairs.append(pieces.pairs)
                 counts.append(np.repeat(np.bincount(order, minlength=len(pieces.right)), np.diff(pieces.first)))
@@ -404,7 +416,7 @@ def _aligned(docs: DataFrame, files, sent) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), work, RESULT)
+    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), work, RESULT, SLICE_BYTES)
 
 
 def _filled(rows: DataFrame, n_b: int, sent) -> DataFrame:
