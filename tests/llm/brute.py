@@ -166,9 +166,9 @@ def shingles(text, size=4):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-def components(docs, percent=85):
+def components(docs, percent=85, size=4):
     """(doc_id, text) of distinct ids -> per doc_id n_shingles and component_id."""
-    sets = {d: shingles(t) for d, t in docs}
+    sets = {d: shingles(t, size) for d, t in docs}
     parent = {d: d for d in sets}
 
     def root(d):

@@ -20,7 +20,7 @@ def plain_pipeline(spark, sf_dir, texts, items):
         (label,), (score,) = model.predict(pa.array([text or ""]))
         if label != "und" and score >= 0.25:
             known.append((doc_id, text))
-    groups = brute.components(known)
+    groups = brute.components(known, size=5, percent=80)
     firsts = [(d, t) for d, t in known if groups[d]["component_id"] == d]
     clean = {r["doc_id"] for r in brute.contamination(firsts, items) if not r["contaminated"]}
     lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb")
