@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from profile_lake.llm.batches import map_texts
 
 #: Bounds what a worker holds: texts' chunks remembered, and words contracted by one query.
-REMEMBERED = 300_000
+REMEMBERED = 450_000
 WORDS_PER_QUERY = 20_000
 LONG_WORD = 64
 #: Texts handled at once: the more, the fewer times a word is looked up.
@@ -124,9 +124,11 @@ class WordCodec:
             self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
             self._db.unregister("incoming")
         self._byte_ids = np.array([self._ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        #: Ids in decimal and decoded bytes of remembered chunks: the newer half, the older.
-        self._newer: dict[str, tuple[str, bytes]] = {}
-        self._older: dict[str, tuple[str, bytes]] = {}
+        #: Ids in decimal of remembered chunks: the newer half, the older. Where decoding them
+        #: gave other bytes than the chunk's (a vocabulary without some byte), these too.
+        self._newer: dict[str, str | tuple[str, bytes]] = {}
+        self._older: dict[str, str | tuple[str, bytes]] = {}
+        self._lossy = False
 
     def _asked(self, query: str, **inputs: pa.Table) -> pa.Table:
         for name, table in inputs.items():
@@ -214,7 +216,7 @@ class WordCodec:
             before = part[-1] if part else " "
         return ["".join(c) for c in out if c != [""]]
 
-    def _remembered(self, chunks: set[str]) -> dict[str, tuple[str, bytes]]:
+    def _remembered(self, chunks: set[str]) -> dict[str, str | tuple[str, bytes]]:
         """All of ``chunks``, encoding and decoding those that are new."""
         if len(self._newer) + len(chunks) > REMEMBERED // 2:
             self._newer, self._older = {}, self._newer
@@ -232,18 +234,28 @@ class WordCodec:
         for piece in pieces:
             for word in piece:
                 number.setdefault(word, len(number))
-        encoded = self.encode_words([w.encode() for w in number])
+        raw = [w.encode() for w in number]
+        encoded = self.encode_words(raw)
         decoded = self.decode(encoded)
         decimal = pa.ListArray.from_arrays(encoded.offsets, encoded.values.cast(pa.string()))
         ids = pc.binary_join(decimal, " ").to_pylist()
+        same = decoded == raw
+        self._lossy = self._lossy or not same
         for chunk, piece in zip(fresh, pieces):
-            if len(piece) == 1:
-                known[chunk] = ids[number[piece[0]]], decoded[number[piece[0]]]
-            else:
-                at = [number[w] for w in piece]
-                known[chunk] = " ".join([ids[i] for i in at]), b"".join([decoded[i] for i in at])
+            at = [number[w] for w in piece]
+            known[chunk] = ids[at[0]] if len(at) == 1 else " ".join([ids[i] for i in at])
+            if not same and any(decoded[i] != raw[i] for i in at):
+                known[chunk] = known[chunk], b"".join([decoded[i] for i in at])
         return known
 
+    def _both(self, chunks: list[str], known: dict[str, str | tuple[str, bytes]]) -> tuple[list[str], list[bytes]]:
+        """Ids in decimal and decoded bytes of remembered chunks."""
+        found = [known[c] for c in chunks]
+        if not self._lossy:
+            return found, [c.encode() for c in chunks]
+        whole = [f if isinstance(f, tuple) else (f, c.encode()) for f, c in zip(found, chunks)]
+        return [w[0] for w in whole], [w[1] for w in whole]
+
     def texts(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
         """Ids in decimal, joined by spaces, and the bytes they decode to, of each text."""
         plain = [bool(t) and self.lone_spaces(t) for t in texts]
@@ -255,18 +267,18 @@ class WordCodec:
         spaced = pc.binary_join_element_wise("", words.dictionary, " ")
         distinct = pc.if_else(pc.equal(words.dictionary, ""), "", spaced).to_pylist()
         known = self._remembered(set(distinct).union(firsts, *cut) - {""})
-        known.setdefault("", ("", b""))
-        heads = [[known[f]] if p else [known[c] for c in chunks] for p, f, chunks in zip(plain, firsts, cut)]
+        known.setdefault("", "")
+        heads = [self._both([f] if p else chunks, known) for p, f, chunks in zip(plain, firsts, cut)]
         rest = pc.list_slice(split, 1)
         inner = np.ones(len(words), bool)
         inner[np.asarray(split.offsets)[:-1]] = False
         index = words.indices.filter(pa.array(inner))
         out = []
-        found = [known[w] for w in distinct]
+        found = self._both(distinct, known)
         for part, kind, gap in ((0, pa.string(), " "), (1, pa.binary(), b"")):
-            values = pa.array([f[part] for f in found], kind).take(index)
+            values = pa.array(found[part], kind).take(index)
             tails = pc.binary_join(pa.ListArray.from_arrays(rest.offsets, values), gap)
-            begun = pa.array([gap.join([h[part] for h in head]) for head in heads], kind)
+            begun = pa.array([gap.join(head[part]) for head in heads], kind)
             used = pc.equal(pc.list_value_length(rest), 0)
             out.append(pc.if_else(used, begun, pc.binary_join_element_wise(begun, tails, gap)))
         return out[0], out[1]
