@@ -904,6 +904,13 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_outcomes(spark, _streamed(spark, sf_dir)).select("fe_host", "query_id", "event_time", "outcome")
 
 
+@query(ORACLES["ttl_dedup"])
+def stream_ttl_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The TTL rule over rows that come up to four days late: the rows of an id are spread over
+    four micro-batches, whatever their order."""
+    return stream_dedup.drain_shuffled(spark, sf_dir, TTL_US, LATE_DAYS)
+
+
 @query(f"""WITH RECURSIVE {RETRIED_SQL} SELECT
 {RECORD_SQL.replace(COLLECTED_AT, '2024-01-30T00:00:00Z')}, text AS profile_text
 FROM outcomes WHERE outcome = 'collected'""")
