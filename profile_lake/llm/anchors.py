@@ -9,10 +9,11 @@ repeats:
 1. segments are sorted by (anchor name, segment name, place): an anchor seen once has
    only unique windows and leaves; a segment equal to an earlier one is a repeat whole;
 2. of anchors with several different segments, each different segment is taken apart,
-   once, into its windows: pairs (name of the first half, name of the second half) are
-   sorted with their places, and all but a pair's first place are repeats.
+   once, into its windows: their names are sorted with their places, and all but a name's
+   first place are repeats.
 
-Names are 64-bit fingerprints; what decides is always two of them. Every round's result
+Names are fingerprints modulo a prime in two lanes: 122 bits decide between windows, 93
+between segments of one anchor. Texts themselves are not compared. Every round's result
 is written to the shared folder, so lost executors repeat one round at most, and no round
 holds a group in memory: groups are sorted, and only neighbours are compared.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from profile_lake.llm.batches import BASES, Rolling, Words, byte_values, map_texts, text_bytes, window_starts
+from profile_lake.llm.batches import BASES, Rolling, Words, map_texts, text_bytes, window_starts
 from profile_lake.session import stage
 
 #: Stands for a null doc_id; it sorts before all others, as null does.
@@ -51,14 +52,33 @@ def settled(df: DataFrame, label: str, large: bool = False) -> DataFrame:
     return out
 
 
-def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """doc (doc_id, :data:`NO_ID` for null) and text; of rows with one id the least text stays."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    again = stage(rows.groupBy("doc").count().filter("count > 1").select("doc"), "repeated-ids")
-    if again.isEmpty():
-        return rows
-    least = rows.join(again, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
-    return rows.join(again, "doc", "left_anti").unionByName(least)
+def keyed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, text) of every row, no two of one doc, and the doc_id of each doc.
+
+    Where ids tell rows apart, doc is the id (:data:`NO_ID` for null) and the second table
+    is None. Else rows are numbered in the order of (doc_id, null first, MD5 of the text);
+    which of rows equal in both comes first makes no difference but for their numbers.
+    """
+    own = F.col("doc_id").cast("long")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    again = docs.groupBy(F.coalesce(own, F.lit(NO_ID)).alias("id")).count().filter("count > 1")
+    if stage(again, "repeated-ids").isEmpty():
+        return docs.select(F.coalesce(own, F.lit(NO_ID)).alias("doc"), text), None
+    # Written once each: a row has the same number wherever it is read.
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("row"), own.alias("doc_id"), text), "rows")
+    # Numbers grow from partition to partition, and these are in the sort's order.
+    order = rows.select("row", "doc_id", F.md5("text").alias("key")).orderBy("doc_id", "key", "row")
+    ids = settled(order.select("row", "doc_id", F.monotonically_increasing_id().alias("doc")), "row-order")
+    keyed = rows.select("row", "text").join(ids.select("row", "doc").hint("shuffle_hash"), "row")
+    return settled(keyed.select("doc", "text"), "keyed-rows"), ids.select("doc", "doc_id")
+
+
+def named(df: DataFrame, ids: DataFrame | None, column: str = "doc", name: str = "doc_id") -> DataFrame:
+    """``column``, a doc of :func:`keyed_rows`, replaced by its doc_id."""
+    if ids is None:
+        return df.withColumn(name, F.when(F.col(column) != NO_ID, F.col(column))).drop(column)
+    other = ids.select(F.col("doc").alias("its_doc"), F.col("doc_id").alias(name))
+    return df.join(other, F.col(column) == F.col("its_doc")).drop(column, "its_doc")
 
 
 def leftmost_least(values: np.ndarray, size: int) -> np.ndarray:
@@ -83,20 +103,21 @@ class Units:
     gram: int
     separators: bytes | None = None
 
-    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Words | None]:
-        """A value per unit, where each text's units begin, and the words."""
+    def read(self, texts: pa.Array) -> tuple[Rolling, Rolling, np.ndarray]:
+        """The units in both lanes of fingerprints, and where each text's begin."""
         if self.separators is None:
             data, begin = text_bytes(texts)
-            return byte_values(BASES[0])[data], begin, None
+            return Rolling(data, BASES[0]), Rolling(data, BASES[1]), begin
         words = Words(texts, self.separators)
-        return words.hashes(), words.first, words
+        one, two = (Rolling(words.hashes(base), base) for base in BASES)
+        return one, two, words.first
 
     def segments(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """Runs of equal segments: text, first and last window start within it, windows of
-        each segment, anchor name and segment name."""
-        values, first, _ = self.read(texts)
+        each segment, anchor name, segment name and 32 more bits of it."""
+        one, two, first = self.read(texts)
         starts = window_starts(first, self.window)
-        grams = Rolling(values).windows(self.gram)
+        grams = one.windows(self.gram)
         anchor = leftmost_least(grams, self.window - self.gram + 1)[starts]
         new = np.ones(len(starts), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
@@ -106,45 +127,45 @@ class Units:
         text = np.searchsorted(first, low, "right") - 1
         # Texts without units share their beginning with the next one.
         base = first[text]
-        name = Rolling(values, BASES[1]).of(low, high + self.window)
+        name = two.of(low, high + self.window)
+        more = one.of(low, high + self.window) >> np.uint64(32)
         key = grams[anchor[begin]]
         run = np.ones(len(low), bool)
         run[1:] = (
-            (text[1:] != text[:-1]) | (low[1:] != high[:-1] + 1) | (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+            (text[1:] != text[:-1])
+            | (low[1:] != high[:-1] + 1)
+            | (key[1:] != key[:-1])
+            | (name[1:] != name[:-1])
+            | (more[1:] != more[:-1])
         )
-        one = np.flatnonzero(run)
-        last = np.append(one[1:], len(low))[: len(one)] - 1
-        return text[one], (low - base)[one], (high - base)[last], (high - low + 1)[one], key[one], name[one]
-
-    def window_names(self, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Names of the first and second half of the windows at ``starts``."""
-        half = self.window // 2
-        rolling = Rolling(values)
-        return rolling.of(starts, starts + half), rolling.of(starts + half, starts + self.window)
+        at = np.flatnonzero(run)
+        last = np.append(at[1:], len(low))[: len(at)] - 1
+        return text[at], (low - base)[at], (high - base)[last], (high - low + 1)[at], key[at], name[at], more[at]
 
 
 def _segment_rows(docs: DataFrame, units: Units) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        text, low, high, each, anchor, name = units.segments(part.column(1))
+        text, low, high, each, anchor, name, more = units.segments(part.column(1))
         columns = [
             part.column(0).take(pa.array(text)),
             pa.array((low << 32) + high),
-            pa.array(each.astype(np.int32)),
+            pa.array((each << 32) + more.astype(np.int64)),
             pa.array(anchor.view(np.int64)),
             pa.array(name.view(np.int64)),
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc", "place", "each", "anchor", "name"])
 
-    # Low and high share a column: a shuffled row has eight bytes for each.
-    return map_texts(docs, work, "doc long, place long, each int, anchor long, name long")
+    # Two numbers share a column: a shuffled row has eight bytes for each. Of `each` the
+    # lower half belongs to the name.
+    return map_texts(docs, work, "doc long, place long, each long, anchor long, name long")
 
 
 def _windows_of(docs: DataFrame, segments: DataFrame, units: Units) -> DataFrame:
-    """One row per window of the given segments: its two names and its place."""
+    """One row per window of the given segments: its name in both lanes and its place."""
     lists = segments.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("segments"))
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        values, first, _ = units.read(part.column(1))
+        first_lane, second_lane, first = units.read(part.column(1))
         own = part.column(2)
         inner = own.flatten()
         low, high = (inner.field(i).to_numpy().astype(np.int64) for i in (0, 1))
@@ -152,7 +173,8 @@ def _windows_of(docs: DataFrame, segments: DataFrame, units: Units) -> DataFrame
         sizes = high - low + 1
         row = np.repeat(row, sizes)
         start = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
-        one, two = units.window_names(values, start + first[row])
+        begin = start + first[row]
+        one, two = (lane.of(begin, begin + units.window) for lane in (first_lane, second_lane))
         columns = [
             pa.array(one.view(np.int64)),
             pa.array(two.view(np.int64)),
@@ -171,17 +193,20 @@ def repeated_windows(docs: DataFrame, units: Units, across: bool) -> DataFrame:
     Earlier is a smaller doc, or also the same doc at a smaller start; only a smaller doc
     if ``across``. ``docs`` has one row per doc.
     """
-    in_order = W.partitionBy("anchor", "name").orderBy("doc", "place")
+    in_order = W.partitionBy("anchor", "name", "more_name").orderBy("doc", "place")
     own = ["doc"] if across else ["doc", "place"]
     first = F.first(F.struct(*own)).over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
     names = W.partitionBy("anchor")
     low, high = F.shiftright("place", 32).cast("int"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")
+    differ = [F.min(name).over(names) != F.max(name).over(names) for name in ("name", "more_name")]
     several_in_run = F.lit(False) if across else high - low >= F.col("each")
     rows = (
         _segment_rows(docs, units)
         .repartition("anchor")
+        .withColumn("more_name", F.col("each").bitwiseAND(0xFFFFFFFF))
+        .withColumn("each", F.shiftright("each", 32).cast("int"))
         .withColumn("repeat", first != F.struct(*own))
-        .withColumn("several", F.min("name").over(names) != F.max("name").over(names))
+        .withColumn("several", differ[0] | differ[1])
         .select("doc", low.alias("low"), high.alias("high"), "each", "repeat", "several", several_in_run.alias("more"))
         .filter("repeat OR several OR more")
     )
@@ -220,20 +245,12 @@ def removed_units(runs: pa.Array, first: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def id_column(docs: pa.Array) -> pa.Array:
-    """doc_id again, null for :data:`NO_ID`."""
-    values = docs.to_numpy()
-    return pa.array(values, pa.int64(), mask=values == NO_ID)
-
-
-def digests(docs: DataFrame, runs: DataFrame, digest, schema: str) -> DataFrame:
-    """``digest`` (a slice's texts and runs -> columns after doc_id) of every document."""
+def digests(rows: DataFrame, ids: DataFrame | None, runs: DataFrame, digest, schema: str) -> DataFrame:
+    """doc_id and ``digest`` (a slice's texts and runs -> columns of ``schema``) of every row."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [id_column(part.column(0)), *digest(part.column(1), part.column(2))],
-            [x.split()[0] for x in schema.split(", ")],
-        )
-
-    return map_texts(with_runs(docs, runs), work, schema)
+        names = ["doc", *[x.split()[0] for x in schema.split(", ")]]
+        return pa.RecordBatch.from_arrays([part.column(0), *digest(part.column(1), part.column(2))], names)
 
+    found = named(map_texts(with_runs(rows, runs), work, f"doc long, {schema}"), ids)
+    return found.select("doc_id", *[x.split()[0] for x in schema.split(", ")])

@@ -7,8 +7,8 @@ documents of about :data:`SLICE_BYTES`; one longer text is a slice of its own.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -121,52 +121,93 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: Odd multipliers of the rolling fingerprints; two together make a 128-bit name.
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Fingerprints are polynomials modulo this prime: modulo 2**64 strings of Thue-Morse kind collide for every base.
+PRIME = np.uint64((1 << 61) - 1)
+#: Bases of the two lanes of fingerprints; a name of both has 122 bits.
+BASES = (0x1E3779B97F4A7C15, 0x11342543DE82EF95)
+#: Sums of longer stretches could pass 64 bits.
+LONG_STRETCH = 1 << 23
+_powers: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if base not in _powers or len(_powers[base][0]) < n:
-        size = max(n, 1 << 16)
-        made = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        _powers[base] = (made[0], made[1])
-    up, down = _powers[base]
-    return up[:n], down[:n]
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo :data:`PRIME`."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
 
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo :data:`PRIME`, of reduced numbers: by halves of 30 and 31 bits."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = a1 * b0 + a0 * b1
+    ends = reduced(np.uint64(2) * (a1 * b1)) + reduced(a0 * b0)
+    return reduced(ends + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half))
 
-@lru_cache(maxsize=4)
-def byte_values(base: int) -> np.ndarray:
-    """A fixed random-looking 64-bit value per byte."""
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of base**i modulo :data:`PRIME` the low 32 bits and the rest, and base**-i, for i < n."""
+    if base not in _powers or len(_powers[base][0]) < n:
+        size, made, prime = max(n, 1 << 16), [], int(PRIME)
+        for b in (base, pow(base, -1, prime)):
+            p = np.ones(1, np.uint64)
+            while len(p) < size:
+                p = np.concatenate([p, product(p, np.uint64(pow(b, len(p), prime)))])
+            made.append(p[:size].copy())
+        low, rest = (made[0] & np.uint64(0xFFFFFFFF)), made[0] >> np.uint64(32)
+        _powers[base] = (low.astype(np.uint32), rest.astype(np.uint32), made[1])
+    low, rest, down = _powers[base]
+    return low[:n], rest[:n], down[:n]
 
 
 class Rolling:
-    """Fingerprints of any stretches of a sequence of 64-bit values."""
+    """64-bit fingerprints of any stretches of a sequence of bytes or of 64-bit values."""
 
     def __init__(self, values: np.ndarray, base: int = BASES[0]):
-        up, self._down = powers(base, len(values) + 1)
-        self._sum = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:-1], out=self._sum[1:])
+        self._values = values
+        low, rest, self._down = powers(base, len(values) + 1)
+        low, rest = low[:-1], rest[:-1]
+        if values.dtype == np.uint8:
+            # No byte counts as zero: a stretch and the same after zeros would be one.
+            units = values.astype(np.uint64) + np.uint64(1)
+            terms = units * low, units * rest
+        else:
+            whole = product(reduced(values), low.astype(np.uint64) + (rest.astype(np.uint64) << np.uint64(32)))
+            terms = whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32)
+        # Sums wrap around, their differences are right while a stretch's own sum fits.
+        self._low, self._rest = (self._summed(x) for x in terms)
+
+    @staticmethod
+    def _summed(terms: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(terms) + 1, np.uint64)
+        np.cumsum(terms, out=total[1:])
+        return total
+
+    @staticmethod
+    def _name(low: np.ndarray, rest: np.ndarray, down: np.ndarray) -> np.ndarray:
+        high = product(reduced(rest), np.uint64(1 << 32))
+        return mixed(product(reduced(reduced(low) + high), down))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self._sum[ends] - self._sum[starts]) * self._down[starts])
+        names = self._name(
+            self._low[ends] - self._low[starts], self._rest[ends] - self._rest[starts], self._down[starts]
+        )
+        for i in np.flatnonzero(ends - starts > LONG_STRETCH):
+            salt = int(self._down[1]).to_bytes(8, "little")
+            digest = hashlib.blake2b(self._values[starts[i] : ends[i]].tobytes(), digest_size=8, key=salt).digest()
+            names[i] = int.from_bytes(digest, "little")
+        return names
 
     def windows(self, size: int) -> np.ndarray:
         """Of every window of ``size`` values, by its start."""
-        n = max(0, len(self._sum) - size)
-        return mixed((self._sum[size:] - self._sum[:n]) * self._down[:n])
+        n = max(0, len(self._low) - size)
+        return self._name(self._low[size:] - self._low[:n], self._rest[size:] - self._rest[:n], self._down[:n])
 
 
 class Words:
     """Words of a slice of texts: their spans in the bytes and 64-bit fingerprints."""
 
-    def __init__(self, texts: pa.Array, separators: bytes, lower: bool = False, base: int = BASES[0]):
+    def __init__(self, texts: pa.Array, separators: bytes, lower: bool = False):
         self.data, self.begin = text_bytes(texts)
         if lower:
             self.data = lower_ascii(self.data)
@@ -174,7 +215,6 @@ class Words:
         self.starts, self.ends = spans(self.inside, self.begin)
         #: Of each text, its first word; the last entry is the number of words.
         self.first = np.searchsorted(self.starts, self.begin)
-        self._base = base
 
     @property
     def counts(self) -> np.ndarray:
@@ -184,9 +224,8 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
-    def hashes(self, base: int | None = None) -> np.ndarray:
-        base = base or self._base
-        return Rolling(byte_values(base)[self.data], base).of(self.starts, self.ends)
+    def hashes(self, base: int = BASES[0]) -> np.ndarray:
+        return Rolling(self.data, base).of(self.starts, self.ends)
 
 
 def window_starts(first: np.ndarray, size: int) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profile_lake.llm.batches import BASES, NON_ALNUM_BYTES, Rolling, Words, byte_values, map_texts
+from profile_lake.llm.batches import NON_ALNUM_BYTES, Rolling, Words, map_texts
 
 # Phrases and their labels.
 PHRASES = {
@@ -173,7 +173,7 @@ class LicenceScanner:
         """The number of words and the spans of each text."""
         words = Words(texts, NON_ALNUM_BYTES, lower=True)
         n = int(words.first[-1])
-        ids = self._word_ids(Rolling(byte_values(BASES[0])[words.data]).of(words.starts, words.ends))
+        ids = self._word_ids(Rolling(words.data).of(words.starts, words.ends))
         paired = np.zeros(n, bool)
         if n > 1:
             paired[:-1] = self._pairs[ids[:-1], ids[1:]]

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profile_lake.llm.batches import SPACE_BYTES, Rolling, Words, byte_table, byte_values, covered, map_texts
-from profile_lake.llm.batches import BASES, mixed, per_text, spans, window_starts
+from profile_lake.llm.batches import BASES, SPACE_BYTES, Rolling, Words, byte_table, covered, map_texts
+from profile_lake.llm.batches import per_text, spans, window_starts
 from profile_lake.session import stage
 
 SYMBOLS = b"#*$%&|<>"
@@ -32,22 +32,19 @@ MAX_HOST_RATE = 0.5
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys occur more than once, and which occurred earlier."""
-    order = np.argsort(keys, kind="stable")
-    same = np.zeros(len(keys) + 1, bool)
-    same[1:-1] = keys[order][1:] == keys[order][:-1]
-    again, often = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+def _repeats(lanes: list[np.ndarray], text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which names (both lanes) occur more than once in their text, and which occurred earlier."""
+    order = np.lexsort((*lanes, text_of))
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = True
+    for key in (*lanes, text_of):
+        same[1:-1] &= key[order][1:] == key[order][:-1]
+    again, often = np.zeros(len(order), bool), np.zeros(len(order), bool)
     again[order] = same[:-1]
     often[order] = same[:-1] | same[1:]
     return often, again
 
 
-def _within(keys: np.ndarray, text_of: np.ndarray) -> np.ndarray:
-    """Fingerprints that differ between texts."""
-    return mixed(keys + mixed(text_of.astype(np.uint64) + np.uint64(1)))
-
-
 def measure(part: pa.RecordBatch) -> list[np.ndarray]:
     """The columns of :data:`MEASURES` for a slice of texts."""
     words = Words(part.column("text"), SPACE_BYTES)
@@ -56,19 +53,20 @@ def measure(part: pa.RecordBatch) -> list[np.ndarray]:
     word_chars = per_text(words.inside & ((data & 0xC0) != 0x80), begin)
     n_symbols = per_text(byte_table(SYMBOLS)[data], begin)
 
-    rolling = Rolling(byte_values(BASES[0])[data])
+    lanes = [Rolling(data, base) for base in BASES]
     line_starts, line_ends = spans(data != 0x0A, begin)
     before = np.searchsorted(words.starts, line_starts)
     with_word = np.searchsorted(words.starts, line_ends) > before
     line_starts, line_ends = line_starts[with_word], line_ends[with_word]
     line_text = np.searchsorted(begin, line_starts, "right") - 1
-    _, again = _repeats(_within(rolling.of(line_starts, line_ends), line_text))
+    _, again = _repeats([lane.of(line_starts, line_ends) for lane in lanes], line_text)
     n_dup_lines = np.bincount(line_text[again], minlength=len(n_words))
 
     starts = window_starts(words.first, WINDOW)
-    text_of = words.text_of
-    names = Rolling(rolling.of(words.starts, words.ends)).of(starts, starts + WINDOW)
-    often, _ = _repeats(_within(names, text_of[starts]))
+    names = [
+        Rolling(lane.of(words.starts, words.ends), base).of(starts, starts + WINDOW) for lane, base in zip(lanes, BASES)
+    ]
+    often, _ = _repeats(names, words.text_of[starts])
     n_repeat = per_text(covered(starts[often], WINDOW, n), words.first)
     return [n_words, word_chars, n_symbols, n_dup_lines, n_repeat]
 

@@ -7,9 +7,9 @@ whole, and where they differ, each of their windows is compared. Runs of repeate
 are the maximal repeats over the threshold. :mod:`profile_lake.llm.anchors` has the rounds.
 
 Each word covered by a window that also starts in a document of smaller doc_id is
-removed. Null or empty text: no words. Of rows with one doc_id the least text stands for
-all; a null doc_id is one id, before all others. Empty table: empty result. Other columns
-are not read.
+removed. Null or empty text: no words. Every row is a document of its own: a null doc_id is
+before all others, and rows of one doc_id are ordered by the MD5 of their text, as if their
+ids grew that way. Empty table: empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ def maximal_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         at = pa.array(np.searchsorted(low, words.first).astype(np.int32))
         return [pa.array(words.counts), pa.ListArray.from_arrays(at, found)]
 
-    rows = anchors.one_row_per_id(docs)
+    rows, ids = anchors.keyed_rows(docs)
     runs = anchors.repeated_windows(rows, units(threshold), across=True)
-    return anchors.digests(rows, runs, digest, "doc_id long, n_words long, repeats array<struct<start:bigint,end:bigint>>")
+    return anchors.digests(rows, ids, runs, digest, "n_words long, repeats array<struct<start:bigint,end:bigint>>")
 
 
 def removal_digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -62,6 +62,6 @@ def removal_digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             left.append(hashlib.sha256(b" ".join([raw[a:b] for a, b in pairs])).hexdigest())
         return [pa.array(words.counts), pa.array(per_text(gone, words.first)), pa.array(left, pa.string())]
 
-    rows = anchors.one_row_per_id(docs)
+    rows, ids = anchors.keyed_rows(docs)
     runs = anchors.repeated_windows(rows, units(threshold), across=True)
-    return anchors.digests(rows, runs, digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return anchors.digests(rows, ids, runs, digest, "n_words long, n_removed long, kept_sha256 string")

@@ -6,9 +6,10 @@ strings share; then by the stretch from the first to beyond the last 100-byte st
 anchor; then, only where strings of one anchor differ, every start by its first 50 bytes and
 the 50 after. Each byte covered by a 100-byte string that also starts earlier is removed.
 
-Null or empty text: no bytes. Texts shorter than the threshold stay. Of rows with one
-doc_id the least text stands for all; a null doc_id is one id, before all others. Empty
-table: empty result. Other columns are not read.
+Null or empty text: no bytes. Texts shorter than the threshold stay. Every row is a document
+of its own: a null doc_id is before all others, and rows of one doc_id are ordered by the
+MD5 of their text, as if their ids grew that way. Empty table: empty result. Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -50,9 +51,9 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             pa.array(left, pa.binary()),
         ]
 
-    rows = anchors.one_row_per_id(docs)
+    rows, ids = anchors.keyed_rows(docs)
     runs = anchors.repeated_windows(rows, units(threshold), across=False)
-    return anchors.digests(rows, runs, digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return anchors.digests(rows, ids, runs, digest, "n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def removal_digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -68,6 +69,6 @@ def removal_digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             pa.array(left, pa.string()),
         ]
 
-    rows = anchors.one_row_per_id(docs)
+    rows, ids = anchors.keyed_rows(docs)
     runs = anchors.repeated_windows(rows, units(threshold), across=False)
-    return anchors.digests(rows, runs, digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return anchors.digests(rows, ids, runs, digest, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")

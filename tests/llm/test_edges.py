@@ -1,5 +1,8 @@
 """Nulls, empty tables, repeated rows and columns with clashing names, for every operator."""
 
+import hashlib
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from profile_lake.llm import (
     suffix_dedup,
 )
 from profile_lake.llm.queries import rank_file
-from tests.llm import fixtures
+from tests.llm import brute, fixtures
 
 ITEMS = [(1, fixtures.PASSAGE), (None, "one two"), (2, None)]
 
@@ -44,8 +47,6 @@ OPERATORS = {
     "maximal_repeats": lambda spark, docs: seeds.maximal_repeats(docs),
     "jaccard": lambda spark, docs: jaccard.component_ids(docs),
 }
-#: These keep one row per doc_id, the others one row per input row.
-BY_ID = {"suffixes", "kept_bytes", "seeds", "maximal_repeats", "jaccard"}
 CLASHES = "row kept spans document key words doc low high runs n place anchor name host lang_pred score items tokens".split()
 
 
@@ -59,9 +60,7 @@ def awkward_rows(spark, awkward):
 def test_awkward_rows(spark, awkward, name):
     docs = awkward_rows(spark, awkward)
     got = OPERATORS[name](spark, docs).collect()
-    ids = [r.doc_id for r in docs.collect()]
-    assert len(got) == (len(set(ids)) if name in BY_ID else len(ids))
-    assert {r.doc_id for r in got} == set(ids)
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect())
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -70,14 +69,32 @@ def test_empty_table(spark, name):
     assert got.count() == 0
 
 
-def test_repeated_ids_stand_for_their_least_text(spark):
-    same = "x " * 80
-    rows = [(1, same), (1, "a"), (2, same), (None, "b"), (None, same)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffix_dedup.removal_digests(docs).collect()}
-    # Within the one long text all but its first 100 bytes' worth of period repeat.
-    assert got.keys() == {None, 1, 2}
-    assert got[None] == (1, 0) and got[1] == (1, 0) and got[2] == (160, 158)
+def in_order(rows):
+    """The rows numbered as the operators order them: (doc_id, null first, MD5 of the text)."""
+    md5 = lambda text: hashlib.md5((text or "").encode()).hexdigest()
+    return list(enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, md5(r[1])))))
+
+
+BY_ROW = {
+    "suffixes": (brute.suffixes, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]),
+    "seeds": (brute.repeats, ["n_words", "n_removed", "kept_sha256"]),
+    "jaccard": (brute.components, ["n_shingles", "component_id"]),
+}
+
+
+@pytest.mark.parametrize("name", BY_ROW)
+def test_rows_of_shared_and_null_ids_count_each(spark, awkward, name):
+    rows = [(r.doc_id, r.text) for r in awkward_rows(spark, awkward).collect()]
+    rows += [(None, fixtures.PASSAGE + " once more"), (1, fixtures.PASSAGE), (1, "x " * 80), (2, "x " * 80), (None, None)]
+    plain, columns = BY_ROW[name]
+    numbered = in_order(rows)
+    want = plain([(n, text) for n, (_, text) in numbered])
+    if name == "jaccard":
+        for row in want.values():
+            row["component_id"] = numbered[row["component_id"]][1][0]
+    got = OPERATORS[name](spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = Counter((doc_id, *[want[n][c] for c in columns]) for n, (doc_id, _) in numbered)
+    assert Counter((r.doc_id, *[r[c] for c in columns]) for r in got) == want
 
 
 def test_no_items(spark, awkward):
