@@ -166,21 +166,24 @@ class Rolling:
     def __init__(self, values: np.ndarray, base: int = BASES[0]):
         self._values = values
         low, rest, self._down = powers(base, len(values) + 1)
-        low, rest = low[:-1], rest[:-1]
         if values.dtype == np.uint8:
-            # No byte counts as zero: a stretch and the same after zeros would be one.
-            units = values.astype(np.uint64) + np.uint64(1)
-            terms = units * low, units * rest
+            terms = values, values
         else:
-            whole = product(reduced(values), low.astype(np.uint64) + (rest.astype(np.uint64) << np.uint64(32)))
+            whole = product(reduced(values), low[:-1].astype(np.uint64) + (rest[:-1].astype(np.uint64) << np.uint64(32)))
             terms = whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32)
         # Sums wrap around, their differences are right while a stretch's own sum fits.
-        self._low, self._rest = (self._summed(x) for x in terms)
+        self._low, self._rest = (self._summed(x, p[:-1]) for x, p in zip(terms, (low, rest)))
 
     @staticmethod
-    def _summed(terms: np.ndarray) -> np.ndarray:
+    def _summed(terms: np.ndarray, powers: np.ndarray) -> np.ndarray:
         total = np.zeros(len(terms) + 1, np.uint64)
-        np.cumsum(terms, out=total[1:])
+        sums = total[1:]
+        if terms.dtype == np.uint8:
+            # No byte counts as zero: a stretch and the same after zeros would be one.
+            np.multiply(terms, powers, out=sums, dtype=np.uint64)
+            sums += powers
+            terms = sums
+        np.cumsum(terms, out=sums)
         return total
 
     @staticmethod
