@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -35,12 +36,14 @@ FETCH = ["poll_id", "fe_host", "query_id"]
 
 @dataclass(frozen=True)
 class Collected:
-    """Result of one run. ``outcomes`` has one row per listed row."""
+    """Result of one run. ``outcomes`` has one row per listed row, ``accepted`` the ids that passed
+    the TTL rule with their time. ``seen`` is the new set, if the whole old one was given."""
 
     records: DataFrame
     outcomes: DataFrame
     progress: DataFrame
     seen: DataFrame
+    accepted: DataFrame
     bad: DataFrame
     polls: DataFrame
 
@@ -60,7 +63,7 @@ def collect_profiles(
 
 def collect(
     responses: DataFrame,
-    seen: DataFrame,
+    seen: DataFrame | Callable[[DataFrame], DataFrame],
     progress: DataFrame,
     cluster: str,
     now_us: int,
@@ -70,6 +73,8 @@ def collect(
 
     Bodies are decoded once, the deciding answers' and no others. Parsed rows and their outcomes are staged in the shared folder: each is made once
     and read by several results. Profile texts are read and joined only for records.
+
+    ``seen`` is the seen set, or a function from a table of ids to their entries in it.
     """
     resolved = resolve_attempts(poll_log(responses))
     answered = resolved.where((F.col("endpoint") == LISTING) & (F.col("status") == 200))
@@ -79,7 +84,11 @@ def collect(
     parsed = readable_rows(decoded).drop("endpoint", "status", "started_us", "attempt")
     details = stage(marks.newer_than_progress(parsed, progress), "details")
 
-    done = dedup.label_first(records.finished(details), ttl_us, seen, "finished_us", TIES)
+    finished = records.finished(details)
+    if callable(seen):
+        seen = seen(finished.select("query_id"))
+
+    done = dedup.label_first(finished, ttl_us, seen, "finished_us", TIES)
     rest = details.where(~records.is_finished()).withColumn("is_first", F.lit(False))
     fetches = resolved.where(F.col("endpoint") == PROFILE).select(
         *FETCH, F.col("attempt").alias("fetch_attempt"), fetch_outcome().alias("skip_reason")
@@ -93,13 +102,14 @@ def collect(
     entries = enrich.enrich(taken, texts, [*FETCH, "fetch_attempt"])
     collected_at = rfc3339_from_millis(F.lit(now_us // 1000))
 
-    accepted = outcomes.where("is_first")
-    known = dedup.merge_seen(seen, accepted, "finished_us")
+    accepted = outcomes.where("is_first").select("query_id", F.col("finished_us").alias("first_seen_us"))
+    known = dedup.merge_seen(seen, accepted, "first_seen_us")
     return Collected(
         records=records.to_record(entries, cluster, collected_at),
         outcomes=outcomes,
         progress=marks.advance(progress, outcomes),
         seen=dedup.compact_seen(known, now_us, ttl_us),
+        accepted=accepted,
         bad=unreadable_responses(decoded, listing.columns),
         polls=polls(responses, decoded),
     )

@@ -69,29 +69,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_run_folder.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
-    """Move the part files of folder ``source`` into ``target``, named ``prefix`` and a number.
-
-    Files of that prefix that are already there go first, so a repeat replaces them.
-    """
-    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    folder, into = paths(source), paths(target)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(into)
-    for status in files.listStatus(into):
-        if status.getPath().getName().startswith(prefix):
-            files.delete(status.getPath(), False)
-    number = 0
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if name.startswith("part-"):
-            files.rename(status.getPath(), paths(into, f"{prefix}{number:05}.{name.rsplit('.', 1)[-1]}"))
-            number += 1
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path on it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = file_system(spark, path)
+    return files.exists(target)
 
 
 def fixed_value(spark: SparkSession, path: str, value: int) -> int:
@@ -103,8 +89,8 @@ def fixed_value(spark: SparkSession, path: str, value: int) -> int:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder from whatever file system it is on."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = file_system(spark, path)
+    files.delete(target, True)
 
 
 @contextmanager

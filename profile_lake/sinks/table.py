@@ -2,7 +2,7 @@
 
     <location>/year=YYYY/month=MM/day=DD/hour=HH/part-….json
 
-The folder is the flush time in UTC. Any URI Hadoop can write to works: ``gs://`` with
+The folder is the flush time in UTC. :mod:`commits` is the form for batches that may be repeated. Any URI Hadoop can write to works: ``gs://`` with
 the cloud connector, ``s3a://`` with its options, a shared or local folder.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
 from profile_lake.schemas import MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
-from profile_lake.session import delete_path, fixed_value, move_files, scratch_folder, stage
+from profile_lake.session import delete_path, fixed_value, scratch_folder, stage
+from profile_lake.sinks.commits import has_commits, publish_batch
 from profile_lake.sinks.jsonl import to_jsonl
 
 FLUSH_LOG_SCHEMA = (
@@ -93,8 +95,12 @@ def write_profiles(
 
     ``even_files`` spends a shuffle so that files have the size Spark aims at, however
     many small tasks made the records. Without it each task writes its own file.
-    ``batch_size`` limits the records of a file.
+    ``batch_size`` limits the records of a file. Into a table with a commit log the records
+    go as a batch of their own.
     """
+    if has_commits(records.sparkSession, path):
+        publish_batch(records, path, flush_us, f"append-{uuid.uuid4().hex[:12]}", batch_size)
+        return
     rows = with_partitions(records, flush_us)
     if even_files:
         rows = rows.hint("rebalance")
@@ -117,27 +123,6 @@ def write_records(records: DataFrame, sink: Sink, flush_us: int) -> None:
         write_profiles(records, sink.location, flush_us, sink.batch_size)
 
 
-def folder_of(spark: SparkSession, flush_us: int) -> str:
-    """year=YYYY/month=MM/day=DD/hour=HH of a flush time."""
-    keys = spark.range(1).select(*partition_keys(F.lit(flush_us))).first()
-    return "/".join(f"{name}={keys[name]}" for name in PARTITION_COLUMNS)
-
-
-def publish_batch(records: DataFrame, location: str, flush_us: int, batch: str, batch_size: int | None = None) -> None:
-    """Put a batch's records into the folder of its flush time, once however often it runs.
-
-    The files are written aside and then moved under names that begin with the batch's;
-    earlier files of the batch are replaced. With a fixed flush time per batch, a repeat
-    over the hour lands where the first try did.
-    """
-    spark = records.sparkSession
-    aside = f"{location}/_aside-{batch}"
-    rows = records.select(*PROFILE_SCHEMA.fieldNames()).hint("rebalance")
-    rows.write.mode("overwrite").option("maxRecordsPerFile", batch_size or 0).json(aside)
-    move_files(spark, aside, f"{location}/{folder_of(spark, flush_us)}", f"batch-{batch}-")
-    delete_path(spark, aside)
-
-
 def read_flush_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLUSH_LOG_SCHEMA).json(path)
 
@@ -151,7 +136,7 @@ class FallbackWriter:
     """``foreachBatch`` function: write a batch, and on failure keep it elsewhere.
 
     A batch's flush time is written down at its first try and used again by repeats, its
-    files are replaced, and a success removes what the fallback kept of it: every record
+    commit is replaced, and a success removes what the fallback kept of it: every record
     is in one place once. The batch is staged first, so only the store's failures count
     as such. Each flush has one row in the flush log.
     """

@@ -36,7 +36,7 @@ from profile_lake.schemas import (
     UNFINISHED,
 )
 from profile_lake.session import fixed_value, scratch_folder, stage
-from profile_lake.sinks.table import publish_batch
+from profile_lake.sinks.commits import publish_batch
 from profile_lake.sources.listing import decode_listings
 from profile_lake.sources.responses import fetch_outcome
 from profile_lake.streaming.attempts import WAIT_SECONDS, resolved_answers
