@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from profile_lake.functions.columns import partition_keys
 from profile_lake.operators import analytics, dedup, enrich, health, metrics, progress, records
+from profile_lake.operators.segments import SeenSegments
 from profile_lake.plans.collect import Collected, collect, collect_profiles
 from profile_lake.schemas import DEDUP, LISTING, MICROS, PARTITION_COLUMNS, RESPONSE_SCHEMA, UNFINISHED
 from profile_lake.session import scratch_path, stage
 from profile_lake.sinks import FallbackWriter, read_fallback, to_jsonl, write_profiles
+from profile_lake.sinks.commits import publish_batch
 from profile_lake.sources import (
     classify_response,
     decode_listings,
@@ -92,13 +94,13 @@ RUNS_SQL = f"{QUERY_LOG_SQL}, runs AS (SELECT {RECORD_SQL}, start_time_ms FROM q
 FINISHED_SQL = f"{QUERY_LOG_SQL}, fin AS (SELECT * FROM query_log WHERE state = 'FINISHED')"
 
 
-def ttl_sql(source: str) -> str:
+def ttl_sql(source: str, ttl_us: int = TTL_US) -> str:
     """Recursive CTE ``kept(query_id, at)`` over ``source(query_id, event_us)``."""
     return f"""kept AS (
   SELECT query_id, min(event_us) AS at FROM {source} GROUP BY query_id
   UNION ALL
   SELECT k.query_id, min(s.event_us) AS at FROM kept k JOIN {source} s
-    ON s.query_id = k.query_id AND s.event_us > k.at + {TTL_US} GROUP BY k.query_id)"""
+    ON s.query_id = k.query_id AND s.event_us > k.at + {ttl_us} GROUP BY k.query_id)"""
 
 
 FIRST_SQL = f"""{FINISHED_SQL}, {ttl_sql('fin')}, accepted AS (
@@ -308,6 +310,23 @@ def stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_profiles(spark, path).where("year = '2025' AND month = '01' AND hour = '14'")
 
 
+_FROM, _TO = "2024-01-08T00:00:00Z", "2024-01-22T00:00:00Z"
+
+
+@query(f"""WITH {FULL_SQL} SELECT * REPLACE (end_time AS ts) FROM full_records
+WHERE end_time >= '{_FROM}' AND end_time < '{_TO}'""")
+def profiles_of_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two weeks of a table committed in eight batches by time, one of them twice: the range of ``ts``
+    chooses the commits."""
+    path = scratch_path(spark, "committed")
+    dated = _full_records(spark, sf_dir).withColumn("ts", F.col("end_time"))
+    clock = F.unix_micros(F.to_timestamp("ts"))
+    for number, (part, high) in enumerate(turns_of(dated.withColumn("_at", clock), "_at", 8)):
+        for _ in range(2 if number == 3 else 1):
+            publish_batch(part.drop("_at"), path, high, str(number))
+    return read_profiles(spark, path, _FROM, _TO).drop(*PARTITION_COLUMNS)
+
+
 # --- sinks and encoding ------------------------------------------------------------
 
 
@@ -431,6 +450,18 @@ def merge_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WEEK_US = 7 * 86400 * MICROS
 
 
+@query(f"""WITH RECURSIVE {FINISHED_SQL}, {ttl_sql('fin', _WEEK_US)} SELECT query_id, max(at) AS first_seen_us
+FROM kept GROUP BY query_id HAVING max(at) >= (SELECT max(event_us) FROM fin) - {_WEEK_US}""")
+def segmented_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live seen set after five batches, each of which looked its own ids up and added what it accepted."""
+    state = SeenSegments(spark, scratch_path(spark, "segments"), _WEEK_US, kept=2)
+    version = -1
+    for version, (part, high) in enumerate(turns_of(_finished(spark, sf_dir), "event_us", 5)):
+        fresh = dedup.ttl_dedup(part, _WEEK_US, state.lookup(part, version - 1))
+        state.add(fresh.select("query_id", F.col("event_us").alias("first_seen_us")), version, high)
+    return state.whole(version)
+
+
 @query(f"""WITH {FINISHED_SQL}, every AS (
   SELECT query_id, min(event_us) AS first_seen_us FROM fin GROUP BY query_id)
 SELECT * FROM every WHERE first_seen_us >= {EARLIER_US - _WEEK_US}""")

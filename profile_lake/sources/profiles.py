@@ -33,12 +33,16 @@ def read_profiles(
     folders is widened by that.
     """
     rows = lines_read(spark, path, ts_from, ts_to).where(F.col("_unread").isNull()).drop("_unread")
-    if ts_from is None and ts_to is None:
+    if ts_from is not None:
+        rows = rows.where(F.col("ts") >= ts_from)
+    if ts_to is not None:
+        rows = rows.where(F.col("ts") < ts_to)
+    if (ts_from is None and ts_to is None) or has_commits(spark, path):
         return rows
     if ts_from is not None:
-        rows = rows.where((F.col("ts") >= ts_from) & (_hour() >= _hour_of(ts_from, 0)))
+        rows = rows.where(_hour() >= _hour_of(ts_from, 0))
     if ts_to is not None:
-        rows = rows.where((F.col("ts") < ts_to) & (_hour() <= _hour_of(ts_to, interval_seconds)))
+        rows = rows.where(_hour() <= _hour_of(ts_to, interval_seconds))
     return rows
 
 
