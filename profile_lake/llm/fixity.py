@@ -1,14 +1,19 @@
 """Merkle fixity audit of web archive replicas.
 
-Pages become WARC records in a fixed order, each with its index, offset and digest. A
-replica's records are hashed into a tree: a node covers an ordered offset range of
-16 ** level records, and its digest is that of its children's digests in order. Two
-replicas are compared from the root: only children of nodes that differ are looked at,
-down to the records.
-
-Null url or html: empty. A null page_id sorts first. Repeated rows are records of their
-own, ordered by digest. A record that one replica lacks counts as differing, with a null
-digest. Empty table: no nodes, empty result. Other columns are not read.
+Pages become WARC records in a fixed order, each with its index, offset and digest. A record's
+place in the tree does not depend on the replica: it is page_id and, among records of one
+page_id, the number in the order of their digests. A node covers an ordered offset range: up
+to 16 places of one page_id, or up to 16 values of page_id, level by level. Its digest is
+that of its children's places, offsets from the node's start, and digests, in order. So a
+record that one replica lacks moves the offsets of later records, but changes no node
+outside its own branch. Two replicas are compared from the top: only children of nodes that
+differ are looked at, down to the records.
+
+Null url or html: empty. Null page_id: sorts first, a branch of its own. Repeated rows are
+records of their own; among records of one page_id a lost one moves the later ones up, as
+nothing else tells them apart. What one replica lacks counts as differing, with null offsets
+and digest. Empty table: no nodes; beside another replica all of that one differs. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -39,16 +44,15 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def manifest(pages: DataFrame) -> DataFrame:
-    """Every page's record: record_index, record_offset, record_length, digest, and the page's columns.
+    """Every page's record: record_index, record_offset, record_length, digest, page_id, place.
 
-    Records are sorted by ranges of (page_id, digest); partition totals, a row per
-    partition, carry the running index and offset over.
+    Pages are hashed where they are scanned; digests and lengths alone are sorted, by ranges
+    of (page_id, digest). Partition totals, a row per partition, carry the running index and
+    offset over. ``place`` counts the records of one page_id.
     """
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
     made = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        "url",
-        "html",
         F.sha2(record, 256).alias("digest"),
         F.octet_length(record).cast("long").alias("record_length"),
     )
@@ -66,70 +70,108 @@ def manifest(pages: DataFrame) -> DataFrame:
         F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"),
     )
     own = W.partitionBy("part").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
-    return placed.withColumn("within", F.coalesce(F.sum("record_length").over(own), F.lit(0))).join(totals, "part").select(
+    within = F.coalesce(F.sum("record_length").over(own), F.lit(0))
+    numbered = placed.withColumn("within", within).join(totals, "part").select(
         (F.col("first") + F.col("place")).alias("record_index"),
         (F.col("begin") + F.col("within")).alias("record_offset"),
         "record_length",
         "digest",
         "page_id",
-        "url",
-        "html",
     )
+    numbered = stage(numbered, "numbered")
+    firsts = numbered.groupBy(F.col("page_id").alias("same_id")).agg(F.min("record_index").alias("first"))
+    return numbered.join(firsts, numbered["page_id"].eqNullSafe(firsts["same_id"])).select(
+        *numbered.columns, (F.col("record_index") - F.col("first")).alias("place")
+    )
+
+
+def depths(*manifests: DataFrame) -> tuple[int, int]:
+    """Levels that join places, then levels that join values of page_id, for trees that are compared."""
+    places = pages = 0
+    for records in manifests:
+        last, low, high = records.agg(F.max("place"), F.min("page_id"), F.max("page_id")).first()
+        places = max(places, _levels(0, last or 0))
+        pages = max(pages, _levels(low or 0, high or 0))
+    return places, pages
+
+
+def _levels(low: int, high: int) -> int:
+    """How often two numbers lose four bits until they are equal; one below zero never equals one above."""
+    levels = 0
+    while low != high and levels < 64 // FAN_OUT_BITS:
+        low, high, levels = low >> FAN_OUT_BITS, high >> FAN_OUT_BITS, levels + 1
+    return levels
 
 
-def tree(records: DataFrame) -> list[DataFrame]:
-    """Levels from the records to the root: node, start, end, digest.
+def _parent(level: int, places: int) -> list[Column]:
+    """Page and place of the node of ``level`` above a node of the level below."""
+    if level <= places:
+        return [F.col("page"), F.shiftright("place", FAN_OUT_BITS).alias("place")]
+    return [F.shiftright("page", FAN_OUT_BITS).alias("page"), F.col("place")]
 
-    Records: record_index, record_offset, record_length, digest. A node gathers at most 16
-    children, whatever the number of records.
+
+def tree(records: DataFrame, depth: tuple[int, int] | None = None) -> list[DataFrame]:
+    """Levels from the records to the top: page, place, start, end, digest.
+
+    Records: a manifest. ``depth``: what :func:`depths` gives for all replicas to be compared.
+    A node gathers at most 16 children, whatever the number of records.
     """
+    places, pages = depth or depths(records)
     level = records.select(
-        F.col("record_index").alias("node"),
+        F.col("page_id").alias("page"),
+        "place",
         F.col("record_offset").alias("start"),
         (F.col("record_offset") + F.col("record_length")).alias("end"),
         "digest",
     )
     levels = [stage(level, "fixity-0")]
-    largest = levels[0].agg(F.max("node")).first()[0] or 0
-    while largest > 0:
-        children = F.array_sort(F.collect_list(F.struct("node", "digest")))
-        joined = F.array_join(F.transform(children, lambda c: F.coalesce(c["digest"], F.lit("-"))), ",")
-        level = (
-            levels[-1]
-            .groupBy(F.shiftright("node", FAN_OUT_BITS).alias("parent"))
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sha2(joined, 256).alias("digest"))
-            .withColumnRenamed("parent", "node")
+    for number in range(1, places + pages + 1):
+        children = F.array_sort(F.collect_list(F.struct("child.page", "child.place", "child.start", "child.end", "child.digest")))
+        up = levels[-1].select(*_parent(number, places), F.struct("*").alias("child"))
+        nodes = up.groupBy("page", "place").agg(
+            F.min("child.start").alias("start"), F.max("child.end").alias("end"), children.alias("children")
+        )
+        lines = F.transform(
+            "children",
+            lambda c: F.concat_ws(":", c["page"], c["place"], c["start"] - F.col("start"), c["end"] - F.col("start"), c["digest"]),
         )
-        levels.append(stage(level, f"fixity-{len(levels)}"))
-        largest >>= FAN_OUT_BITS
+        nodes = nodes.select("page", "place", "start", "end", F.sha2(F.array_join(lines, ","), 256).alias("digest"))
+        levels.append(stage(nodes, f"fixity-{number}"))
     return levels
 
 
-def audit(left: list[DataFrame], right: list[DataFrame]) -> DataFrame:
-    """Nodes that differ at every level: level, node, start, end, digest, found_digest.
+def compare(left: DataFrame, right: DataFrame) -> DataFrame:
+    """What differs between the manifests of two replicas, see :func:`audit`."""
+    depth = depths(left, right)
+    return audit(tree(left, depth), tree(right, depth), depth)
+
+
+def audit(left: list[DataFrame], right: list[DataFrame], depth: tuple[int, int]) -> DataFrame:
+    """Nodes that differ at every level: level, page, place, start, end, digest, found_start, found_end, found_digest.
 
     Level 0 are the records. Only children of differing nodes are compared.
     """
     found, suspects = [], None
-    for number in range(max(len(left), len(right)) - 1, -1, -1):
-        one, two = (x[min(number, len(x) - 1)] for x in (left, right))
+    for number in range(len(left) - 1, -1, -1):
+        one, two = left[number], right[number]
         if suspects is not None:
-            parents = suspects.select(F.col("node").alias("parent"))
-            one, two = (
-                x.join(parents, F.shiftright(x["node"], FAN_OUT_BITS) == parents["parent"], "left_semi") for x in (one, two)
-            )
-        two = two.select("node", F.col("start").alias("other_start"), F.col("end").alias("other_end"), F.col("digest").alias("found_digest"))
-        differ = (
-            one.join(two, "node", "full")
-            .filter(~F.col("digest").eqNullSafe(F.col("found_digest")))
-            .select(
-                F.lit(number).alias("level"),
-                "node",
-                F.coalesce("start", "other_start").alias("start"),
-                F.coalesce("end", "other_end").alias("end"),
-                "digest",
-                "found_digest",
-            )
+            above = suspects.select(F.col("page").alias("above_page"), F.col("place").alias("above_place"))
+            page, place = _parent(number + 1, depth[0])
+            match = page.eqNullSafe(F.col("above_page")) & (place == F.col("above_place"))
+            one, two = (x.join(above, match, "left_semi") for x in (one, two))
+        two = two.select(*[F.col(c).alias(f"found_{c}") for c in ("page", "place", "start", "end", "digest")])
+        same = F.col("page").eqNullSafe(F.col("found_page")) & (F.col("place") == F.col("found_place"))
+        differ = one.join(two, same, "full").filter(~F.col("digest").eqNullSafe(F.col("found_digest")))
+        differ = differ.select(
+            F.lit(number).alias("level"),
+            F.coalesce("page", "found_page").alias("page"),
+            F.coalesce("place", "found_place").alias("place"),
+            "start",
+            "end",
+            "digest",
+            "found_start",
+            "found_end",
+            "found_digest",
         )
         suspects = stage(differ, "differing")
         found.append(suspects)

@@ -113,10 +113,15 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
   coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN found USING (doc_id)"""
 
-_FIXITY_LEVELS = 7
-_NODES = """SELECT node // 16 AS node, min(lo) AS lo, max(hi) AS hi,
-  sha256(string_agg(coalesce(digest, '-'), ',' ORDER BY node)) AS digest,
-  sha256(string_agg(coalesce(found, '-'), ',' ORDER BY node)) AS found FROM level_{} GROUP BY node // 16"""
+_FIXITY_LEVELS = 9
+# A level: places join while there is more than one, then values of page_id.
+_NODES = """SELECT side, page, place, min(lo) AS lo, max(hi) AS hi,
+  sha256(string_agg(concat_ws(':', child, spot, lo - first, hi - first, digest), ',' ORDER BY child NULLS FIRST, spot)) AS digest
+FROM (SELECT *, min(lo) OVER (PARTITION BY side, page, place) AS first
+  FROM (SELECT side, page AS child, place AS spot, lo, hi, digest,
+      CASE WHEN {level} <= places THEN page ELSE page >> 4 END AS page,
+      CASE WHEN {level} <= places THEN place >> 4 ELSE place END AS place FROM level_{below}, depth))
+GROUP BY side, page, place"""
 _FIXITY = f"""
 WITH pages_ AS (
   SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
@@ -124,18 +129,27 @@ WITH pages_ AS (
 versions AS (
   SELECT *, CASE WHEN starts_with(md5(id), '0') THEN '?' || html[2:] ELSE html END AS other FROM pages_),
 records AS (
-  SELECT page_id, id, octet_length(encode(html)) AS size, sha256(record) AS digest, octet_length(encode(record)) AS n,
-    CASE WHEN NOT starts_with(md5(id), '1f') THEN sha256(damaged) END AS found
-  FROM (SELECT *, {{record}} AS record, {{damaged}} AS damaged FROM versions)),
+  SELECT 'one' AS side, page_id, sha256(record) AS digest, octet_length(encode(record)) AS n
+  FROM (SELECT *, {{record}} AS record FROM versions)
+  UNION ALL
+  SELECT 'two', page_id, sha256(record), octet_length(encode(record))
+  FROM (SELECT *, {{damaged}} AS record FROM versions WHERE NOT starts_with(md5(id), '1f'))),
 level_0 AS (
-  SELECT row_number() OVER w - 1 AS node, sum(n) OVER w - n AS lo, sum(n) OVER w AS hi, digest, found
-  FROM records WINDOW w AS (ORDER BY page_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)),
-{", ".join(f"level_{n} AS ({_NODES.format(n - 1)})" for n in range(1, _FIXITY_LEVELS + 1))},
+  SELECT side, page_id AS page, row_number() OVER (PARTITION BY side, page_id ORDER BY digest) - 1 AS place,
+    (sum(n) OVER w - n)::BIGINT AS lo, (sum(n) OVER w)::BIGINT AS hi, digest
+  FROM records WINDOW w AS (PARTITION BY side ORDER BY page_id NULLS FIRST, digest ROWS UNBOUNDED PRECEDING)),
+depth AS MATERIALIZED (
+  SELECT (SELECT min(k) FROM range(17) r(k) WHERE (last >> (4 * k)) = 0) AS places,
+    (SELECT min(k) FROM range(17) r(k) WHERE (low >> (4 * k)) = (high >> (4 * k))) AS pages
+  FROM (SELECT max(place) AS last, min(page) AS low, max(page) AS high FROM level_0)),
+{", ".join(f"level_{n} AS MATERIALIZED ({_NODES.format(level=n, below=n - 1)})" for n in range(1, _FIXITY_LEVELS + 1))},
 every AS (
-{" UNION ALL ".join(f"SELECT {n} AS level, count(*) OVER () AS size, * FROM level_{n}" for n in range(_FIXITY_LEVELS + 1))}),
-top AS (SELECT min(level) AS level FROM every WHERE size = 1)
-SELECT level, node, lo::BIGINT AS "start", hi::BIGINT AS "end", digest, found AS found_digest
-FROM every WHERE digest IS DISTINCT FROM found AND level <= (SELECT level FROM top)"""
+{" UNION ALL ".join(f"SELECT {n} AS level, * FROM level_{n}" for n in range(_FIXITY_LEVELS + 1))})
+SELECT level, page, place, o.lo AS "start", o.hi AS "end", o.digest, t.lo AS found_start, t.hi AS found_end,
+  t.digest AS found_digest
+FROM (SELECT * FROM every WHERE side = 'one') o FULL JOIN (SELECT * FROM every WHERE side = 'two') t
+  USING (level, page, place)
+WHERE o.digest IS DISTINCT FROM t.digest AND level <= (SELECT places + pages FROM depth)"""
 
 
 def _record_sql(body: str) -> str:

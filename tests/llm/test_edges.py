@@ -178,25 +178,57 @@ def test_decode_gives_the_bytes_back(spark, awkward):
     assert got == {r.doc_id: (r.text or "").encode() for r in awkward.collect()}
 
 
+PAGES = "page_id long, url string, html string"
+
+
 def test_audit_finds_what_differs(spark):
-    pages = spark.createDataFrame([(i, f"u{i}", f"page {i}") for i in range(700)], "page_id long, url string, html string")
+    rows = [(i, f"u{i}", f"page {i}") for i in range(700)]
+    pages = spark.createDataFrame(rows, PAGES)
     records = fixity.manifest(pages)
-    other = records.withColumn("digest", F.when(F.col("page_id") == 300, "x").when(F.col("page_id") != 17, F.col("digest")))
-    left, right = fixity.tree(records), fixity.tree(other)
-    assert len(left) == 4 and fixity.audit(left, left).count() == 0
-    found = fixity.audit(left, right).collect()
-    assert sorted((r.level, r.node) for r in found) == [(0, 17), (0, 300), (1, 1), (1, 18), (2, 0), (2, 1), (3, 0)]
-    at = {r.record_index: (r.record_offset, r.record_length) for r in records.collect()}
-    assert {r.node: (r.start, r.end - r.start) for r in found if r.level == 0} == {n: at[n] for n in (17, 300)}
+    other = [(i, u, "x" if i == 300 else h) for i, u, h in rows if i != 17]
+    replica = fixity.manifest(spark.createDataFrame(other, PAGES))
+    assert fixity.compare(records, records).count() == 0
+    assert fixity.depths(records, replica) == (0, 3)
+    found = fixity.compare(records, replica).collect()
+    # Later records of the replica begin elsewhere, but only the branches of 17 and 300 differ.
+    assert sorted((r.level, r.page) for r in found) == [(0, 17), (0, 300), (1, 1), (1, 18), (2, 0), (2, 1), (3, 0)]
+    at = {r.page_id: (r.record_offset, r.record_length) for r in records.collect()}
+    moved = {r.page_id: (r.record_offset, r.record_length) for r in replica.collect()}
+    assert {r.page: (r.start, r.end - r.start) for r in found if r.level == 0} == {n: at[n] for n in (17, 300)}
+    lost, changed = sorted((r for r in found if r.level == 0), key=lambda r: r.page)
+    assert (lost.found_start, lost.found_end, lost.found_digest) == (None, None, None)
+    assert (changed.found_start, changed.found_end - changed.found_start) == moved[300]
     assert sum(n for _, n in at.values()) == max(a + n for a, n in at.values())
 
 
+def test_audit_sees_moved_boundaries(spark):
+    """Equal digests under other lengths make another node."""
+    records = fixity.manifest(spark.createDataFrame([(i, "u", "h") for i in range(3)], PAGES))
+    longer = records.withColumn("record_length", F.col("record_length") + 1)
+    assert [r.level for r in fixity.compare(records, longer).collect()] == [1]
+
+
 def test_audit_of_nothing_and_of_awkward_pages(spark):
-    schema = "page_id long, url string, html string"
-    none = fixity.tree(fixity.manifest(spark.createDataFrame([], schema)))
-    assert fixity.audit(none, none).count() == 0
-    rows = [(None, None, None), (1, "u", "h"), (1, "u", "h"), (1, "u", "other")]
-    records = fixity.manifest(spark.createDataFrame(rows, schema))
-    assert sorted(r.record_index for r in records.collect()) == [0, 1, 2, 3]
-    levels = fixity.tree(records)
-    assert fixity.audit(levels, levels).count() == 0
+    none = fixity.manifest(spark.createDataFrame([], PAGES))
+    assert fixity.compare(none, none).count() == 0
+    rows = [(None, None, None), (1, "u", "h"), (1, "u", "h"), (1, "u", "other"), (-5, "u", "h" * 100_000)]
+    clashing = PAGES + ", place long, part string, digest string"
+    records = fixity.manifest(spark.createDataFrame([(*r, 7, "p", "d") for r in rows], clashing))
+    placed = {(r.record_index, r.page_id, r.place) for r in records.collect()}
+    assert placed == {(0, None, 0), (1, -5, 0), (2, 1, 0), (3, 1, 1), (4, 1, 2)}
+    assert fixity.compare(records, records).count() == 0
+    alone = fixity.compare(records, none).collect()
+    assert sorted((r.page is None, r.page or 0, r.place) for r in alone if r.level == 0) == [
+        (False, -5, 0), (False, 1, 0), (False, 1, 1), (False, 1, 2), (True, 0, 0)
+    ]
+    assert all(r.found_digest is None and r.digest is not None for r in alone)
+
+
+def test_audit_of_a_page_with_many_records(spark):
+    rows = [(7, "u", f"version {n}") for n in range(300)] + [(8, "u", "h"), (None, "u", "h")]
+    records = fixity.manifest(spark.createDataFrame(rows, PAGES))
+    replica = fixity.manifest(spark.createDataFrame(rows[:-2] + [(8, "u", "x")], PAGES))
+    assert fixity.depths(records, replica) == (3, 1)
+    found = [(r.level, r.page, r.place) for r in fixity.compare(records, replica).collect()]
+    assert {f for f in found if f[0] == 0} == {(0, 8, 0), (0, None, 0)}
+    assert not any(page == 7 for _, page, _ in found)
