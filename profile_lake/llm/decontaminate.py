@@ -5,8 +5,9 @@ with a 64-bit hash each. Every window of every training text is hashed and looke
 words decide whether a hit is real. Each document also looks up its empty window, which
 is in the set, so documents without hits stay in the one pass over the texts.
 
-The set is broadcast only if its measured size is at most :data:`BROADCAST_BYTES`;
-beyond that Spark joins by shuffling the windows.
+The set is broadcast only if its measured size is at most :data:`BROADCAST_BYTES`. Beyond
+that the windows' hashes and places are shuffled, not the texts: each document meets what
+was found for it once, and is verified there.
 
 Null text: no words. Items without words are no items; a null item_id hits but is not
 listed. Repeated rows: each gets its result. Empty tables: no hits. Other columns and
@@ -83,13 +84,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     items = stage(item_windows(benchmark, window), "item-windows")
     measure = F.sum(F.length(F.array_join("item_words", " ")) + F.length(F.array_join("items", " ")) + 64)
     held, sizes = items.agg(measure, F.collect_set(F.size("item_words"))).first()  # a number and at most `window` sizes
-    wanted = _with_empty_window(items)
-    if (held or 0) <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
     keep = keep or [F.col("doc_id").cast("long").alias("doc_id")]
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), words_of(F.col("text")).alias("words")
     )
+    if (held or 0) > BROADCAST_BYTES:
+        return _shuffled(rows, items, sorted(sizes))
+    wanted = F.broadcast(_with_empty_window(items))
     empty = F.struct(
         F.lit(-1).alias("start"), F.lit(0).alias("size"), window_key(F.array().cast("array<string>")).alias("key")
     )
@@ -117,6 +118,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     )
 
 
+def _shuffled(rows: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """Result of :func:`contamination` for a set of windows that is not broadcast."""
+    rows = stage(rows, "numbered")  # the row numbers are used twice
+    places = F.concat(*[windows(F.col("words"), size) for size in sizes])
+    found = (
+        rows.select("row", F.explode(places).alias("w"))
+        .select("row", "w.start", "w.size", "w.key")
+        .join(items, "key")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("start", "size", "item_words", "items")).alias("found"))
+    )
+    real = F.filter("found", lambda h: F.slice("words", h["start"] + 1, h["size"]) == h["item_words"])
+    checked = rows.join(found, "row", "left").select("kept", "words", F.coalesce(real, F.array()).alias("hits"))
+    spans = F.transform("hits", lambda h: F.struct(h["start"].alias("start"), (h["start"] + h["size"]).alias("end")))
+    return checked.select(
+        "kept.*",
+        F.size("words").cast("long").alias("n_words"),
+        F.array_sort(F.array_distinct(spans)).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"),
+    )
+
+
 def covered_words(spans: Column) -> Column:
     """How many words the sorted spans cover together."""
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))

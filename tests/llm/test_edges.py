@@ -178,6 +178,23 @@ def test_decode_gives_the_bytes_back(spark, awkward):
     assert got == {r.doc_id: (r.text or "").encode() for r in awkward.collect()}
 
 
+def test_windows_are_shuffled_without_texts(spark, monkeypatch):
+    """Beyond the broadcast bound: long texts full of hits, and no exchange of words per window."""
+    words = [f"w{n}" for n in range(400)]
+    rows = [(1, " ".join(words * 5)), (2, "w1 w2 " * 2000), (3, None), (3, " ".join(words[5:14])), (None, " ".join(words[5:15]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = items(spark, [(1, " ".join(words)), (2, "w1 w2 w1"), (3, "w1 w2 " * 8)])
+    order = lambda df: sorted(map(repr, df.collect()))
+    want = order(decontaminate.contamination(docs, wanted))
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    got = decontaminate.contamination(docs, wanted)
+    assert order(got) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    exploded = [line for line in plan.splitlines() if "Generate explode" in line]
+    # The second of (row, words) goes no further than the explode.
+    assert len(exploded) == 1 and "[1], false, [w" in exploded[0]
+
+
 PAGES = "page_id long, url string, html string"
 
 
