@@ -450,8 +450,8 @@ def merge_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WEEK_US = 7 * 86400 * MICROS
 
 
-@query(f"""WITH RECURSIVE {FINISHED_SQL}, {ttl_sql('fin', _WEEK_US)} SELECT query_id, max(at) AS first_seen_us
-FROM kept GROUP BY query_id HAVING max(at) >= (SELECT max(event_us) FROM fin) - {_WEEK_US}""")
+@query(f"""WITH RECURSIVE {FINISHED_SQL}, {ttl_sql('fin', _WEEK_US)} SELECT query_id, max(k.at) AS first_seen_us
+FROM kept k GROUP BY query_id HAVING max(k.at) >= (SELECT max(event_us) FROM fin) - {_WEEK_US}""")
 def segmented_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live seen set after five batches, each of which looked its own ids up and added what it accepted."""
     state = SeenSegments(spark, scratch_path(spark, "segments"), _WEEK_US, kept=2)
