@@ -19,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from profile_lake.schemas import MICROS, RESPONSE_SCHEMA
 from profile_lake.sources.responses import REQUEST_KEYS, RETRYABLE, response_class
+from profile_lake.streaming.buckets import BUCKET, HeldRows, bucket, set_timer
 
 #: How long after a response other attempts of its request may still come.
 WAIT_SECONDS = 120
@@ -27,8 +28,22 @@ _FIELDS = [f.name for f in RESPONSE_SCHEMA if f.name not in REQUEST_KEYS]
 ANSWER_SCHEMA = T.StructType([*RESPONSE_SCHEMA, T.StructField("late", T.BooleanType())])
 
 
+#: A request as it is held: its key, its best attempt (nulls once it is decided), the attempts
+#: seen so far, the latest arrival, and whether it is decided.
+_HELD = T.StructType(
+    [
+        *[RESPONSE_SCHEMA[name] for name in REQUEST_KEYS],
+        *[RESPONSE_SCHEMA[name] for name in _FIELDS],
+        T.StructField("final", T.BooleanType()),
+        T.StructField("attempts", T.StringType()),
+        T.StructField("last_us", T.LongType()),
+        T.StructField("decided", T.BooleanType()),
+    ]
+)
+
+
 class _AttemptProcessor(StatefulProcessor):
-    """Holds the best attempt of a request and which attempts are known."""
+    """Holds the best attempt of a bucket's requests and which attempts are known."""
 
     def __init__(self, wait_us: int, in_order: bool) -> None:
         self.wait_us = wait_us
@@ -36,62 +51,75 @@ class _AttemptProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        held = [RESPONSE_SCHEMA[name] for name in _FIELDS] + [T.StructField("final", T.BooleanType())]
-        self.best = handle.getValueState("best", T.StructType(held))
-        # Attempts seen so far, the latest arrival, and whether the request is decided.
-        self.known = handle.getValueState(
-            "known",
-            T.StructType(
-                [
-                    T.StructField("attempts", T.StringType()),
-                    T.StructField("last_us", T.LongType()),
-                    T.StructField("decided", T.BooleanType()),
-                ]
-            ),
-        )
+        self.requests = HeldRows(handle, "requests", _HELD)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = [dict(zip([*_FIELDS, "final"], row)) for frame in rows for row in _tuples(frame)]
-        known = self.known.get() if self.known.exists() else None
-        if known is None:
-            # Nothing of the request is held: what the watermark has passed may contradict
-            # decisions that were made without it.
-            late = [r for r in fresh if r["finished_us"] < passed_us]
-            fresh = [r for r in fresh if r["finished_us"] >= passed_us]
-            attempts, last_us, decided = set(), 0, False
-            out = [(r, True) for r in _chosen(late)]
-        else:
-            attempts, last_us, decided = {int(a) for a in known[0].split(",")}, known[1], known[2]
-            out = []
-        if fresh:
-            attempts |= {r["attempt"] for r in fresh}
-            last_us = max(last_us, *(r["finished_us"] for r in fresh))
-            if not decided:
-                best = dict(zip([*_FIELDS, "final"], self.best.get())) if self.best.exists() else None
-                (best,) = _chosen([*fresh, best] if best else fresh)
-                complete = self.in_order or all(a in attempts for a in range(1, best["attempt"]))
-                decided = best["final"] and complete
-                if decided:
-                    out.append((best, False))
-                    self.best.clear()
-                else:
-                    self.best.update(tuple(best[name] for name in [*_FIELDS, "final"]))
-            self.known.update((",".join(map(str, sorted(attempts))), last_us, decided))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((last_us + self.wait_us) // 1000 + 1)
-        return _answers(key, out)
+        before = self.requests.read()
+        fresh: dict[tuple, list[dict]] = {}
+        for frame in rows:
+            for request, row in zip(_requests(frame), _tuples(frame)):
+                fresh.setdefault(request, []).append(dict(zip([*_FIELDS, "final"], row)))
+        yield from self._settled(before, fresh, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = [(dict(zip([*_FIELDS, "final"], self.best.get())), False)] if self.best.exists() else []
-        self.best.clear()
-        self.known.clear()
-        return _answers(key, out)
+        yield from self._settled(self.requests.read(), {}, timerValues)
 
     def close(self) -> None:
         pass
 
+    def _settled(self, before: list[tuple], fresh: dict[tuple, list[dict]], timerValues) -> Iterator[pd.DataFrame]:
+        """Decide what can be decided, return it, and forget requests whose wait is over."""
+        passed_ms = timerValues.getCurrentWatermarkInMs()
+        keys, fields = len(REQUEST_KEYS), len(REQUEST_KEYS) + len(_FIELDS) + 1
+        held = {row[:keys]: row for row in before}
+        out = []
+        for request, rows in fresh.items():
+            held_row, answers = self._attempted(held.get(request), rows, passed_ms * 1000)
+            out += [(request, *answer) for answer in answers]
+            if held_row is not None:
+                held[request] = (*request, *held_row)
+        kept = []
+        for request, row in held.items():
+            last_us, decided = row[-2:]
+            if (last_us + self.wait_us) // 1000 + 1 > passed_ms:
+                kept.append(row)
+            elif not decided:
+                out.append((request, dict(zip([*_FIELDS, "final"], row[keys:fields])), False))
+        self.requests.write(kept, before)
+        set_timer(self.handle, [row[-2] + self.wait_us for row in kept])
+        return _answers(out)
+
+    def _attempted(self, held: tuple | None, fresh: list[dict], passed_us: int) -> tuple[tuple | None, list]:
+        """What to hold of a request after some attempts of it, and the answers with whether they are late."""
+        names, out = [*_FIELDS, "final"], []
+        best, attempts, last_us, decided = None, set(), 0, False
+        if held is None:
+            # Nothing of the request is held: what the watermark has passed may contradict
+            # decisions that were made without it.
+            out = [(r, True) for r in _chosen([r for r in fresh if r["finished_us"] < passed_us])]
+            fresh = [r for r in fresh if r["finished_us"] >= passed_us]
+            if not fresh:
+                return None, out
+        else:
+            *values, known, last_us, decided = held[len(REQUEST_KEYS) :]
+            attempts = {int(a) for a in known.split(",")}
+            best = None if decided else dict(zip(names, values))
+        attempts |= {r["attempt"] for r in fresh}
+        last_us = max(last_us, *(r["finished_us"] for r in fresh))
+        if not decided:
+            (best,) = _chosen([*fresh, best] if best else fresh)
+            complete = self.in_order or all(a in attempts for a in range(1, best["attempt"]))
+            decided = best["final"] and complete
+            if decided:
+                out.append((best, False))
+        values = [None] * len(names) if decided else [best[name] for name in names]
+        return (*values, ",".join(map(str, sorted(attempts))), last_us, decided), out
+
+
+def _requests(frame: pd.DataFrame) -> Iterator[tuple]:
+    poll, *names = [frame[name].tolist() for name in REQUEST_KEYS]
+    return zip([None if pd.isna(p) else int(p) for p in poll], *names)
+
 
 def _tuples(frame: pd.DataFrame) -> Iterator[tuple]:
     columns = [frame[name].tolist() for name in [*_FIELDS, "final"]]
@@ -108,14 +136,14 @@ def _chosen(rows: list[dict]) -> list[dict]:
     return [least if least["final"] else {**least, "body": None}]
 
 
-def _answers(key: tuple, out: list[tuple[dict, bool]]) -> Iterator[pd.DataFrame]:
+def _answers(out: list[tuple[tuple, dict, bool]]) -> Iterator[pd.DataFrame]:
     if not out:
         return iter(())
-    columns = {name: [k] * len(out) for name, k in zip(REQUEST_KEYS, key)}
+    columns = dict(zip(REQUEST_KEYS, zip(*[request for request, _, _ in out])))
     for name in _FIELDS:
-        columns[name] = [r[name] for r, _ in out]
-    frame = pd.DataFrame({**columns, "late": [late for _, late in out]})[ANSWER_SCHEMA.fieldNames()]
-    return iter([frame.astype({"status": "Int32"})])
+        columns[name] = [r[name] for _, r, _ in out]
+    frame = pd.DataFrame({**{k: list(v) for k, v in columns.items()}, "late": [late for _, _, late in out]})
+    return iter([frame[ANSWER_SCHEMA.fieldNames()].astype({"poll_id": "Int64", "status": "Int32"})])
 
 
 def resolved_answers(
@@ -134,8 +162,8 @@ def resolved_answers(
     # The processor sees late rows only if no watermarked column goes in.
     final = (response_class() != RETRYABLE).alias("final")
     keys = [F.coalesce(k, F.lit("")).alias(k) if k in ("query_id", "fe_host", "endpoint") else F.col(k) for k in REQUEST_KEYS]
-    plain = marked.select(*keys, *_FIELDS, final)
-    return plain.groupBy(*REQUEST_KEYS).transformWithStateInPandas(
+    plain = marked.select(*keys, *_FIELDS, final).withColumn(BUCKET, bucket(*REQUEST_KEYS))
+    return plain.groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=_AttemptProcessor(wait_seconds * MICROS, in_order),
         outputStructType=ANSWER_SCHEMA,
         outputMode="Append",

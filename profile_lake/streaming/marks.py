@@ -44,6 +44,4 @@ def read_seen(spark: SparkSession, checkpoint: str) -> DataFrame:
     """seen(query_id, first_seen_us): the last accepted instant of every id still inside its TTL,
     from the state of a checkpoint of :func:`outcomes.tagged_outcomes`."""
     state = spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "last").load(checkpoint)
-    return state.select(
-        F.substring("key.key", 2, 1 << 30).alias("query_id"), F.col("value.at").alias("first_seen_us")
-    )
+    return state.select("list_element.query_id", F.col("list_element.at").alias("first_seen_us"))

@@ -2,7 +2,7 @@
 
 Responses pass two stateful operators. The first decides requests (:mod:`attempts`). Its
 answers become one flow of rows: listed rows, fetch answers, and rows that need no state.
-The second operator is keyed by query id. It applies the TTL rule, brings accepted rows
+The second operator takes ids by bucket. It applies the TTL rule, brings accepted rows
 and fetch answers together and returns every listed row once, tagged with its outcome;
 unreadable bodies come out as dead letters. Nothing is dropped: rows of answers that come
 after the watermark are tagged `late`.
@@ -40,6 +40,7 @@ from profile_lake.sinks.commits import publish_batch
 from profile_lake.sources.listing import decode_listings
 from profile_lake.sources.responses import fetch_outcome
 from profile_lake.streaming.attempts import WAIT_SECONDS, resolved_answers
+from profile_lake.streaming.buckets import BUCKET, HeldRows, LastAccepted, bucket, set_timer
 from profile_lake.streaming.dedup import use_rocksdb
 
 #: Rows of an answer that came after the watermark, and dead letters.
@@ -69,8 +70,12 @@ TAGGED_SCHEMA = T.StructType(
 )
 
 
+_WAITING = _fields(["query_id", *_ROW, "accepted"])
+_FETCHES = _fields(["query_id", "poll_id", "fe_host", "reason", "profile_text", "finished_us"])
+
+
 class _OutcomeProcessor(StatefulProcessor):
-    """One id's undecided and open rows, its fetch answers and its last accepted instant.
+    """A bucket of ids: their undecided and open rows, fetch answers and last accepted instants.
 
     ``hold_us`` is how long an answer may have been held before it got here.
     """
@@ -83,96 +88,83 @@ class _OutcomeProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        long = T.StructType([T.StructField("at", T.LongType())])
-        self.last = handle.getValueState("last", long)
-        self.waiting = handle.getMapState("waiting", _fields(_ORDER), _fields([*_REST, "accepted"]))
-        self.fetches = handle.getMapState(
-            "fetches", _fields(["poll_id", "fe_host"]), _fields(["reason", "profile_text", "finished_us"])
-        )
+        self.last = LastAccepted(handle)
+        self.waiting = HeldRows(handle, "waiting", _WAITING)
+        self.fetches = HeldRows(handle, "fetches", _FETCHES)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        at = int(initialState["first_seen_us"].max())
-        self.last.update((at,))
-        self.handle.registerTimer(self._expiry(at))
+        set_timer(self.handle, [self.last.begin(initialState) + self.ttl_us + self.hold_us])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        listed, answered = [], []
         for frame in rows:
             passing = frame[frame["kind"] == "pass"]
             if len(passing):
                 yield _tagged(passing.assign(outcome=passing["reason"]))
             for r in _dicts(frame[frame["kind"] == "fetch"]):
-                self.fetches.updateValue(
-                    (r["poll_id"], r["fe_host"]), (r["reason"], r["profile_text"], r["finished_us"])
-                )
+                answered.append(tuple(r[c] for c in _FETCHES.fieldNames()))
             for r in _dicts(frame[frame["kind"] == "row"]):
-                self.waiting.updateValue(tuple(r[c] for c in _ORDER), (*[r[c] for c in _REST], None))
-        if str(key[0]).startswith("q"):
-            yield from self._settled(key, timerValues)
+                listed.append((r["query_id"], *[r[c] for c in _ROW], None))
+        yield from self._settled(listed, answered, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settled(key, timerValues)
+        yield from self._settled([], [], timerValues)
 
     def close(self) -> None:
         pass
 
-    def _expiry(self, at_us: int) -> int:
-        return (at_us + self.ttl_us + self.hold_us) // 1000 + 1
-
-    def _settled(self, key, timerValues) -> Iterator[pd.DataFrame]:
+    def _settled(self, listed: list[tuple], answered: list[tuple], timerValues) -> Iterator[pd.DataFrame]:
         """Decide what can be decided, return it, and set the next timer."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000 - self.hold_us
-        last = self.last.get()[0] if self.last.exists() else None
-        fetches = {tuple(k): tuple(v) for k, v in self.fetches.iterator()}
-        out, wake, used = [], [], set()
-        for place, rest in sorted((tuple(k), tuple(v)) for k, v in self.waiting.iterator()):
-            at, poll = place[0], (place[3], place[2])
+        last, before, answers = self.last.read(), self.waiting.read(), self.fetches.read()
+        cut = len(_ORDER) + 1
+        # One row per id and place and one answer per id and poll, the latest.
+        waiting = {row[:cut]: row[cut:] for row in [*before, *listed]}
+        fetches = {row[:3]: row[3:] for row in [*answers, *answered]}
+        out, left, wake, used = [], [], [], set()
+        for (query_id, *place), rest in sorted(waiting.items(), key=lambda row: row[0]):
+            at, poll = place[0], (query_id, place[3], place[2])
             accepted = rest[-1] is not None
             if not accepted:
-                if last is not None and at - last <= self.ttl_us:
-                    out.append((place, rest, DEDUP, None))
-                    self.waiting.removeKey(place)
+                if query_id in last and at - last[query_id] <= self.ttl_us:
+                    out.append((query_id, place, rest, DEDUP, None))
                     continue
                 if not (self.in_order or at < passed):
+                    left.append((query_id, *place, *rest))
                     wake.append(at + self.hold_us)
                     continue
-                last = at
+                last[query_id] = at
             if poll in fetches:
                 reason, text, _ = fetches[poll]
-                out.append((place, rest, COLLECTED if reason is None else reason, text))
+                out.append((query_id, place, rest, COLLECTED if reason is None else reason, text))
                 used.add(poll)
-                self.waiting.removeKey(place)
             elif at + self.fetch_us < passed:
-                out.append((place, rest, FETCH_ERROR, None))
-                self.waiting.removeKey(place)
+                out.append((query_id, place, rest, FETCH_ERROR, None))
             else:
-                if not accepted:
-                    self.waiting.updateValue(place, (*rest[:-1], "yes"))
+                left.append((query_id, *place, *rest[:-1], "yes"))
                 wake.append(at + self.fetch_us + self.hold_us)
-        for poll, (_, _, at) in fetches.items():
-            # A fetch answer that is taken, or whose listing can no longer come, is done with.
-            if poll in used or at + self.fetch_us < passed:
-                self.fetches.removeKey(poll)
-            else:
-                wake.append(at + self.fetch_us + self.hold_us)
-        if last is not None:
-            if last + self.ttl_us < passed:
-                self.last.clear()
-            else:
-                self.last.update((last,))
-                wake.append(last + self.ttl_us + self.hold_us)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if wake:
-            self.handle.registerTimer(min(wake) // 1000 + 1)
+        # A fetch answer that is taken, or whose listing can no longer come, is done with.
+        open_answers = [
+            (*poll, *answer)
+            for poll, answer in fetches.items()
+            if poll not in used and answer[-1] + self.fetch_us >= passed
+        ]
+        wake += [answer[-1] + self.fetch_us + self.hold_us for answer in open_answers]
+        last = {q: at for q, at in last.items() if at + self.ttl_us >= passed}
+        wake += [at + self.ttl_us + self.hold_us for at in last.values()]
+        self.last.write(last)
+        self.waiting.write(left, before)
+        self.fetches.write(open_answers, answers)
+        set_timer(self.handle, wake)
         if out:
-            columns = dict(zip(_ORDER, zip(*[o[0] for o in out])))
-            columns.update(zip(_REST, zip(*[o[1][:-1] for o in out])))
+            columns = dict(zip(_ORDER, zip(*[o[1] for o in out])))
+            columns.update(zip(_REST, zip(*[o[2][:-1] for o in out])))
             frame = pd.DataFrame({k: list(v) for k, v in columns.items()})
             yield _tagged(
                 frame.assign(
-                    outcome=[o[2] for o in out],
-                    query_id=str(key[0])[1:],
-                    profile_text=[o[3] for o in out],
+                    outcome=[o[3] for o in out],
+                    query_id=[o[0] for o in out],
+                    profile_text=[o[4] for o in out],
                     endpoint=LISTING,
                     body=None,
                 )
@@ -192,7 +184,7 @@ def _tagged(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _flow(answers: DataFrame, progress: DataFrame | None) -> DataFrame:
-    """Decided answers as rows for the second operator, with their key.
+    """Decided answers as rows for the second operator, with their bucket.
 
     ``kind`` is row, fetch or pass; ``reason`` a fetch's skip reason, or the outcome of a row
     that passes.
@@ -241,10 +233,8 @@ def _flow(answers: DataFrame, progress: DataFrame | None) -> DataFrame:
         F.col("listing_body").alias("body"),
     ).where("kind IS NOT NULL")
     # Rows that pass are dealt by poll: unfinished ones have no id, or one that repeats.
-    key = F.when(F.col("kind") == "pass", F.concat_ws("|", F.lit("p"), "fe_host", "poll_id")).otherwise(
-        F.concat(F.lit("q"), "query_id")
-    )
-    return flow.withColumn("key", key)
+    dealt = F.when(F.col("kind") == "pass", bucket("fe_host", "poll_id")).otherwise(bucket("query_id"))
+    return flow.withColumn(BUCKET, dealt)
 
 
 def tagged_outcomes(
@@ -268,10 +258,10 @@ def tagged_outcomes(
     hold_us = 2 * wait_seconds * MICROS  # an answer waits that long after it, its attempts being a wait apart
     initial = None
     if seen is not None:
-        initial = seen.select(F.concat(F.lit("q"), "query_id").alias("key"), "first_seen_us").groupBy("key")
+        initial = seen.select(bucket("query_id"), "query_id", "first_seen_us").groupBy(BUCKET)
     return (
         _flow(answers, progress)
-        .groupBy("key")
+        .groupBy(BUCKET)
         .transformWithStateInPandas(
             statefulProcessor=_OutcomeProcessor(ttl_us, fetch_seconds * MICROS, hold_us, in_order),
             outputStructType=TAGGED_SCHEMA,
