@@ -101,11 +101,11 @@ def latest_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def drain_poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the sample poll log through :func:`poll_counts`, a file per micro-batch."""
+    """Run the sample poll log through :func:`poll_counts`, a turn per micro-batch."""
     polls = tables.poll_attempts(spark, sf_dir)
     landed = scratch_path(spark, "landed")
-    land_in_turns(polls, "poll_us", landed)
-    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    files = land_in_turns(polls, "poll_us", landed)
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", files).parquet(landed)
     counts = poll_counts(stream).select(
         micros_to_ntz(F.unix_micros("interval.start")).cast("string").alias("window_start"),
         "fe_host",
@@ -116,11 +116,11 @@ def drain_poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drain_interval_counts(outcomes: DataFrame) -> DataFrame:
-    """Run (fe_host, event_us, outcome) through :func:`interval_counts`, a file per micro-batch."""
+    """Run (fe_host, event_us, outcome) through :func:`interval_counts`, a turn per micro-batch."""
     spark = outcomes.sparkSession
     landed = scratch_path(spark, "landed")
-    land_in_turns(outcomes, "event_us", landed)
-    stream = spark.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    files = land_in_turns(outcomes, "event_us", landed)
+    stream = spark.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", files).parquet(landed)
     counts = interval_counts(stream.withColumn("event_ts", F.timestamp_micros("event_us"))).select(
         micros_to_ntz(F.unix_micros("interval.start")).cast("string").alias("window_start"),
         "fe_host",
