@@ -6,8 +6,8 @@ accepted instant suppresses is dropped as it comes. Rows the watermark has passe
 they come are decided by what is known then: suppressed if an accepted instant is not
 before them or at most a TTL before, else accepted.
 
-State of an id: its undecided rows, of one instant only the least, and its last accepted
-instant until the TTL is over.
+State of an id, held with the others of its bucket: its undecided rows, of one instant only
+the least, and its last accepted instant until the TTL is over.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from profile_lake.streaming.buckets import BUCKET, HeldRows, LastAccepted, bucket, open_rows, set_timer
+
 
 class _OrderedTtlProcessor(StatefulProcessor):
     def __init__(self, ttl_us: int, order: Sequence[str], schema: T.StructType) -> None:
@@ -29,66 +31,56 @@ class _OrderedTtlProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        at = T.StructType([T.StructField("at", T.LongType())])
-        self.last = handle.getValueState("last", at)
-        held = T.StructType([f for f in self.schema if f.name != "query_id"])
-        self.waiting = handle.getMapState("waiting", at, held)
-        self.names = held.fieldNames()
-        self.ties = [self.names.index(c) for c in self.order]
+        self.last = LastAccepted(handle)
+        self.waiting = HeldRows(handle, "waiting", self.schema)
+        self.names = self.schema.fieldNames()
+        self.at = self.names.index(self.order[0])
+        self.id = self.names.index("query_id")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        at = int(initialState["first_seen_us"].max())
-        self.last.update((at,))
-        self.handle.registerTimer((at + self.ttl_us) // 1000 + 1)
+        set_timer(self.handle, [self.last.begin(initialState) + self.ttl_us])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
+        last, before = self.last.read(), self.waiting.read()
+        held = pd.DataFrame(before, columns=self.names) if before else None
         for frame in rows:
-            if last is not None:
-                frame = frame[frame[self.order[0]] - last > self.ttl_us]
-            least = frame.sort_values(self.order).drop_duplicates(self.order[0])
-            for row in least[self.names].astype(object).itertuples(index=False, name=None):
-                at = (int(row[self.ties[0]]),)
-                known = self.waiting.getValue(at) if self.waiting.containsKey(at) else None
-                if known is None or self._rank(row) < self._rank(known):
-                    self.waiting.updateValue(at, row)
-        yield from self._decided(key, timerValues)
+            frame = open_rows(frame[self.names], self.order[0], last, self.ttl_us)
+            if frame.empty:
+                continue
+            both = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            held = both.sort_values(["query_id", *self.order], ignore_index=True).drop_duplicates(
+                ["query_id", self.order[0]], ignore_index=True
+            )
+        waiting = [] if held is None else list(held.astype(object).itertuples(index=False, name=None))
+        yield from self._decided(waiting, before, last, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._decided(key, timerValues)
+        before = self.waiting.read()
+        yield from self._decided(before, before, self.last.read(), timerValues)
 
     def close(self) -> None:
         pass
 
-    def _rank(self, row: tuple) -> tuple:
-        return tuple(row[i] for i in self.ties)
-
-    def _decided(self, key, timerValues) -> Iterator[pd.DataFrame]:
+    def _decided(self, waiting: list[tuple], before: list[tuple], last: dict, timerValues) -> Iterator[pd.DataFrame]:
+        """Decide what can be decided of ``waiting``, which is in order of time by id."""
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        last = self.last.get()[0] if self.last.exists() else None
-        out, wake = [], []
-        for (at,), row in sorted((tuple(k), tuple(v)) for k, v in self.waiting.iterator()):
-            if last is not None and at - last <= self.ttl_us:
-                self.waiting.removeKey((at,))
-            elif at < passed:
+        out, left, wake = [], [], []
+        for row in waiting:
+            query_id, at = row[self.id], int(row[self.at])
+            if query_id in last and at - last[query_id] <= self.ttl_us:
+                continue
+            if at < passed:
                 out.append(row)
-                last = at
-                self.waiting.removeKey((at,))
+                last[query_id] = at
             else:
+                left.append(row)
                 wake.append(at)
-        if last is not None:
-            if last + self.ttl_us < passed:
-                self.last.clear()
-            else:
-                self.last.update((last,))
-                wake.append(last + self.ttl_us)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if wake:
-            self.handle.registerTimer(min(wake) // 1000 + 1)
+        last = {q: at for q, at in last.items() if at + self.ttl_us >= passed}
+        self.last.write(last)
+        self.waiting.write(left, before)
+        set_timer(self.handle, [*wake, *[at + self.ttl_us for at in last.values()]])
         if out:
-            frame = pd.DataFrame(out, columns=self.names).assign(query_id=key[0])
-            yield frame[self.schema.fieldNames()]
+            yield pd.DataFrame(out, columns=self.names)
 
 
 def ordered_ttl(
@@ -108,8 +100,10 @@ def ordered_ttl(
     clock = F.timestamp_micros(order[0]).alias("_clock")
     # The processor sees every row only if no watermarked column goes in.
     plain = rows.select("*", clock).withWatermark("_clock", lateness).select(*schema.fieldNames())
-    initial = None if seen is None else seen.select("query_id", "first_seen_us").groupBy("query_id")
-    return plain.groupBy("query_id").transformWithStateInPandas(
+    initial = None
+    if seen is not None:
+        initial = seen.select(bucket("query_id"), "query_id", "first_seen_us").groupBy(BUCKET)
+    return plain.withColumn(BUCKET, bucket("query_id")).groupBy(BUCKET).transformWithStateInPandas(
         statefulProcessor=_OrderedTtlProcessor(ttl_us, order, schema),
         outputStructType=schema,
         outputMode="Append",
