@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from profile_lake.functions.columns import partition_keys
 from profile_lake.schemas import MICROS, PARTITION_COLUMNS, PROFILE_SCHEMA
 from profile_lake.session import delete_path, fixed_value, scratch_folder, stage
-from profile_lake.sinks.commits import has_commits, publish_batch
+from profile_lake.sinks.commits import REBALANCE_BY, has_commits, publish_batch
 from profile_lake.sinks.jsonl import to_jsonl
 
 FLUSH_LOG_SCHEMA = (
@@ -90,21 +90,29 @@ def write_profiles(
     flush_us: int,
     batch_size: int | None = None,
     even_files: bool = True,
+    compression: str | None = None,
 ) -> None:
     """Append records under the folder of ``flush_us``.
 
     ``even_files`` spends a shuffle so that files have the size Spark aims at, however
-    many small tasks made the records. Without it each task writes its own file.
+    many small tasks made the records; Spark splits what an id crowds. Without it each task
+    writes its own file. ``compression`` names a codec for the files; readers need not know it.
     ``batch_size`` limits the records of a file. Into a table with a commit log the records
     go as a batch of their own.
     """
     if has_commits(records.sparkSession, path):
-        publish_batch(records, path, flush_us, f"append-{uuid.uuid4().hex[:12]}", batch_size)
+        publish_batch(records, path, flush_us, f"append-{uuid.uuid4().hex[:12]}", batch_size, compression)
         return
     rows = with_partitions(records, flush_us)
     if even_files:
-        rows = rows.hint("rebalance")
-    rows.write.partitionBy(*PARTITION_COLUMNS).mode("append").option("maxRecordsPerFile", batch_size or 0).json(path)
+        rows = rows.hint("rebalance", REBALANCE_BY)
+    (
+        rows.write.partitionBy(*PARTITION_COLUMNS)
+        .mode("append")
+        .option("compression", compression or "none")
+        .option("maxRecordsPerFile", batch_size or 0)
+        .json(path)
+    )
 
 
 def print_lines(records: DataFrame) -> None:
@@ -148,12 +156,14 @@ class FallbackWriter:
         log_path: str,
         clock_us: Callable[[], int] = lambda: int(time.time() * MICROS),
         batch_size: int | None = None,
+        compression: str | None = None,
     ) -> None:
         self.location = location
         self.fallback_path = fallback_path
         self.log_path = log_path
         self.clock_us = clock_us
         self.batch_size = batch_size
+        self.compression = compression
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -165,10 +175,10 @@ class FallbackWriter:
             records = stage(counted, "flush")
             entries, size = counts()
             try:
-                publish_batch(records, self.location, flush_us, str(batch_id), self.batch_size)
+                publish_batch(records, self.location, flush_us, str(batch_id), self.batch_size, self.compression)
                 status = "success"
             except Exception:  # any failure of the store: the records must survive
-                records.write.mode("overwrite").json(kept)
+                records.write.mode("overwrite").option("compression", self.compression or "none").json(kept)
                 status, size = "error", 0
             else:
                 delete_path(spark, kept)
