@@ -5,11 +5,12 @@ BPE, which adds the space itself) cover the same bytes. Where tokens of both end
 ends, and its last two tokens are linked. A pair's count is its number of links in the
 whole corpus.
 
-Pass one aligns the texts and sums links by pair within each task. The distinct pairs are
-dealt to segments of bounded size and numbered by a minimal perfect hash
+Pass one encodes and aligns the texts, once: their tokens are staged with a mark where groups
+end (:class:`Codes`). Links are read from there and summed by pair within each task. The
+distinct pairs are dealt to segments of bounded size and numbered by a minimal perfect hash
 (:mod:`pair_table`). Per segment and branch (sixteen branches of tasks) the counts become a
 dense vector indexed by that number; vectors are added up in a tree, four at a time. Pass
-two aligns the texts again and looks the counts up, each key verified. It gets at most
+two reads the staged tokens again and looks the counts up, each key verified. It gets at most
 :data:`TABLE_PAIRS` pairs at once, a bounded broadcast; with more pairs than that, links
 are staged and filled in by one round for each such part of the table.
 
@@ -32,6 +33,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -41,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profile_lake.llm.batches import bound_batches, map_texts, slices
+from profile_lake.llm.batches import bound_batches, give_back, map_texts, per_text, slices, text_bytes
 from profile_lake.llm.pair_table import SPREAD_BITS, PairTable, Segment, build, spread
 from profile_lake.session import stage
 
@@ -50,7 +52,7 @@ TABLE_PAIRS = 1 << 21
 BRANCHES, FAN_IN = 16, 4
 #: Plain pieces B encodes at once: its time grows faster than a text's length.
 JOINED_PIECES = 64
-#: Bytes of texts whose pieces are encoded together.
+#: Bytes of texts whose pieces are encoded together, and of staged tokens read together.
 SLICE_BYTES = 1 << 21
 #: Pairs a task adds up before it sends them.
 HELD_PAIRS = 1 << 19
@@ -80,8 +82,52 @@ def _is_plain(piece: str) -> bool:
     return _PLAIN.fullmatch(piece) is not None
 
 
+@dataclass(frozen=True)
+class Codes:
+    """Tokens as 32-bit numbers that also tell where groups end.
+
+    A text's tokens stand group by group, those of A first. Id a of A is 2a, the last of its
+    group 2a + 1. Ids of B follow all of A's: 3b, the last of its group 3b + 1, the last of
+    its text 3b + 2.
+    """
+
+    n_a: int
+    n_b: int
+
+    def of_a(self, codes: np.ndarray) -> np.ndarray:
+        return codes < 2 * self.n_a
+
+    def pairs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the groups' last codes, and the pairs linked there."""
+        of_a, of_b = _ends(self.n_a, self.n_b)
+        at = np.flatnonzero(of_b[codes])
+        a, b = codes[of_a[codes]].astype(np.int64) >> 1, (codes[at].astype(np.int64) - 2 * self.n_a) // 3
+        return at, a * self.n_b + b
+
+    def groups(self, codes: np.ndarray, begin: np.ndarray) -> pa.Array:
+        """Every text's groups as text."""
+        printed = _printed(self.n_a, self.n_b).take(pa.array(codes))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(begin, pa.int32()), printed), "")
+
+
+@lru_cache(maxsize=1)
+def _ends(n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every code, whether it ends a group's tokens of A, and whether those of B."""
+    of_a, of_b = np.zeros((2, 2 * n_a + 3 * n_b), bool)
+    of_a[1 : 2 * n_a : 2] = True
+    of_b[2 * n_a :] = np.arange(3 * n_b) % 3 > 0
+    return of_a, of_b
+
+
+@lru_cache(maxsize=1)
+def _printed(n_a: int, n_b: int) -> pa.Array:
+    """Every code as it is written in groups."""
+    of_a, of_b = [(i, e) for i in range(n_a) for e in ",|"], [(i, e) for i in range(n_b) for e in (",", ";", "")]
+    return pa.array([f"{i}{end}" for i, end in of_a + of_b])
+
+
 class Encoded:
-    """Distinct pieces of a slice, aligned: flat arrays, and where each piece's part begins.
+    """Distinct pieces of a slice, aligned: all their codes, and where each piece's begin.
 
     ``right`` says of which pieces the tokens spell the piece; the others have none.
     """
@@ -91,29 +137,17 @@ class Encoded:
         a_end = np.cumsum(aligner.a_size[a_ids])
         b_end = np.cumsum(aligner.b_size[b_ids])
         at = np.searchsorted(b_end, a_end)
-        together = np.flatnonzero(b_end[at] == a_end) if len(a_end) else at
-        self.right, self.ids = right, (a_ids, b_ids)
-        self.last_a, self.last_b = together, at[together]
-        self.pairs = a_ids[self.last_a] * aligner.n_b + b_ids[self.last_b]
-        self.first_a, self.first_b, self.first = (
-            np.concatenate([[0], np.searchsorted(e, ends, "right")]) for e in (a_end, b_end, a_end[together])
-        )
-
-    def groups(self, aligner: Aligner) -> list[str]:
-        """Every piece's groups as text."""
-        a_ids, b_ids = self.ids
-        n_a, n_b = len(a_ids), len(b_ids)
-        ends_a, ends_b, ends_piece = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64), self.first[1:][self.right] - 1
-        ends_a[self.last_a] = 1
-        ends_b[self.last_b] = 1
-        ends_b[self.last_b[ends_piece]] = 2
+        together = b_end[at] == a_end if len(a_end) else np.zeros(0, bool)
+        n_a, n_b, last_b = len(a_ids), len(b_ids), at[together]
+        ends_a, ends_b = together.astype(np.int64), np.zeros(n_b, np.int64)
+        ends_b[last_b] = 1
         # A group's tokens of A, then those of B.
-        of_a, of_b = np.searchsorted(self.last_a, np.arange(n_a)), np.searchsorted(self.last_b, np.arange(n_b))
-        codes = np.empty(n_a + n_b, np.int64)
-        codes[np.arange(n_a) + np.concatenate([[0], self.last_b + 1])[of_a]] = 2 * a_ids + ends_a
-        codes[np.arange(n_b) + (self.last_a + 1)[of_b]] = 2 * len(aligner.a_bytes) + 3 * b_ids + ends_b
-        found = iter("".join(map(aligner.printed.__getitem__, codes.tolist())).split("\n"))
-        return [next(found) if ok else "" for ok in self.right.tolist()]
+        group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+        codes = np.empty(n_a + n_b, np.int32)
+        codes[np.arange(n_a) + np.concatenate([[0], last_b + 1])[group_a]] = 2 * a_ids + ends_a
+        codes[np.arange(n_b) + (np.flatnonzero(together) + 1)[group_b]] = 2 * aligner.codes.n_a + 3 * b_ids + ends_b
+        self.right, self.codes = right, codes
+        self.first = sum(np.concatenate([[0], np.searchsorted(e, ends, "right")]) for e in (a_end, b_end))
 
 
 class Aligner:
@@ -139,9 +173,7 @@ class Aligner:
         ]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.cuts = not any(re.search("[^▁]▁", n) for n in names)
-        self.n_b = len(names)
-        self.printed = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in ",|"]
-        self.printed += [f"{i}{end}" for i in range(self.n_b) for end in ",;\n"]
+        self.codes = Codes(len(self.a_bytes), len(names))
         self.quick = self._ranked(model, a_pattern)
 
     def _ranked(self, model: dict, pattern: str | None):
@@ -198,10 +230,10 @@ class Aligner:
         sizes[place] = pc.binary_length(pa.array(pieces, pa.string())).to_numpy()
         return place, Encoded(a_ids, b_ids, sizes, right, self)
 
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, Encoded]:
-        """Of a slice: its pieces' places in the encoded ones, where each text's begin, and these.
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All codes of a slice, and where each text's begin.
 
-        Texts whose tokens do not spell them have no pieces.
+        Texts whose tokens do not spell them have none.
         """
         read, first = [], [0]
         for text in texts:
@@ -218,7 +250,12 @@ class Aligner:
             good = np.bincount(text_of[wrong], minlength=len(texts)) == 0
             order = order[good[text_of]]
             first = np.concatenate([[0], np.cumsum(np.where(good, np.diff(first), 0))])
-        return order, first, pieces
+        many = np.diff(pieces.first)[order]
+        begin = np.concatenate([[0], np.cumsum(many)])
+        codes = pieces.codes[np.arange(begin[-1]) + np.repeat(pieces.first[order] - begin[:-1], many)]
+        begin = begin[first]
+        codes[begin[1:][np.diff(begin) > 0] - 1] += 1  # a text's end
+        return codes, begin
 
 
 @lru_cache(maxsize=1)
@@ -226,6 +263,25 @@ def _aligner(a_file: bytes, b_file: bytes, a_pattern: str | None) -> Aligner:
     return Aligner(a_file, b_file, a_pattern)
 
 
+def _encoded(docs: DataFrame, files) -> DataFrame:
+    """Pass one: (doc_id, codes) of every text. Staged."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        codes, begin = _aligner(*files.value).read(part.column(1).to_pylist())
+        offsets = (begin * codes.itemsize).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
+        return pa.RecordBatch.from_arrays([part.column(0), packed], ["doc_id", "codes"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return stage(map_texts(texts, work, "doc_id long, codes binary", SLICE_BYTES), "align-codes")
+
+
+def _codes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of some staged rows, and where each row's begin."""
+    data, begin = text_bytes(column)
+    return data.view(np.int32), begin // 4
+
+
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     distinct, place = np.unique(np.concatenate(pairs), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
@@ -233,11 +289,10 @@ def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return distinct, total
 
 
-def _link_counts(docs: DataFrame, files) -> DataFrame:
+def _link_counts(encoded: DataFrame, kinds: Codes) -> DataFrame:
     """(branch, spread, pair, n): each task's links, added up. Staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(*files.value)
         pairs, counts, held = [], [], 0
 
         def sent() -> pa.RecordBatch:
@@ -247,11 +302,11 @@ def _link_counts(docs: DataFrame, files) -> DataFrame:
             )
 
         for batch in batches:
-            for part in slices(batch, size=SLICE_BYTES):
-                order, _, pieces = aligner.read(part.column(0).to_pylist())
-                pairs.append(pieces.pairs)
-                counts.append(np.repeat(np.bincount(order, minlength=len(pieces.right)), np.diff(pieces.first)))
-                held += len(pieces.pairs)
+            for part in slices(batch, "codes", SLICE_BYTES):
+                found = pa.array(kinds.pairs(_codes_of(part.column(0))[0])[1]).value_counts()
+                pairs.append(found.field(0).to_numpy())
+                counts.append(found.field(1).to_numpy())
+                held += len(found)
                 if held > HELD_PAIRS:
                     distinct, total = _summed(pairs, counts)
                     pairs, counts, held = [distinct], [total], len(distinct)
@@ -260,9 +315,10 @@ def _link_counts(docs: DataFrame, files) -> DataFrame:
                         pairs, counts, held = [], [], 0
         if pairs:
             yield sent()
+        give_back()
 
-    bound_batches(docs)
-    rows = docs.select("text").mapInArrow(run, "spread long, pair long, n long").where("n > 0")
+    bound_batches(encoded)
+    rows = encoded.select("codes").mapInArrow(run, "spread long, pair long, n long")
     return stage(rows.withColumn("branch", F.pmod(F.spark_partition_id(), F.lit(BRANCHES))), "align-counts")
 
 
@@ -315,9 +371,9 @@ def _added(key: tuple[pa.Scalar, ...], vectors: pa.Table) -> pa.Table:
     return _vector(key[0].as_py(), key[1].as_py(), total)
 
 
-def pair_counts(docs: DataFrame, files, segment_pairs: int = SEGMENT_PAIRS) -> tuple[DataFrame, int, int]:
+def pair_counts(encoded: DataFrame, kinds: Codes, segment_pairs: int = SEGMENT_PAIRS) -> tuple[DataFrame, int, int]:
     """The numbered pairs with their counts by segment (staged), a segment's width, and the number of pairs."""
-    counts = _link_counts(docs, files)
+    counts = _link_counts(encoded, kinds)
     distinct = stage(counts.select("spread", "pair").distinct(), "align-pairs")
     n = distinct.count()
     # A power of two, so that segments are equal parts of the spread.
@@ -364,11 +420,12 @@ class Counts:
 
     def of(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which pairs are in these segments, their counts and whether they are the best."""
-        number = self.table.numbers(pairs)
+        coded = pa.array(pairs).dictionary_encode()
+        place, number = coded.indices.to_numpy(), self.table.numbers(coded.dictionary.to_numpy())
         known = number >= 0
-        n, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+        n, best = np.zeros(len(number), np.int64), np.zeros(len(number), bool)
         n[known], best[known] = self.counts[number[known]], self.best[number[known]]
-        return known, n, best
+        return known[place], n[place], best[place]
 
 
 def _parts(table: DataFrame, width: int, top: np.ndarray, table_pairs: int, segment_pairs: int) -> Iterator[Counts]:
@@ -388,35 +445,32 @@ def _links(pairs: np.ndarray, n_b: int, n: np.ndarray, best: np.ndarray) -> pa.S
     )
 
 
-def _aligned(docs: DataFrame, files, sent) -> DataFrame:
-    """Pass two: tokens, groups and links of every text, counts from one part of the table."""
+def _aligned(encoded: DataFrame, kinds: Codes, sent) -> DataFrame:
+    """Pass two: groups and links of every text, counts from one part of the table."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        aligner = _aligner(*files.value)
-        order, first, pieces = aligner.read(part.column(1).to_pylist())
-        flat, begin = pieces.pairs, pieces.first
-        _, n, best = sent.value.of(flat)
-        sum_of = lambda begins: np.diff(np.concatenate([[0], np.cumsum(np.diff(begins)[order])])[first])
-        # Places in ``flat`` of every link of the slice.
-        many = np.diff(begin)[order]
-        at = np.arange(int(many.sum())) + np.repeat(begin[order] - (np.cumsum(many) - many), many)
-        n_links = sum_of(begin)
-        strings, places = pieces.groups(aligner), order.tolist()
-        groups = [";".join(map(strings.__getitem__, places[i:j])) for i, j in zip(first[:-1].tolist(), first[1:].tolist())]
-        links = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(n_links)]).astype(np.int32)), _links(flat[at], aligner.n_b, n[at], best[at])
-        )
+        codes, begin = _codes_of(part.column(1))
+        at, pairs = kinds.pairs(codes)
+        first = np.searchsorted(at, begin)
+        _, n, best = sent.value.of(pairs)
+        n_a, n_links = per_text(kinds.of_a(codes), begin), np.diff(first)
         columns = [
             part.column(0),
-            pa.array(sum_of(pieces.first_a)),
-            pa.array(sum_of(pieces.first_b)),
+            pa.array(n_a),
+            pa.array(np.diff(begin) - n_a),
             pa.array(n_links),
-            pa.array(groups, pa.string()),
-            links,
+            kinds.groups(codes, begin),
+            pa.ListArray.from_arrays(pa.array(first, pa.int32()), _links(pairs, kinds.n_b, n, best)),
         ]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"])
 
-    return map_texts(docs.select(F.col("doc_id").cast("long"), "text"), work, RESULT, SLICE_BYTES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "codes", SLICE_BYTES):
+                yield work(part)
+        give_back()
+
+    return encoded.mapInArrow(run, RESULT)
 
 
 def _filled(rows: DataFrame, n_b: int, sent) -> DataFrame:
@@ -457,10 +511,11 @@ def align(
     with open(a_path, "rb") as a, open(b_path, "rb") as b:
         contents = (a.read(), b.read(), a_pattern)
     files = context.broadcast(contents)  # two vocabularies
-    n_b = _aligner(*contents).n_b
-    table, width, _ = pair_counts(docs, files, segment_pairs)
-    parts = _parts(table, width, _highest(table, n_b), table_pairs, segment_pairs)
-    rows = _aligned(docs, files, context.broadcast(next(parts)))  # at most table_pairs pairs, about
+    kinds = _aligner(*contents).codes
+    encoded = _encoded(docs, files)
+    table, width, _ = pair_counts(encoded, kinds, segment_pairs)
+    parts = _parts(table, width, _highest(table, kinds.n_b), table_pairs, segment_pairs)
+    rows = _aligned(encoded, kinds, context.broadcast(next(parts)))  # at most table_pairs pairs, about
     for part in parts:
-        rows = _filled(stage(rows, "align-links"), n_b, context.broadcast(part))
+        rows = _filled(stage(rows, "align-links"), kinds.n_b, context.broadcast(part))
     return rows

@@ -91,6 +91,25 @@ def test_parts_of_the_table_give_the_same(spark, table_pairs, quick):
     assert [(sum(x.best for x in r.links), sum(x.n for x in r.links)) for r in got] == [w[4:6] for w in want]
 
 
+def test_texts_are_encoded_once(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(STRANGE)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    found = alignment.align(spark.read.parquet(f"{tmp_path}/docs"), *tokenizer_files())
+    assert found.inputFiles() and all("/align-codes-" in f for f in found.inputFiles())
+    assert [r.n_a for r in found.orderBy("doc_id").collect()] == [w[0] for w in brute(STRANGE)]
+
+
+def test_codes_tell_groups_and_links():
+    kinds = alignment.Codes(10, 20)
+    # 1,2|3;4|5,6 then a text without tokens, then 7|8.
+    codes = np.array([2, 5, 20 + 10, 9, 20 + 15, 20 + 20, 15, 20 + 26], np.int32)
+    begin = np.array([0, 6, 6, 8])
+    at, pairs = kinds.pairs(codes)
+    assert at.tolist() == [2, 5, 7]
+    assert pairs.tolist() == [2 * 20 + 3, 4 * 20 + 6, 7 * 20 + 8]
+    assert kinds.groups(codes, begin).to_pylist() == ["1,2|3;4|5,6", "", "7|8"]
+
+
 def test_awkward_rows(spark, awkward):
     clash = "row pair n segment branch keys counts links groups".split()
     docs = awkward.unionByName(awkward.where("doc_id = 5")).unionByName(
