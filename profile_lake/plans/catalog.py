@@ -923,7 +923,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> str:
     files = land_out_of_order(rows, key, "finished_us", f"{base}/landed", LATE_DAYS, _closing(spark))
     run_outcomes(
         stream_responses(spark, f"{base}/landed", max_files=files), base, CLUSTER, lambda: NOW_US,
-        ttl_us=TTL_US, lateness=f"{LATE_DAYS} days", in_order=False,
+        ttl_us=TTL_US, lateness=f"{LATE_DAYS} days", in_order=False, compression="gzip",
     )
     return base
 

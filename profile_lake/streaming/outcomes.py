@@ -35,7 +35,7 @@ from profile_lake.schemas import (
     PROFILE,
     UNFINISHED,
 )
-from profile_lake.session import fixed_value, scratch_folder, stage
+from profile_lake.session import fixed_value, run_to_end, scratch_folder, stage
 from profile_lake.sinks.commits import publish_batch
 from profile_lake.sources.listing import decode_listings
 from profile_lake.sources.responses import fetch_outcome
@@ -121,13 +121,14 @@ class _OutcomeProcessor(StatefulProcessor):
         # One row per id and place and one answer per id and poll, the latest.
         waiting = {row[:cut]: row[cut:] for row in [*before, *listed]}
         fetches = {row[:3]: row[3:] for row in [*answers, *answered]}
-        out, left, wake, used = [], [], [], set()
+        out, left, wake, used, refused = [], [], [], set(), set()
         for (query_id, *place), rest in sorted(waiting.items(), key=lambda row: row[0]):
             at, poll = place[0], (query_id, place[3], place[2])
             accepted = rest[-1] is not None
             if not accepted:
                 if query_id in last and at - last[query_id] <= self.ttl_us:
                     out.append((query_id, place, rest, DEDUP, None))
+                    refused.add(poll)
                     continue
                 if not (self.in_order or at < passed):
                     left.append((query_id, *place, *rest))
@@ -143,11 +144,13 @@ class _OutcomeProcessor(StatefulProcessor):
             else:
                 left.append((query_id, *place, *rest[:-1], "yes"))
                 wake.append(at + self.fetch_us + self.hold_us)
-        # A fetch answer that is taken, or whose listing can no longer come, is done with.
+        # A fetch answer that is taken, whose listing can no longer come, or whose poll listed only
+        # rows that are not taken, is done with. The rows a poll lists of an id come together.
+        refused.difference_update((row[0], row[4], row[3]) for row in left)
         open_answers = [
             (*poll, *answer)
             for poll, answer in fetches.items()
-            if poll not in used and answer[-1] + self.fetch_us >= passed
+            if poll not in used and poll not in refused and answer[-1] + self.fetch_us >= passed
         ]
         wake += [answer[-1] + self.fetch_us + self.hold_us for answer in open_answers]
         last = {q: at for q, at in last.items() if at + self.ttl_us >= passed}
@@ -296,12 +299,21 @@ class WriteTables:
     the time of its first try. ``run`` tells the streams that share the tables apart.
     """
 
-    def __init__(self, location: str, base: str, cluster: str, clock_us: Callable[[], int], run: str = "first") -> None:
+    def __init__(
+        self,
+        location: str,
+        base: str,
+        cluster: str,
+        clock_us: Callable[[], int],
+        run: str = "first",
+        compression: str | None = None,
+    ) -> None:
         self.location = location
         self.base = base
         self.cluster = cluster
         self.clock_us = clock_us
         self.run = run
+        self.compression = compression
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -312,26 +324,29 @@ class WriteTables:
             tagged = stage(batch, "tagged")
             for table, rows in (("outcomes", listed_outcomes(tagged)), ("bad", dead_letters(tagged))):
                 rows.write.mode("overwrite").parquet(f"{self.base}/{table}/batch={name}")
-            publish_batch(collected_records(tagged, self.cluster, F.lit(now_us)), self.location, now_us, name)
+            taken = collected_records(tagged, self.cluster, F.lit(now_us))
+            publish_batch(taken, self.location, now_us, name, compression=self.compression)
 
 
 def run_outcomes(
-    responses: DataFrame, base: str, cluster: str, clock_us: Callable[[], int], run: str = "first", **options
+    responses: DataFrame,
+    base: str,
+    cluster: str,
+    clock_us: Callable[[], int],
+    run: str = "first",
+    compression: str | None = None,
+    **options,
 ) -> None:
     """Run :func:`tagged_outcomes` over all landed responses into the tables below ``base``.
 
-    The records' table is ``base``/table, the checkpoint ``base``/checkpoint-``run``.
+    The records' table is ``base``/table, its files packed by ``compression`` if it is given,
+    the checkpoint ``base``/checkpoint-``run``.
     """
-    use_rocksdb(responses.sparkSession)
-    writer = WriteTables(f"{base}/table", base, cluster, clock_us, run)
-    (
-        tagged_outcomes(responses, **options)
-        .writeStream.option("checkpointLocation", f"{base}/checkpoint-{run}")
-        .trigger(availableNow=True)
-        .foreachBatch(writer)
-        .start()
-        .awaitTermination()
-    )
+    spark = responses.sparkSession
+    use_rocksdb(spark)
+    writer = WriteTables(f"{base}/table", base, cluster, clock_us, run, compression)
+    stream = tagged_outcomes(responses, **options).writeStream.option("checkpointLocation", f"{base}/checkpoint-{run}")
+    run_to_end(spark, stream.trigger(availableNow=True).foreachBatch(writer).start())
 
 
 def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
