@@ -16,7 +16,7 @@ from profile_lake.operators import analytics, dedup, enrich, health, metrics, pr
 from profile_lake.operators.segments import SeenSegments
 from profile_lake.plans.collect import Collected, collect, collect_profiles
 from profile_lake.schemas import DEDUP, LISTING, MICROS, PARTITION_COLUMNS, RESPONSE_SCHEMA, UNFINISHED
-from profile_lake.session import scratch_path, stage
+from profile_lake.session import delete_path, scratch_path, stage
 from profile_lake.sinks import FallbackWriter, read_fallback, to_jsonl, write_profiles
 from profile_lake.sinks.commits import publish_batch
 from profile_lake.sources import (
@@ -1001,19 +1001,26 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks of a stream, and of a second one with a new checkpoint that goes on from the first
     one's marks and accepted ids, both read back from its state; and what the second one saw."""
     base = scratch_path(spark, "marks")
-    rows = stage(tables.retried_responses(spark, sf_dir), "responses")
+    responses, staged = tables.retried_responses(spark, sf_dir), f"{base}/responses"
+    responses.write.option("compression", "zstd").parquet(staged)
+    rows = spark.read.schema(responses.schema).parquet(staged)
     last = tables.query_log(spark, sf_dir).agg(F.max(F.expr(f"event_id div {tables.LISTING_ROWS}"))).first()[0] or 0
     later = (F.col("poll_id") % 10 == 0) | (F.col("poll_id") * 3 >= 2 * last)
     found, seen = spark.createDataFrame([], progress.PROGRESS_SCHEMA), None
     for run, part in (("first", rows.where(~later)), ("second", rows.where(later))):
-        part.write.parquet(f"{base}/landed-{run}")
+        part.write.option("compression", "zstd").parquet(f"{base}/landed-{run}")
+    delete_path(spark, staged)
+    for run in ("first", "second"):
         run_outcomes(
             stream_responses(spark, f"{base}/landed-{run}"), f"{base}/{run}", CLUSTER, lambda: NOW_US, run,
-            ttl_us=TTL_US, progress=found, seen=seen,
+            ttl_us=TTL_US, progress=found, seen=seen, compression="gzip",
         )
         start_marks(spark, f"{base}/{run}/outcomes", f"{base}/marks-{run}").awaitTermination()
         found = stage(read_marks(spark, f"{base}/marks-{run}", found), "marks")
         seen = stage(read_seen(spark, f"{base}/{run}/checkpoint-{run}"), "seen")
+        # Both are known: the next stream starts without what this one read and held.
+        delete_path(spark, f"{base}/landed-{run}")
+        delete_path(spark, f"{base}/{run}/checkpoint-{run}")
     count = lambda kind: F.count(F.when(F.col("outcome") == kind, 1))
     after = read_outcomes(spark, f"{base}/second").groupBy("fe_host").agg(
         count(UNFINISHED).alias("unfinished_after"), count(DEDUP).alias("dedup_after")
